@@ -11,7 +11,7 @@ shuffled for it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -287,6 +287,19 @@ def change_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str], full
 # --- stored tables ---------------------------------------------------------------
 
 
+def touched_partitions(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], partition_by: str) -> tuple[set, set]:
+    """The partitions a batch has rows for, and the others that hold rows with its keys.
+
+    Only the keys and the partition column of the target are read. The answer
+    is a short list: one entry per partition.
+    """
+    filled = {row[0] for row in batch.select(partition_by).distinct().collect()}
+    if target is None:
+        return filled, set()
+    home = rows_in(target.select(*keys, partition_by), batch, list(keys)).select(partition_by).distinct()
+    return filled, {row[0] for row in home.collect()} - filled
+
+
 def store_merge(
     warehouse: Warehouse,
     table: str,
@@ -300,9 +313,8 @@ def store_merge(
 
     A key may move to another partition, so the touched ones are those of the
     batch's rows and those of the target rows with its keys. The list is put
-    in a filter on the partition column, which prunes the scan; it is as long
-    as the number of touched partitions. A partition that loses its last row
-    is cleared.
+    in a filter on the partition column, which prunes the scan. A partition
+    that loses its last row is cleared.
     """
     if strategy == "merge":
         require_unique_keys(batch, keys)
@@ -310,30 +322,51 @@ def store_merge(
         return warehouse.replace(table, batch, [partition_by])
     target = warehouse.read(table)
     batch = batch.select(*target.columns)
-    home = rows_in(target.select(*keys, partition_by), batch, list(keys)).select(partition_by).distinct()
-    goal = batch.select(partition_by).distinct()
-    filled = {r[0] for r in goal.collect()}
-    touched = filled | {r[0] for r in home.collect()}
-    if not touched:
+    filled, left = touched_partitions(target, batch, keys, partition_by)
+    if not filled:
         return target
-    hit = _one_of(F.col(partition_by), touched)
-    old = target.where(hit)
+    old = target.where(_one_of(F.col(partition_by), filled | left))
     if strategy == "merge":
         rows = merge(old, batch, keys, exclude, check=False)
     else:
         rows = delete_insert(old, batch, keys)
     # An overwrite leaves partitions alone that it has no rows for. Only one
     # that keys move out of, and none into, can lose its last row.
-    left = touched - filled
     if left:
         rest = rows_not_in(target.where(_one_of(F.col(partition_by), left)), batch, list(keys))
-        left -= {r[0] for r in rest.select(partition_by).distinct().collect()}
+        left -= {row[0] for row in rest.select(partition_by).distinct().collect()}
     warehouse.overwrite_partitions(table, rows, [partition_by])
     for value in left:
         warehouse.clear_partition(table, **{partition_by: value})
     return warehouse.read(table)
 
 
+def store_rollup(
+    warehouse: Warehouse,
+    table: str,
+    facts: DataFrame,
+    rollup: Callable[[DataFrame], DataFrame],
+    partition_by: str,
+    touched: set | None = None,
+) -> DataFrame:
+    """Recompute the rollup's partitions that a fact step touched; all if ``touched`` is None.
+
+    Facts and rollup share the partition column, so the rollup always agrees
+    with the facts, whatever lookback the fact step used.
+    """
+    if touched is None or not warehouse.exists(table):
+        return warehouse.replace(table, rollup(facts), [partition_by])
+    if not touched:
+        return warehouse.read(table)
+    part = facts.where(_one_of(F.col(partition_by), touched))
+    held = {row[0] for row in part.select(partition_by).distinct().collect()}
+    if held:
+        warehouse.overwrite_partitions(table, rollup(part), [partition_by])
+    for value in touched - held:
+        warehouse.clear_partition(table, **{partition_by: value})
+    return warehouse.read(table)
+
+
 def _one_of(column: Column, values: set) -> Column:
     test = column.isin([v for v in values if v is not None])
     return test | column.isNull() if None in values else test
