@@ -114,12 +114,14 @@ def merge(
 def lookback(source: DataFrame, target: DataFrame | None, column: str, hours: int) -> DataFrame:
     """Source rows from ``hours`` before the target's newest row on.
 
-    With no target, or an empty one, all rows are taken.
+    With no target, or an empty one, all rows are taken. The bound is one value,
+    read first, so that it reaches the source scan as a plain filter and prunes
+    its files and partitions.
     """
-    if target is None:
+    newest = target.agg(F.max(column)).first()[0] if target is not None else None
+    if newest is None:
         return source
-    since = target.agg((F.max(column) - F.expr(f"INTERVAL '{hours} hours'")).alias("since")).scalar()
-    return source.where(F.coalesce(F.col(column) >= since, since.isNull()))
+    return source.where(F.col(column) >= F.lit(newest - timedelta(hours=hours)).cast("timestamp_ntz"))
 
 
 @dataclass(frozen=True)

@@ -43,9 +43,16 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(is_null(column))
 
 
-def unique(df: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once, with their counts; NULLs are not compared."""
-    return unique_combination(df.where(F.col(column).isNotNull()), [column])
+def unique(df: DataFrame, column: str, digest: bool = False) -> DataFrame:
+    """Values that occur more than once, with their counts; NULLs are not compared.
+
+    For long texts, ``digest`` compares and reports SHA-256 digests, so that
+    the texts themselves are not shuffled.
+    """
+    known = df.where(F.col(column).isNotNull())
+    if digest:
+        known = known.select(F.sha2(column, 256).alias(column))
+    return unique_combination(known, [column])
 
 
 def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -37,8 +37,8 @@ def user_days(inputs: Inputs) -> DataFrame:
     keys = ["event_date", "user_id"]
     incremental.store_merge(house, "user_days", marts.user_days(early), keys, "event_date", strategy="delete+insert")
     # Whole days only: the newest stored day may be half full.
-    newest = house.read("user_days").agg(F.max("event_date").cast("timestamp_ntz")).scalar()
-    late = marts.user_days(events.where(F.col("ts") >= newest))
+    newest = house.read("user_days").agg(F.max("event_date")).first()[0]
+    late = marts.user_days(events.where(F.col("ts") >= F.lit(newest).cast("timestamp_ntz")))
     return incremental.store_merge(house, "user_days", late, keys, "event_date", strategy="delete+insert")
 
 
