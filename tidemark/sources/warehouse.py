@@ -40,6 +40,11 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def fresh(self, table: str) -> DataFrame:
+        """The table after another session, such as a stream's, has written it."""
+        self.spark.catalog.refreshTable(self.name(table))
+        return self.read(table)
+
     def view(self, name: str, df: DataFrame) -> DataFrame:
         """A lazily evaluated view: reading it runs the query on today's rows."""
         df.createOrReplaceTempView(name)
