@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,9 +15,27 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(value: Column | str, scale: int = 2, precision: int = 18) -> Column:
-    """A double as an exact decimal, so that sums do not depend on row order."""
-    return _col(value).cast(f"decimal({precision},{scale})")
+# Whole numbers are added in two halves, cut at this many bits. Each half stays
+# far inside a bigint for 10^12 rows and more.
+HALF_BITS = 24
+
+
+def units(value: Column | str, scale: int = 2) -> Column:
+    """A double that holds ``scale`` decimals as a whole number of its last place."""
+    return F.rint(_col(value) * 10**scale).cast("bigint")
+
+
+def sum_units(value: Column | str, scale: int = 2) -> Column:
+    """Order-independent SUM of whole units; a decimal with ``scale`` places.
+
+    Decimal sums leave the fast path: every addition makes an object. Here the
+    rows only see two bigint sums, and the decimal is put together once per
+    group, so a total is exact and cannot overflow.
+    """
+    v = _col(value)
+    high = F.sum(F.shiftright(v, HALF_BITS)).cast("decimal(38,0)")
+    low = F.sum(v.bitwiseAND(2**HALF_BITS - 1))
+    return (high * 2**HALF_BITS + low).cast("decimal(38,0)") * F.lit(Decimal(1).scaleb(-scale))
 
 
 def rounded(value: Column | str, places: int) -> Column:
@@ -29,7 +49,7 @@ def rounded(value: Column | str, places: int) -> Column:
 
 def exact_sum(value: Column | str, scale: int = 2) -> Column:
     """Order-independent SUM of a double that holds ``scale`` decimals; a double."""
-    return F.sum(money(value, scale)).cast("double")
+    return sum_units(units(value, scale), scale).cast("double")
 
 
 def exact_avg(value: Column | str, scale: int = 2) -> Column:

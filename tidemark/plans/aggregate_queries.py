@@ -72,7 +72,7 @@ GROUPINGS = f"""SELECT customer_region, segment, CAST(grouping(customer_region,
 
 
 def _revenue():
-    return [F.count("*").alias("lines"), F.sum("revenue").cast("double").alias("revenue")]
+    return [F.count("*").alias("lines"), marts.revenue().cast("double").alias("revenue")]
 
 
 @query("agg_8_grouping_sets", f"{GROUPINGS} GROUP BY GROUPING SETS ((customer_region, segment), (segment), ())")
@@ -149,13 +149,13 @@ def order_free_sums(inputs: Inputs) -> DataFrame:
     """The same double, bit for bit, however the rows are spread over tasks."""
     def sums(df: DataFrame) -> DataFrame:
         return df.groupBy("l_returnflag").agg(
-            F.sum(marts.line_revenue()).cast("double").alias("revenue"),
+            marts.revenue(marts.revenue_units()).cast("double").alias("revenue"),
             numbers.exact_avg("l_extendedprice").alias("avg_price"),
         )
 
     lines = inputs("lineitem").select("l_returnflag", "l_extendedprice", "l_discount", "l_partkey")
     # Another grain of partial sums: per part first, then over parts.
-    by_part = lines.groupBy("l_returnflag", "l_partkey").agg(F.sum(marts.line_revenue()).alias("part_revenue"))
+    by_part = lines.groupBy("l_returnflag", "l_partkey").agg(marts.revenue(marts.revenue_units()).alias("part_revenue"))
     again = by_part.groupBy("l_returnflag").agg(F.sum("part_revenue").cast("double").alias("revenue_again"))
     return (
         sums(lines)

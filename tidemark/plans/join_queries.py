@@ -54,7 +54,7 @@ def star_join(inputs: Inputs) -> DataFrame:
         "l_partkey",
         "l_suppkey",
         "ship_date",
-        F.col("revenue").cast("double").alias("revenue"),
+        (F.col("revenue_units") / 10_000.0).alias("revenue"),
         "priority",
         "segment",
         "customer_nation",

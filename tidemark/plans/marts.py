@@ -18,10 +18,18 @@ from tidemark.operators.contracts import Column, Contract
 from tidemark.sources.tables import Inputs
 
 
-def line_revenue():
-    """Price after discount, exact to four decimals."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    return price * (1 - F.col("l_discount").cast("decimal(4,2)"))
+# Fixed value: the decimals of a price after its discount.
+REVENUE_SCALE = 4
+
+
+def revenue_units():
+    """Price after discount in ten-thousandths, exact."""
+    return numbers.units("l_extendedprice") * (100 - numbers.units("l_discount"))
+
+
+def revenue(units: str = "revenue_units"):
+    """Total revenue, exact."""
+    return numbers.sum_units(units, REVENUE_SCALE)
 
 
 def geography(inputs: Inputs, who: str) -> DataFrame:
@@ -40,26 +48,35 @@ def geography(inputs: Inputs, who: str) -> DataFrame:
     ).drop(f"{prefix}_nationkey")
 
 
+def placed_orders(inputs: Inputs, dimensions: Sequence[str]) -> DataFrame:
+    """Orders, with who placed them if the customer dimension is asked for."""
+    orders = inputs("orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("priority"), "o_orderdate")
+    if "customer" not in dimensions:
+        return orders
+    take = {"customer_nation": "customer_nation", "customer_region": "customer_region", "c_mktsegment": "segment"}
+    return joins.lookup(orders, geography(inputs, "customer"), {"o_custkey": "c_custkey"}, take)
+
+
 def enriched_lines(inputs: Inputs, dimensions: Sequence[str] = ("order", "customer", "supplier", "part")) -> DataFrame:
     """Order lines with the dimensions asked for; missing names are 'Unknown'.
 
-    Lines meet orders on the order key (both large); the other sides are small
-    and Spark broadcasts them for as long as they are.
+    Customers are joined to the orders, and the orders to the lines, so the
+    lines, the largest table, are shuffled on the order key only. Suppliers and
+    parts are broadcast for as long as they are small.
     """
-    lines = inputs("lineitem").select("*", F.to_date("l_shipdate").alias("ship_date"), line_revenue().alias("revenue"))
+    lines = inputs("lineitem").select(
+        "*", F.to_date("l_shipdate").alias("ship_date"), revenue_units().alias("revenue_units")
+    )
     if "customer" in dimensions or "order" in dimensions:
-        take = {"o_custkey": "o_custkey", "o_orderpriority": "priority", "o_orderdate": "o_orderdate"}
-        lines = joins.lookup(lines, inputs("orders"), {"l_orderkey": "o_orderkey"}, take, {"priority": joins.UNKNOWN})
-    if "customer" in dimensions:
-        customers = geography(inputs, "customer")
-        take = {"customer_nation": "customer_nation", "customer_region": "customer_region", "c_mktsegment": "segment"}
-        defaults = {name: joins.UNKNOWN for name in take.values()}
-        lines = joins.lookup(lines, customers, {"o_custkey": "c_custkey"}, take, defaults)
+        orders = placed_orders(inputs, dimensions)
+        take = {c: c for c in orders.columns if c != "o_orderkey"}
+        names = ("priority", "customer_nation", "customer_region", "segment")
+        defaults = {c: joins.UNKNOWN for c in take if c in names}
+        lines = joins.lookup(lines, orders, {"l_orderkey": "o_orderkey"}, take, defaults)
     if "supplier" in dimensions:
-        suppliers = geography(inputs, "supplier")
         take = {"supplier_nation": "supplier_nation", "supplier_region": "supplier_region"}
         defaults = {name: joins.UNKNOWN for name in take.values()}
-        lines = joins.lookup(lines, suppliers, {"l_suppkey": "s_suppkey"}, take, defaults)
+        lines = joins.lookup(lines, geography(inputs, "supplier"), {"l_suppkey": "s_suppkey"}, take, defaults)
     if "part" in dimensions:
         take = {"p_brand": "brand"}
         lines = joins.lookup(lines, inputs("part"), {"l_partkey": "p_partkey"}, take, {"brand": joins.UNKNOWN})
@@ -68,19 +85,22 @@ def enriched_lines(inputs: Inputs, dimensions: Sequence[str] = ("order", "custom
 
 def daily_revenue(inputs: Inputs) -> DataFrame:
     """Revenue per ship date with a 7-day average, the change in lines, and a rank."""
-    gross, revenue = numbers.money("l_extendedprice"), line_revenue()
     off = F.when(F.col("l_discount") > 0, F.col("l_discount"))
     lines = inputs("lineitem").select(
-        F.to_date("l_shipdate").alias("ship_date"), "l_quantity", gross.alias("gross"), revenue.alias("revenue"), off.alias("off")
+        F.to_date("l_shipdate").alias("ship_date"),
+        "l_quantity",
+        "l_extendedprice",
+        revenue_units().alias("revenue_units"),
+        off.alias("off"),
     )
     daily = lines.groupBy("ship_date").agg(
         F.count("*").alias("lines"),
         numbers.exact_sum("l_quantity", 0).alias("quantity"),
-        F.sum("gross").cast("double").alias("gross_revenue"),
-        F.round(F.sum("revenue"), 2).cast("double").alias("total_revenue"),
-        numbers.rounded(numbers.ratio(F.sum("revenue"), F.count("*")), 2).alias("avg_revenue_per_line"),
+        numbers.exact_sum("l_extendedprice").alias("gross_revenue"),
+        F.round(revenue(), 2).cast("double").alias("total_revenue"),
+        numbers.rounded(numbers.ratio(revenue(), F.count("*")), 2).alias("avg_revenue_per_line"),
         numbers.rounded(numbers.exact_avg("off"), 4).alias("avg_discount_given"),
-        numbers.ratio(F.sum("revenue"), numbers.exact_sum("l_quantity", 0), 2).alias("revenue_per_unit"),
+        numbers.ratio(revenue(), numbers.exact_sum("l_quantity", 0), 2).alias("revenue_per_unit"),
     )
     return daily.select(
         "ship_date",
@@ -150,8 +170,8 @@ def region_flows(inputs: Inputs, least: int = MIN_FLOW) -> DataFrame:
         .agg(
             F.count("*").alias("lines"),
             numbers.rounded(numbers.exact_avg("l_quantity", 0), 2).alias("avg_quantity"),
-            numbers.rounded(numbers.ratio(F.sum("revenue"), F.count("*")), 2).alias("avg_revenue"),
-            F.round(F.sum("revenue"), 2).cast("double").alias("total_revenue"),
+            numbers.rounded(numbers.ratio(revenue(), F.count("*")), 2).alias("avg_revenue"),
+            F.round(revenue(), 2).cast("double").alias("total_revenue"),
         )
         .where(F.col("lines") >= least)
     )
@@ -173,19 +193,25 @@ def priority_mix(inputs: Inputs) -> DataFrame:
 
 
 def top_nations(inputs: Inputs, k: int = 3) -> DataFrame:
-    """The busiest customer nations of each region."""
-    customers = geography(inputs, "customer")
-    orders = joins.lookup(
-        inputs("orders"),
-        customers,
+    """The busiest customer nations of each region.
+
+    Orders are folded to one row per customer before they meet the customers,
+    so a customer with a third of all orders is one row.
+    """
+    per_customer = inputs("orders").groupBy("o_custkey").agg(
+        F.count("*").alias("n"), numbers.sum_units(numbers.units("o_totalprice")).alias("price")
+    )
+    named = joins.lookup(
+        per_customer,
+        geography(inputs, "customer"),
         {"o_custkey": "c_custkey"},
         {"customer_nation": "nation", "customer_region": "region"},
         {"nation": joins.UNKNOWN, "region": joins.UNKNOWN},
     )
     counts = (
-        orders.where(~F.col("region").isin(joins.UNKNOWN, "N/A"))
+        named.where(~F.col("region").isin(joins.UNKNOWN, "N/A"))
         .groupBy("region", "nation")
-        .agg(F.count("*").alias("n_orders"), numbers.exact_sum("o_totalprice").alias("total_price"))
+        .agg(F.sum("n").alias("n_orders"), F.sum("price").cast("double").alias("total_price"))
     )
     return windows.top_ranked(counts, ["region"], [F.col("n_orders").desc()], k, "region_rank")
 
@@ -205,7 +231,7 @@ def border_traffic(inputs: Inputs) -> DataFrame:
             F.count("*").alias("lines"),
             numbers.rounded(numbers.exact_avg("l_quantity", 0), 2).alias("avg_quantity"),
             numbers.rounded(numbers.exact_avg("l_extendedprice"), 2).alias("avg_price"),
-            numbers.rounded(numbers.ratio(F.sum("revenue"), F.count("*")), 2).alias("avg_revenue"),
+            numbers.rounded(numbers.ratio(revenue(), F.count("*")), 2).alias("avg_revenue"),
         )
     )
 
@@ -233,7 +259,7 @@ def nation_dimension(inputs: Inputs) -> DataFrame:
     placed = inputs("orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
     placed = placed.join(inputs("customer"), F.col("o_custkey") == F.col("c_custkey"))
     placed = placed.groupBy("c_nationkey").agg(F.sum("n").alias("orders_placed"))
-    supplied = inputs("lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"), F.sum(line_revenue()).alias("revenue"))
+    supplied = inputs("lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"), revenue(revenue_units()).alias("revenue"))
     supplied = supplied.join(inputs("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     supplied = supplied.groupBy("s_nationkey").agg(
         F.sum("n").alias("lines_supplied"), F.round(F.sum("revenue"), 2).cast("double").alias("revenue_supplied")

@@ -35,6 +35,17 @@ def local_session(app: str = "tidemark", cores: int | str = 8, **extra: str) ->
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * 2**20) -> int:
+    """Set the number of shuffle partitions for a job over ``input_bytes`` of data.
+
+    AQE merges partitions that turn out small but makes no new ones, so the
+    start must be high enough for a partition to fit a task's memory.
+    """
+    n = max(spark.sparkContext.defaultParallelism, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged tables and stream checkpoints.
 
