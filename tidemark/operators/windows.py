@@ -60,6 +60,20 @@ def zscores(rollup: DataFrame, value: str, name: str, places: int = 3) -> DataFr
     )
 
 
+def time_bucket(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = 2_000_000) -> Column:
+    """The coarsest cut of a timestamp that leaves no group of a key too large.
+
+    The largest (key, day) group is measured first, a count made in parts; only
+    if it is too large are hours tried, then minutes, then seconds.
+    """
+    for unit in ("day", "hour", "minute", "second"):
+        bucket = F.date_trunc(unit, ts)
+        sizes = df.groupBy(*keys, bucket.alias("__bucket")).agg(F.count("*").alias("__n"))
+        if (sizes.agg(F.max("__n")).first()[0] or 0) <= max_rows:
+            return bucket
+    return F.col(ts)
+
+
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str) -> DataFrame:
     """``row_number`` per key, safe for hot keys.
 
@@ -68,17 +82,13 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: C
     counts of earlier buckets, pre-aggregated, are added. The order must be
     total within a key.
     """
-    rows = df.withColumn("__bucket", bucket)
-    group = [*keys, "__bucket"]
-    counts = rows.groupBy(*group).agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__bucket")) - F.col("__n")
-    starts = counts.select(*group, before.alias("__before"))
-    local = rows.withColumn("__local", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    return (
-        _join_groups(local, starts, group)
-        .withColumn(name, F.col("__before") + F.col("__local"))
-        .drop("__bucket", "__before", "__local")
-    )
+    rows = _grouped(df, keys, bucket)
+    counts = rows.groupBy("__group").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(_bucket_order(keys)) - F.col("__n")
+    starts = counts.select("__group", before.alias("__before"))
+    local = rows.withColumn("__local", F.row_number().over(Window.partitionBy("__group").orderBy(*order)))
+    joined = local.join(starts, "__group")
+    return joined.select(*df.columns, (F.col("__before") + F.col("__local")).alias(name))
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: str, name: str) -> DataFrame:
@@ -87,31 +97,27 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucke
     Hot keys are cut into buckets as in :func:`numbered`: a bucket's rows see
     their own bucket, and beyond it the last known value of earlier buckets.
     """
-    rows = df.withColumn("__bucket", bucket)
-    group = [*keys, "__bucket"]
-    rank = F.struct(*order)
-    ends = rows.groupBy(*group).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), rank)).alias("__end")
-    )
-    earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*group, F.last("__end", ignorenulls=True).over(earlier).alias("__carried"))
-    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _grouped(df, keys, bucket)
+    rank = F.when(F.col(value).isNotNull(), F.struct(*order))
+    ends = rows.groupBy("__group").agg(F.max_by(value, rank).alias("__end"))
+    earlier = _bucket_order(keys).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("__group", F.last("__end", ignorenulls=True).over(earlier).alias("__carried"))
+    inside = Window.partitionBy("__group").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = rows.withColumn("__seen", F.last(value, ignorenulls=True).over(inside))
-    return (
-        _join_groups(local, carried, group)
-        .withColumn(name, F.coalesce("__seen", "__carried"))
-        .drop("__bucket", "__seen", "__carried")
-    )
+    return local.join(carried, "__group").select(*df.columns, F.coalesce("__seen", "__carried").alias(name))
+
+
+def _grouped(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    """Add the (key, bucket) of each row as one struct.
+
+    Structs compare their fields NULL-safely, so NULL keys join, and the window
+    and the join on the struct share one shuffle.
+    """
+    return df.withColumn("__group", F.struct(*keys, bucket.alias("__bucket")))
 
 
-def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join rows to one row per group; a NULL key finds its group too."""
-    right = groups.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], *[c for c in groups.columns if c not in keys])
-    condition = None
-    for i, k in enumerate(keys):
-        test = rows[k].eqNullSafe(right[f"__g{i}"])
-        condition = test if condition is None else condition & test
-    return rows.join(right, condition).drop(*[f"__g{i}" for i in range(len(keys))])
+def _bucket_order(keys: Sequence[str]):
+    return Window.partitionBy(*[F.col(f"__group.{k}") for k in keys]).orderBy("__group.__bucket")
 
 
 def avg_excluding_row(value: str, frame: Window, scale: int = 2) -> Column:

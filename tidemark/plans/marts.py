@@ -32,20 +32,27 @@ def revenue(units: str = "revenue_units"):
     return numbers.sum_units(units, REVENUE_SCALE)
 
 
+def with_geography(inputs: Inputs, df: DataFrame, nation_key: str, who: str) -> DataFrame:
+    """Add the nation and region names of a nation key, and drop the key.
+
+    The two lookups are joined one after the other, straight from their files:
+    Spark knows the sizes of both and broadcasts them. Joined to each other
+    first, their size would be a guess, and a far too high one.
+    """
+    df = joins.lookup(df, inputs("nation"), {nation_key: "n_nationkey"}, {"n_name": f"{who}_nation", "n_regionkey": "__region"})
+    return joins.lookup(df, inputs("region"), {"__region": "r_regionkey"}, {"r_name": f"{who}_region"}).drop("__region", nation_key)
+
+
+def unknown(df: DataFrame, *columns: str) -> DataFrame:
+    """Put 'Unknown' where a lookup found nothing."""
+    return df.withColumns({c: F.coalesce(c, F.lit(joins.UNKNOWN)) for c in columns})
+
+
 def geography(inputs: Inputs, who: str) -> DataFrame:
     """Customers or suppliers with the names of their nation and region."""
-    prefix = {"customer": "c", "supplier": "s"}[who]
-    key = {"customer": "c_custkey", "supplier": "s_suppkey"}[who]
-    nations = joins.lookup(inputs("nation"), inputs("region"), {"n_regionkey": "r_regionkey"}, {"r_name": f"{who}_region"})
-    extra = ["c_mktsegment"] if who == "customer" else []
-    people = inputs(who).select(key, f"{prefix}_nationkey", *extra)
-    return joins.lookup(
-        people,
-        nations,
-        {f"{prefix}_nationkey": "n_nationkey"},
-        {"n_name": f"{who}_nation", f"{who}_region": f"{who}_region"},
-        {f"{who}_nation": joins.UNKNOWN, f"{who}_region": joins.UNKNOWN},
-    ).drop(f"{prefix}_nationkey")
+    prefix, key = {"customer": ("c", "c_custkey"), "supplier": ("s", "s_suppkey")}[who]
+    people = with_geography(inputs, inputs(who).select(key, f"{prefix}_nationkey"), f"{prefix}_nationkey", who)
+    return unknown(people, f"{who}_nation", f"{who}_region")
 
 
 def placed_orders(inputs: Inputs, dimensions: Sequence[str]) -> DataFrame:
@@ -53,34 +60,35 @@ def placed_orders(inputs: Inputs, dimensions: Sequence[str]) -> DataFrame:
     orders = inputs("orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("priority"), "o_orderdate")
     if "customer" not in dimensions:
         return orders
-    take = {"customer_nation": "customer_nation", "customer_region": "customer_region", "c_mktsegment": "segment"}
-    return joins.lookup(orders, geography(inputs, "customer"), {"o_custkey": "c_custkey"}, take)
+    take = {"c_nationkey": "c_nationkey", "c_mktsegment": "segment"}
+    orders = joins.lookup(orders, inputs("customer"), {"o_custkey": "c_custkey"}, take)
+    return with_geography(inputs, orders, "c_nationkey", "customer")
 
 
 def enriched_lines(inputs: Inputs, dimensions: Sequence[str] = ("order", "customer", "supplier", "part")) -> DataFrame:
     """Order lines with the dimensions asked for; missing names are 'Unknown'.
 
     Customers are joined to the orders, and the orders to the lines, so the
-    lines, the largest table, are shuffled on the order key only. Suppliers and
-    parts are broadcast for as long as they are small.
+    lines, the largest table, are not shuffled for the customers. Suppliers and
+    parts are broadcast for as long as their files are small.
     """
+    names = []
     lines = inputs("lineitem").select(
         "*", F.to_date("l_shipdate").alias("ship_date"), revenue_units().alias("revenue_units")
     )
+    if "supplier" in dimensions:
+        lines = joins.lookup(lines, inputs("supplier"), {"l_suppkey": "s_suppkey"}, {"s_nationkey": "s_nationkey"})
+        lines = with_geography(inputs, lines, "s_nationkey", "supplier")
+        names += ["supplier_nation", "supplier_region"]
+    if "part" in dimensions:
+        lines = joins.lookup(lines, inputs("part"), {"l_partkey": "p_partkey"}, {"p_brand": "brand"})
+        names.append("brand")
     if "customer" in dimensions or "order" in dimensions:
         orders = placed_orders(inputs, dimensions)
         take = {c: c for c in orders.columns if c != "o_orderkey"}
-        names = ("priority", "customer_nation", "customer_region", "segment")
-        defaults = {c: joins.UNKNOWN for c in take if c in names}
-        lines = joins.lookup(lines, orders, {"l_orderkey": "o_orderkey"}, take, defaults)
-    if "supplier" in dimensions:
-        take = {"supplier_nation": "supplier_nation", "supplier_region": "supplier_region"}
-        defaults = {name: joins.UNKNOWN for name in take.values()}
-        lines = joins.lookup(lines, geography(inputs, "supplier"), {"l_suppkey": "s_suppkey"}, take, defaults)
-    if "part" in dimensions:
-        take = {"p_brand": "brand"}
-        lines = joins.lookup(lines, inputs("part"), {"l_partkey": "p_partkey"}, take, {"brand": joins.UNKNOWN})
-    return lines
+        lines = joins.lookup(lines, orders, {"l_orderkey": "o_orderkey"}, take)
+        names += [c for c in take if c in ("priority", "customer_nation", "customer_region", "segment")]
+    return unknown(lines, *names)
 
 
 def daily_revenue(inputs: Inputs) -> DataFrame:

@@ -71,7 +71,8 @@ def ignore_nulls(inputs: Inputs) -> DataFrame:
     """The last large value that each user had at every event."""
     big = F.when(F.col("value") >= 50, F.col("value"))
     events = inputs("events").select("event_id", "user_id", "ts", big.alias("big"))
-    filled = windows.fill_forward(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), "big", "last_big")
+    bucket = windows.time_bucket(events, ["user_id"], "ts")
+    filled = windows.fill_forward(events, ["user_id"], ["ts", "event_id"], bucket, "big", "last_big")
     return filled.select("event_id", "user_id", "last_big")
 
 
@@ -111,7 +112,8 @@ def frame_exclude(inputs: Inputs) -> DataFrame:
 )
 def row_number(inputs: Inputs) -> DataFrame:
     events = inputs("events").select("event_id", "user_id", "ts")
-    numbered = windows.numbered(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), "nth")
+    bucket = windows.time_bucket(events, ["user_id"], "ts")
+    numbered = windows.numbered(events, ["user_id"], ["ts", "event_id"], bucket, "nth")
     return numbered.select("event_id", "user_id", "nth")
 
 
