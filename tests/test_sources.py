@@ -116,6 +116,24 @@ def test_interrupted_swap_is_undone(spark, house):
     assert house.read("t").count() == 4
 
 
+def test_vacuum_drops_superseded_builds(spark, house):
+    import os
+
+    for n in (1, 2, 3):
+        house.replace("t", spark.range(n))
+    folder = f"{house.location}/t"
+    assert len([d for d in os.listdir(folder) if not d.startswith(".")]) == 3
+    house.vacuum("t")
+    assert len([d for d in os.listdir(folder) if not d.startswith(".")]) == 1
+    assert house.read("t").count() == 3
+
+
+def test_staged_rows_are_dropped_at_the_end(spark, house):
+    with house.staged(spark.range(5)) as df:
+        assert df.count() == 5
+    assert spark.catalog.listTables(house.database) == []
+
+
 def test_clear_partition(spark, house):
     df = spark.range(10).withColumn("p", F.col("id") % 3)
     house.replace("t", df, ["p"])

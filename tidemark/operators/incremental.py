@@ -23,6 +23,9 @@ from tidemark.operators.staging import rows_in, rows_not_in
 from tidemark.sources.tables import in_window
 from tidemark.sources.warehouse import Warehouse
 
+# Fixed value: how the start of a batch window is written in a partition name.
+STAMP = "yyyy-MM-dd'T'HH"
+
 SCHEMA_POLICIES = ("ignore", "fail", "append_new_columns", "sync_all_columns")
 
 
@@ -292,11 +295,12 @@ def change_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str], full
 def touched_partitions(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], partition_by: str) -> tuple[set, set]:
     """The partitions a batch has rows for, and the others that hold rows with its keys.
 
-    Only the keys and the partition column of the target are read. The answer
-    is a short list: one entry per partition.
+    Only the keys and the partition column of the target are read, and nothing
+    if the partition column is one of the keys, for then no key can move. The
+    answer is a short list: one entry per partition.
     """
     filled = {row[0] for row in batch.select(partition_by).distinct().collect()}
-    if target is None:
+    if target is None or partition_by in keys:
         return filled, set()
     home = rows_in(target.select(*keys, partition_by), batch, list(keys)).select(partition_by).distinct()
     return filled, {row[0] for row in home.collect()} - filled
@@ -313,20 +317,29 @@ def store_merge(
 ) -> DataFrame:
     """Merge (or delete+insert) a batch, rewriting only the partitions it touches.
 
-    A key may move to another partition, so the touched ones are those of the
-    batch's rows and those of the target rows with its keys. The list is put
-    in a filter on the partition column, which prunes the scan. A partition
+    The batch is staged first, so that whatever it is computed from is read
+    once. A key may move to another partition, so the touched ones are those of
+    the batch's rows and those of the target rows with its keys. The list is
+    put in a filter on the partition column, which prunes the scan. A partition
     that loses its last row is cleared.
     """
-    if strategy == "merge":
-        require_unique_keys(batch, keys)
-    if not warehouse.exists(table):
-        return warehouse.replace(table, batch, [partition_by])
+    with warehouse.staged(batch) as rows:
+        if strategy == "merge":
+            require_unique_keys(rows, keys)
+        if not warehouse.exists(table):
+            return warehouse.replace(table, rows, [partition_by])
+        _merge_staged(warehouse, table, rows, keys, partition_by, exclude, strategy)
+    return warehouse.read(table)
+
+
+def _merge_staged(
+    warehouse: Warehouse, table: str, batch: DataFrame, keys: Sequence[str], partition_by: str, exclude: Sequence[str], strategy: str
+) -> None:
     target = warehouse.read(table)
     batch = batch.select(*target.columns)
     filled, left = touched_partitions(target, batch, keys, partition_by)
     if not filled:
-        return target
+        return
     old = target.where(_one_of(F.col(partition_by), filled | left))
     if strategy == "merge":
         rows = merge(old, batch, keys, exclude, check=False)
@@ -340,7 +353,6 @@ def store_merge(
     warehouse.overwrite_partitions(table, rows, [partition_by])
     for value in left:
         warehouse.clear_partition(table, **{partition_by: value})
-    return warehouse.read(table)
 
 
 def store_rollup(
@@ -389,8 +401,8 @@ def store_windows(
 
     The table is partitioned by the window's start (``batch_start``). All
     windows of the run are one job: their partitions are disjoint, so Spark
-    writes them side by side. Windows that the source has no rows for any more
-    are cleared.
+    writes them side by side. The rows are staged first, as with a merge, and
+    windows that the source has no rows for any more are cleared.
     """
     if start is None or end is None:
         raise ValueError("no batch window: refusing to replace every row")
@@ -399,14 +411,15 @@ def store_windows(
         return warehouse.read(table)
     lo, hi = str(windows[0].start), str(windows[-1].end)
     rows = source.where(in_window(F.col(column), lo, hi)).withColumn(
-        "batch_start", F.date_format(F.date_trunc(size, column), "yyyy-MM-dd'T'HH")
+        "batch_start", F.date_format(F.date_trunc(size, column), STAMP)
     )
     if not warehouse.exists(table):
         return warehouse.replace(table, rows, ["batch_start"])
-    out = warehouse.overwrite_partitions(table, rows, ["batch_start"])
-    stamps = [f"{w.start:%Y-%m-%dT%H}" for w in windows]
-    held = out.where(F.col("batch_start").isin(stamps)).select("batch_start").distinct()
-    fresh = rows.select("batch_start").distinct()
-    for row in held.exceptAll(fresh).collect():
-        warehouse.clear_partition(table, batch_start=row[0])
+    held = warehouse.read(table).where(in_window(F.to_timestamp_ntz("batch_start", F.lit(STAMP)), lo, hi))
+    stale = {row[0] for row in held.select("batch_start").distinct().collect()}
+    with warehouse.staged(rows) as fresh:
+        stale -= {row[0] for row in fresh.select("batch_start").distinct().collect()}
+        warehouse.overwrite_partitions(table, fresh, ["batch_start"])
+    for stamp in stale:
+        warehouse.clear_partition(table, batch_start=stamp)
     return warehouse.read(table)

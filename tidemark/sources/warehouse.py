@@ -8,7 +8,8 @@ build that fails leaves the old table as it was.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +95,32 @@ class Warehouse:
             raise ValueError(f"table {self.name(table)} already exists")
         return self.replace(table, df, partition_by)
 
+    @contextmanager
+    def staged(self, df: DataFrame) -> Iterator[DataFrame]:
+        """``df`` written once and dropped at the end.
+
+        For a batch that several steps read: it is computed once, all steps
+        see the same rows, a lost executor costs no recomputation of its
+        sources, and Spark knows its size when it plans the joins.
+        """
+        name = f"batch__{uuid.uuid4().hex}"
+        df.write.format("parquet").saveAsTable(self.name(name))
+        try:
+            yield self.read(name)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
+
+    def vacuum(self, table: str) -> None:
+        """Delete the files of superseded builds; call it when nobody reads them any more."""
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        root = fs.Path(f"{self.location}/{table}")
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        current = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").where("col_name = 'Location'")
+        keep = current.first()["data_type"].rstrip("/").rsplit("/", 1)[1]
+        for status in files.listStatus(root):
+            if status.getPath().getName() != keep:
+                files.delete(status.getPath(), True)
+
     def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
         """Replace exactly the partitions that ``df`` has rows for.
 

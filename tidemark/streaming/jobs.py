@@ -65,12 +65,13 @@ def upsert_latest(
     def step(batch: DataFrame, batch_id: int) -> None:
         house = Warehouse(batch.sparkSession, database, location)
         bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        fresh = first_per_key(batch, keys, [F.col(c) for c in order]).withColumn("key_bucket", bucket)
-        if house.exists(table):
-            touched = [row[0] for row in batch.select(bucket.alias("b")).distinct().collect()]
-            old = house.read(table).where(F.col("key_bucket").isin(touched))
-            fresh = first_per_key(old.unionByName(fresh), [*keys, "key_bucket"], [F.col(c) for c in order])
-        house.overwrite_partitions(table, fresh, ["key_bucket"])
+        newest = first_per_key(batch, keys, [F.col(c) for c in order]).withColumn("key_bucket", bucket)
+        with house.staged(newest) as fresh:
+            if house.exists(table):
+                touched = [row[0] for row in fresh.select("key_bucket").distinct().collect()]
+                old = house.read(table).where(F.col("key_bucket").isin(touched))
+                fresh = first_per_key(old.unionByName(fresh), [*keys, "key_bucket"], [F.col(c) for c in order])
+            house.overwrite_partitions(table, fresh, ["key_bucket"])
 
     run_batches(stream, checkpoint, step)
 
@@ -96,8 +97,9 @@ def rebuild_days(
         house = Warehouse(batch.sparkSession, database, location)
         rows = batch.withColumn("event_date", day).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         house.overwrite_partitions(landed, rows, ["event_date", "batch_id"])
-        touched = {row[0] for row in rows.select("event_date").distinct().collect()}
-        store_rollup(house, totals, house.read(landed), rollup, "event_date", touched)
+        facts = house.read(landed)
+        days = facts.where(F.col("batch_id") == batch_id).select("event_date").distinct()
+        store_rollup(house, totals, facts, rollup, "event_date", {row[0] for row in days.collect()})
 
     run_batches(stream, checkpoint, step)
 
