@@ -271,3 +271,21 @@ def test_constant_comparison_is_not_pushed_wrongly(spark, inputs):
 def test_great_circle(spark):
     km = pick(spark, numbers.great_circle_km(F.lit(40.6413), F.lit(-73.7781), F.lit(51.4700), F.lit(-0.4543)))
     assert km == pytest.approx(5540, abs=15)
+
+
+def test_differences_and_cuts_ignore_the_session_zone(spark):
+    """02:30 does not exist on the night the clocks go forward in New York."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        gap, noon = (F.lit(t).cast("timestamp_ntz") for t in ("2024-03-10 02:30:00.25", "2024-03-11 12:00:00"))
+        assert str(pick(spark, dates.truncate("hour", gap))) == "2024-03-10 02:00:00"
+        assert str(pick(spark, dates.truncate("millisecond", gap))) == "2024-03-10 02:30:00.250000"
+        assert pick(spark, dates.elapsed("hour", gap, noon)) == 33
+        assert pick(spark, dates.elapsed("hour", noon, gap)) == -33
+        assert pick(spark, dates.minutes_between(gap, noon)) == 2010.0
+        assert pick(spark, dates.boundaries_between("hour", gap, noon)) == 34
+        assert pick(spark, dates.boundaries_between("week", gap, noon)) == 1
+        assert pick(spark, dates.boundaries_between("quarter", noon, gap)) == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

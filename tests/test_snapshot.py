@@ -119,3 +119,10 @@ def test_closed_versions_are_not_rewritten(spark, house):
         spec.run(house, "h", zones(spark, (1, f"v{i}", 1)), t)
         assert before <= set(house.read("h").inputFiles())
     assert house.read("h").count() == 4
+
+
+def test_unclear_keys_are_refused(spark, house):
+    for bad in (zones(spark, (1, "a", 1), (1, "b", 1)), zones(spark, (None, "a", 1))):
+        with pytest.raises(ValueError, match="NULL or repeated key"):
+            Snapshot(["id"]).run(house, "h", bad, T[0])
+    assert not house.exists("h")

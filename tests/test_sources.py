@@ -29,6 +29,18 @@ def test_sampled_gzip_rows_keep_their_file_positions(spark, tmp_path):
     assert rows(df) == [(1, 10, "a"), (3, 30, "c")]
 
 
+@pytest.mark.parametrize("limit,want", [(None, 334), (1, 1), (100, 100), (1000, 334)])
+def test_one_gzip_file_and_many_plain_ones_agree(spark, tmp_path, limit, want):
+    spark.range(0, 1000, numPartitions=1).write.option("header", True).csv(str(tmp_path / "plain"))
+    path = write_gzip(tmp_path, "id\n" + "".join(f"{i}\n" for i in range(1000)))
+    found = [
+        rows(csvload.load_csv(spark, p, {"id": "BIGINT"}, sample_every=3, limit=limit, row_number_column="n"))
+        for p in (path, str(tmp_path / "plain"))
+    ]
+    assert found[0] == found[1] == [(i + 1, i) for i in range(0, 1000, 3)][:limit]
+    assert len(found[0]) == want
+
+
 def test_csv_keeps_listed_columns_in_listed_order(spark, tmp_path):
     path = write_gzip(tmp_path, "a,b,c\n1,x,2019-01-02 03:04:05\n2,,\n3,N/A,2019-01-02 00:00:00\n")
     df = csvload.load_csv(spark, path, {"c": "TIMESTAMP", "b": "VARCHAR"})

@@ -1,4 +1,8 @@
-"""Date and time expressions. Timestamps are zone-less unless said otherwise."""
+"""Date and time expressions.
+
+Timestamps are zone-less unless said otherwise. Differences and cuts do not go
+through the session time zone, whose clock changes would bend them.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +23,27 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def micros_between(start: Column | str, end: Column | str) -> Column:
+    """Elapsed microseconds between two zone-less timestamps."""
+    span = _col(end).cast("timestamp_ntz") - _col(start).cast("timestamp_ntz")
+    whole = F.extract(F.lit("DAY"), span) * 86_400 + F.extract(F.lit("HOUR"), span) * 3_600 + F.extract(F.lit("MINUTE"), span) * 60
+    return whole.cast("bigint") * 1_000_000 + (F.extract(F.lit("SECOND"), span) * 1_000_000).cast("bigint")
+
+
+def truncate(unit: str, ts: Column | str) -> Column:
+    """The start of the microsecond … year that a zone-less timestamp is in; weeks start on Monday."""
+    unit, t = unit.lower(), _col(ts).cast("timestamp_ntz")
+    day = F.to_date(t)
+    if unit in ("week", "month", "quarter", "year"):
+        return F.trunc(day, unit).cast("timestamp_ntz")
+    start = day.cast("timestamp_ntz")
+    if unit == "day":
+        return start
+    size = MICROSECONDS[unit]
+    into = micros_between(start, t)
+    return F.timestamp_add("MICROSECOND", into - into % size, start)
+
+
 def day_part(ts: Column | str) -> Column:
     """The named part of the day that a timestamp falls in."""
     hour = F.hour(_col(ts))
@@ -35,7 +60,7 @@ def iso_weekday(ts: Column | str) -> Column:
 
 def minutes_between(start: Column | str, end: Column | str, places: int = 2) -> Column:
     """Elapsed minutes, rounded."""
-    return rounded(F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(60_000_000.0), places)
+    return rounded(micros_between(start, end) / F.lit(60_000_000.0), places)
 
 
 def plus(ts: Column | str, interval: str) -> Column:
@@ -56,19 +81,31 @@ def boundaries_between(unit: str, start: Column | str, end: Column | str) -> Col
     cut to the unit first, and whole units are counted then.
     """
     unit = unit.lower()
-    a, b = (F.date_trunc(unit, _col(c).cast("timestamp_ntz")) for c in (start, end))
-    return F.timestamp_diff(unit.upper(), a, b)
+    a, b = (truncate(unit, c) for c in (start, end))
+    if unit in ("month", "quarter", "year"):
+        months = (F.year(b) - F.year(a)) * 12 + F.month(b) - F.month(a)
+        return F.call_function("div", months, F.lit({"month": 1, "quarter": 3, "year": 12}[unit])).cast("bigint")
+    return _whole(micros_between(a, b), unit)
 
 
 def elapsed(unit: str, start: Column | str, end: Column | str) -> Column:
     """How many whole units have passed, cut towards zero."""
-    return F.timestamp_diff(unit.upper(), _col(start), _col(end))
+    unit = unit.lower()
+    if unit in ("month", "quarter", "year"):
+        return F.timestamp_diff(unit.upper(), _col(start), _col(end))
+    return _whole(micros_between(start, end), unit)
+
+
+def _whole(micros: Column, unit: str) -> Column:
+    """Whole units in a number of microseconds, cut towards zero."""
+    size = 7 * MICROSECONDS["day"] if unit == "week" else MICROSECONDS[unit]
+    return F.call_function("div", micros, F.lit(size))
 
 
 def last_day_of(period: str, value: Column | str) -> Column:
     """The last date of the month, quarter or year that ``value`` is in."""
     months = {"month": 1, "quarter": 3, "year": 12}[period]
-    first = F.to_date(F.date_trunc(period, _col(value).cast("timestamp_ntz")))
+    first = F.trunc(F.to_date(_col(value)), period)
     return F.date_sub(F.add_months(first, months), 1)
 
 
@@ -135,4 +172,4 @@ def local_now() -> Column:
 def round_time(unit: str, ts: Column | str) -> Column:
     """Reduce precision by rounding to the nearest unit, half up."""
     half = MICROSECONDS[unit] // 2
-    return F.date_trunc(unit, F.timestamp_add("MICROSECOND", F.lit(half), _col(ts))).cast("timestamp_ntz")
+    return truncate(unit, F.timestamp_add("MICROSECOND", F.lit(half), _col(ts).cast("timestamp_ntz")))

@@ -18,6 +18,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import truncate
 from tidemark.operators.joins import align, differs
 from tidemark.operators.staging import rows_in, rows_not_in
 from tidemark.sources.tables import in_window
@@ -411,7 +412,7 @@ def store_windows(
         return warehouse.read(table)
     lo, hi = str(windows[0].start), str(windows[-1].end)
     rows = source.where(in_window(F.col(column), lo, hi)).withColumn(
-        "batch_start", F.date_format(F.date_trunc(size, column), STAMP)
+        "batch_start", F.replace(truncate(size, column).cast("string").substr(1, 13), F.lit(" "), F.lit("T"))
     )
     if not warehouse.exists(table):
         return warehouse.replace(table, rows, ["batch_start"])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import surrogate_key
+from tidemark.operators.incremental import require_unique_keys
 from tidemark.sources.warehouse import Warehouse
 
 HARD_DELETES = ("ignore", "invalidate", "new_record")
@@ -165,15 +166,19 @@ class Snapshot:
 
     # -- stored ---------------------------------------------------------------------
 
-    def run(self, warehouse: Warehouse, table: str, source: DataFrame, as_of: str) -> DataFrame:
+    def run(self, warehouse: Warehouse, table: str, source: DataFrame, as_of: str, check: bool = True) -> DataFrame:
         """Bring a stored history up to date, without rewriting closed versions.
 
+        A source with NULL or repeated keys is refused, unless ``check`` is off.
+
         The table is partitioned by ``version_set``: 'open' holds the current
         versions, and each run's closings get a partition of their own. One
         overwrite replaces 'open' and adds this run's closings, so a run that
         is repeated writes the same partitions again. If the source gained a
         column the table is rebuilt once with it.
         """
+        if check:
+            require_unique_keys(source, self.keys)
         if not warehouse.exists(table):
             first = self.first(source, as_of).withColumn("version_set", F.lit("open"))
             warehouse.replace(table, first, ["version_set"])

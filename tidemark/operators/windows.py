@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import truncate
 from tidemark.functions.numbers import rounded
 
 
@@ -67,7 +68,7 @@ def time_bucket(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = 2_0
     if it is too large are hours tried, then minutes, then seconds.
     """
     for unit in ("day", "hour", "minute", "second"):
-        bucket = F.date_trunc(unit, ts)
+        bucket = truncate(unit, ts)
         sizes = df.groupBy(*keys, bucket.alias("__bucket")).agg(F.count("*").alias("__n"))
         if (sizes.agg(F.max("__n")).first()[0] or 0) <= max_rows:
             return bucket

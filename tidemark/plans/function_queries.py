@@ -27,7 +27,7 @@ def hour_and_weekday(inputs: Inputs) -> DataFrame:
         FROM events""",
 )
 def minutes_between(inputs: Inputs) -> DataFrame:
-    midnight = F.date_trunc("day", "ts")
+    midnight = dates.truncate("day", "ts")
     return inputs("events").select("event_id", dates.minutes_between(midnight, "ts").alias("minutes"))
 
 
@@ -93,8 +93,8 @@ def last_day(inputs: Inputs) -> DataFrame:
 def date_trunc(inputs: Inputs) -> DataFrame:
     return inputs("events").select(
         "event_id",
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start"),
-        F.date_trunc("month", "ts").cast("timestamp_ntz").alias("month_start"),
+        dates.truncate("hour", "ts").alias("hour_start"),
+        dates.truncate("month", "ts").alias("month_start"),
         F.to_date("ts").alias("day"),
         F.make_date(F.year("ts"), F.month("ts"), F.lit(1)).alias("first_of_month"),
     )
@@ -147,7 +147,7 @@ def timestamp_text(inputs: Inputs) -> DataFrame:
         "event_id",
         dates.format_timestamp("ts").alias("to_second"),
         dates.format_timestamp("ts", "dd/MM/yyyy").alias("day_first"),
-        dates.timestamp_text(F.date_trunc("second", "ts")).alias("no_fraction"),
+        dates.timestamp_text(dates.truncate("second", "ts")).alias("no_fraction"),
         dates.timestamp_text("ts").alias("full_text"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import numbers
+from tidemark.functions import dates, numbers
 from tidemark.plans.registry import query, total
 from tidemark.session import scratch_path
 from tidemark.sources.tables import Inputs
@@ -121,7 +121,7 @@ def late_rows(inputs: Inputs) -> DataFrame:
     streamed = inputs.spark.read.schema(schemas[0]).parquet(out)
     landed = (
         inputs("events")
-        .groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"))
+        .groupBy(dates.truncate("day", "ts").alias("window_start"))
         .agg(F.count("*").alias("n_events"))
     )
     return jobs.late_rows(streamed, landed, ["window_start"], "n_events")

@@ -78,7 +78,8 @@ def load_csv(
     kept = list(column_types)
     if sample_every == 1 and limit is None and row_number_column is None:
         return _spread(rows.select(*kept), path)
-    sampled = stride(rows, sample_every, limit=limit, row_id=row_number_column or "__row_id")
+    one_split = path.endswith(".gz") and len(rows.inputFiles()) == 1
+    sampled = stride(rows, sample_every, limit, row_number_column or "__row_id", one_split)
     names = ([row_number_column] if row_number_column else []) + kept
     return _spread(sampled.select(*names), path)
 

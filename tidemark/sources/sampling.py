@@ -60,14 +60,23 @@ def ordered_positions(df: DataFrame, order: list[str], name: str = "__pos") -> D
     return file_positions(spark.read.schema(df.schema).parquet(path), name)
 
 
-def stride(rows: DataFrame, every: int, limit: int | None = None, row_id: str | None = None) -> DataFrame:
+def stride(
+    rows: DataFrame, every: int, limit: int | None = None, row_id: str | None = None, one_split: bool = False
+) -> DataFrame:
     """Keep positions 0, n, 2n, … of file-source rows, at most ``limit`` of them.
 
     ``row_id`` is put first and holds the 1-based position. The cap counts
     sampled rows from the start of the file: the k-th sampled row sits at
-    position ``(k - 1) * every``, so the cap is a plain filter.
+    position ``(k - 1) * every``, so the cap is a plain filter. A single file
+    that cannot be split (``one_split``) is one task, whose own count is the
+    position: it is read once, and no further than the cap.
     """
-    return _take(file_positions(rows), rows.columns, every, limit, row_id)
+    if one_split:
+        head = rows if limit is None else rows.limit(limit * every)
+        positioned = head.withColumn("__pos", F.monotonically_increasing_id())
+    else:
+        positioned = file_positions(rows)
+    return _take(positioned, rows.columns, every, limit, row_id)
 
 
 def every_nth(

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import elapsed
+
 # The columns of the given tables. Stating them saves the footer
 # read that schema inference costs on every scan.
 SCHEMAS = {
@@ -72,5 +74,5 @@ def freshness(df: DataFrame, column: str, as_of: str) -> DataFrame:
     return newest.select(
         "max_loaded_at",
         instant.alias("as_of"),
-        F.timestamp_diff("SECOND", "max_loaded_at", instant).alias("age_seconds"),
+        elapsed("second", "max_loaded_at", instant).alias("age_seconds"),
     )
