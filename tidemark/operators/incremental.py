@@ -300,11 +300,12 @@ def touched_partitions(target: DataFrame | None, batch: DataFrame, keys: Sequenc
     if the partition column is one of the keys, for then no key can move. The
     answer is a short list: one entry per partition.
     """
-    filled = {row[0] for row in batch.select(partition_by).distinct().collect()}
-    if target is None or partition_by in keys:
-        return filled, set()
-    home = rows_in(target.select(*keys, partition_by), batch, list(keys)).select(partition_by).distinct()
-    return filled, {row[0] for row in home.collect()} - filled
+    marked = batch.select(partition_by, F.lit(True).alias("__filled"))
+    if target is not None and partition_by not in keys:
+        home = rows_in(target.select(*keys, partition_by), batch, list(keys))
+        marked = marked.union(home.select(partition_by, F.lit(False)))
+    found = marked.groupBy(partition_by).agg(F.max("__filled").alias("__filled")).collect()
+    return {p for p, filled in found if filled}, {p for p, filled in found if not filled}
 
 
 def store_merge(
