@@ -50,6 +50,8 @@ def exact_percentiles(
     value: str,
     continuous: Mapping[str, float],
     discrete: Mapping[str, float],
+    measures: Sequence[tuple[str, Column]] = (),
+    mode: str | None = None,
     accuracy: int = 10_000,
     slices: int = 128,
 ) -> DataFrame:
@@ -66,12 +68,13 @@ def exact_percentiles(
     wanted = [*continuous.values(), *discrete.values()]
     margin = 4 / accuracy
     points = [min(max(q, 0.0), 1.0) for p in wanted for q in (p - margin, p + margin)]
-    known = df.where(F.col(value).isNotNull()).select(F.struct(*keys).alias("__key"), F.col(value).alias("__v"))
+    known = df.where(F.col(value).isNotNull()).select(F.struct(*keys).alias("__key"), F.col(value).alias("v"))
     sketch = known.groupBy("__key").agg(
-        F.percentile_approx("__v", points, accuracy).alias("__b"),
-        F.min("__v").alias("__min"),
-        F.max("__v").alias("__max"),
+        F.percentile_approx("v", points, accuracy).alias("__b"),
+        F.min("v").alias("__min"),
+        F.max("v").alias("__max"),
         F.count("*").alias("__total"),
+        *[measure.alias(name) for name, measure in measures],
     )
     small = F.col("__total") <= accuracy
     brackets = F.array(
@@ -84,23 +87,23 @@ def exact_percentiles(
             for i in range(len(wanted))
         ]
     )
-    counts = known.groupBy("__key", "__v").agg(F.count("*").alias("__n"))
-    paired = counts.join(sketch, "__key").select("__key", "__v", "__n", "__total", F.inline(brackets))
-    depth = F.try_divide((F.col("__v") - F.col("lo")).cast("double"), (F.col("hi") - F.col("lo")).cast("double"))
-    cut = F.when(F.col("__v") < F.col("lo"), -1).otherwise(F.coalesce(F.floor(depth * slices), F.lit(0)))
-    sliced = paired.where(F.col("__v") <= F.col("hi")).withColumn("__group", F.struct("__key", "i", cut.alias("slice")))
+    counts = known.groupBy("__key", "v").agg(F.count("*").alias("__n"))
+    paired = counts.join(sketch, "__key").select("__key", "v", "__n", "__total", F.inline(brackets))
+    depth = F.try_divide((F.col("v") - F.col("lo")).cast("double"), (F.col("hi") - F.col("lo")).cast("double"))
+    cut = F.when(F.col("v") < F.col("lo"), -1).otherwise(F.coalesce(F.floor(depth * slices), F.lit(0)))
+    sliced = paired.where(F.col("v") <= F.col("hi")).withColumn("__group", F.struct("__key", "i", cut.alias("slice")))
     # Running totals go through the slices first: one small row for each.
     order = Window.partitionBy("__group.__key", "__group.i").orderBy("__group.slice")
     totals = sliced.groupBy("__group").agg(F.sum("__n").alias("__rows"))
     starts = totals.select("__group", (F.sum("__rows").over(order) - F.col("__rows")).alias("__start"))
     inside = sliced.where(F.col("__group.slice") >= 0).withColumn(
-        "__upto", F.sum("__n").over(Window.partitionBy("__group").orderBy("__v"))
+        "__upto", F.sum("__n").over(Window.partitionBy("__group").orderBy("v"))
     )
     placed = inside.join(starts, "__group").withColumn("__last", F.col("__start") + F.col("__upto"))
 
     def at(i: int, position: Column) -> Column:
         here = (F.col("__last") - F.col("__n") <= position) & (position < F.col("__last"))
-        return F.max(F.when((F.col("i") == i) & here, F.col("__v")))
+        return F.max(F.when((F.col("i") == i) & here, F.col("v")))
 
     found, out = [], [F.col(f"__key.{k}").alias(k) for k in keys]
     for i, (name, p) in enumerate(continuous.items()):
@@ -112,7 +115,15 @@ def exact_percentiles(
         place = F.greatest(F.ceil(F.col("__total") * F.lit(p)) - 1, F.lit(0))
         found.append(at(i, place).alias(name))
         out.append(F.col(name))
-    return placed.groupBy("__key").agg(F.max("__total").alias("__total"), *found).select(*out)
+    result = placed.groupBy("__key").agg(F.max("__total").alias("__total"), *found)
+    if measures:
+        result = result.join(sketch.select("__key", *[name for name, _ in measures]), "__key")
+        out += [F.col(name) for name, _ in measures]
+    if mode:
+        common = counts.groupBy("__key").agg(F.min_by("v", F.struct(-F.col("__n"), F.col("v"))).alias(mode))
+        result = result.join(common, "__key")
+        out.append(F.col(mode))
+    return result.select(*out)
 
 
 def most_common(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Window functions.
 
 ``Window`` without a partition is used only on rollups whose row count is
-bounded by the calendar (one row per day). Windows over detail rows are cut
-into buckets of the order column, so that one hot key is many groups.
+bounded by the calendar (one row per day) or by a list of categories. Windows
+over detail rows are cut into buckets of the order column, so that one hot key
+is many groups.
 """
 
 from __future__ import annotations
@@ -16,6 +17,11 @@ from tidemark.functions.dates import truncate
 from tidemark.functions.numbers import rounded
 
 
+def _whole():
+    """All rows of a rollup."""
+    return Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def rolling_avg(value: Column | str, order: str, rows: int, scale: int = 2) -> Column:
     """Average over this row and the ``rows - 1`` before it, summed exactly."""
     w = Window.orderBy(order).rowsBetween(-(rows - 1), Window.currentRow)
@@ -44,21 +50,19 @@ def top_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: i
 
 
 def share_of_total(rollup: DataFrame, value: str, name: str, places: int = 2) -> DataFrame:
-    """Each rollup row's percentage of the whole, from a one-row total."""
-    total = rollup.agg(F.sum(value).cast("double").alias("total")).scalar()
+    """Each rollup row's percentage of the whole.
+
+    The total is taken over the rollup's few rows, so that the facts under it
+    are scanned once; a subquery for the total would scan them again.
+    """
+    total = F.sum(value).over(_whole()).cast("double")
     return rollup.withColumn(name, rounded(F.try_divide(F.col(value) * F.lit(100.0), total), places))
 
 
 def zscores(rollup: DataFrame, value: str, name: str, places: int = 3) -> DataFrame:
-    """Distance from the mean in sample standard deviations."""
-    stats = rollup.agg(
-        F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd")).alias("stats")
-    ).scalar()
-    return (
-        rollup.withColumn("__stats", stats)
-        .withColumn(name, rounded(F.try_divide(F.col(value) - F.col("__stats.mean"), F.col("__stats.sd")), places))
-        .drop("__stats")
-    )
+    """Distance from the mean in sample standard deviations, over a rollup's rows."""
+    mean, sd = F.avg(value).over(_whole()), F.stddev_samp(value).over(_whole())
+    return rollup.withColumn(name, rounded(F.try_divide(F.col(value) - mean, sd), places))
 
 
 def time_bucket(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = 2_000_000) -> Column:

@@ -104,20 +104,20 @@ def cube(inputs: Inputs) -> DataFrame:
 )
 def percentiles(inputs: Inputs) -> DataFrame:
     """Exact percentiles, mode and spread of the value per event type."""
-    events = inputs("events").select("event_type", "value")
+    spread = [
+        ("sd_value", numbers.rounded(F.stddev_samp("v"), 6)),
+        ("var_value", numbers.rounded(F.var_pop("v"), 6)),
+    ]
     found = aggregates.exact_percentiles(
-        events, ["event_type"], "value", {"median_value": 0.5, "p90_value": 0.9}, {"q1_value": 0.25}
-    )
-    spread = events.groupBy("event_type").agg(
-        numbers.rounded(F.stddev_samp("value"), 6).alias("sd_value"),
-        numbers.rounded(F.var_pop("value"), 6).alias("var_value"),
-    )
-    mode = aggregates.most_common(events, ["event_type"], "value", "mode_value")
-    return (
-        found.withColumns({c: numbers.rounded(c, 6) for c in ("median_value", "p90_value")})
-        .join(spread, "event_type")
-        .join(mode, "event_type")
+        inputs("events"),
+        ["event_type"],
+        "value",
+        {"median_value": 0.5, "p90_value": 0.9},
+        {"q1_value": 0.25},
+        measures=spread,
+        mode="mode_value",
     )
+    return found.withColumns({c: numbers.rounded(c, 6) for c in ("median_value", "p90_value")})
 
 
 @query(

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import rounded
-from tidemark.operators import incremental
+from tidemark.operators import incremental, windows
 from tidemark.operators.models import Context, run_model
 from tidemark.plans import mart_sql, marts
 from tidemark.plans.registry import query
@@ -47,12 +46,8 @@ def zscores(inputs: Inputs) -> DataFrame:
     """The z-scores as a Python model over the daily rollup."""
 
     def model(context: Context, spark) -> DataFrame:
-        stats = context.ref("daily").agg(
-            F.struct(F.avg("total_value").alias("mean"), F.stddev_samp("total_value").alias("sd"))
-        ).scalar()
-        scored = context.ref("daily").withColumn("stats", stats)
-        z = rounded((F.col("total_value") - F.col("stats.mean")) / F.col("stats.sd"), context.config["places"])
-        return scored.select("event_date", "n_events", "total_value", z.alias("value_zscore"))
+        daily = context.ref("daily").select("event_date", "n_events", "total_value")
+        return windows.zscores(daily, "total_value", "value_zscore", context.config["places"])
 
     context = Context({"daily": lambda: marts.daily_events(inputs)}, config={"places": 3}, this="daily_zscores")
     return run_model(model, context, inputs.spark, Warehouse.scratch(inputs.spark, "models"))
