@@ -36,6 +36,7 @@ def hot(spark, n=3000):
 def test_numbering_and_filling_do_not_depend_on_the_buckets(spark, limit):
     df = hot(spark)
     bucket = windows.time_bucket(df, ["k"], "ts", max_rows=limit)
+    assert (bucket is None) == (limit == 10**9)
     w = Window.partitionBy("k").orderBy("ts", "id")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     plain = df.select("id", F.row_number().over(w).cast("bigint").alias("n"), F.last("v", True).over(upto).alias("f"))

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from tidemark.operators import windows
 
 PACKAGE = Path(__file__).resolve().parent.parent / "tidemark"
 
@@ -44,14 +45,16 @@ def test_windows_over_detail_rows_are_partitioned(spark, name):
     assert "Exchange SinglePartition" not in plan(entry.queries()[name](spark, SMALL))
 
 
-def test_lines_are_shuffled_once_when_nothing_can_be_broadcast(spark):
+def test_detail_rows_move_once_for_a_hot_key(spark, inputs):
+    events = inputs("events").select("event_id", "user_id", "ts")
+    bucket = windows.time_bucket(events, ["user_id"], "ts", max_rows=2)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(entry.queries()["win_9_row_number"](spark, SMALL))
+        text = plan(windows.numbered(events, ["user_id"], ["ts", "event_id"], bucket, "n"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # The detail rows move once; the other exchanges carry counts.
+    # One exchange carries the rows; the other two on the group carry counts.
     assert text.count("Exchange hashpartitioning(__group") == 3
 
 

@@ -65,28 +65,33 @@ def zscores(rollup: DataFrame, value: str, name: str, places: int = 3) -> DataFr
     return rollup.withColumn(name, rounded(F.try_divide(F.col(value) - mean, sd), places))
 
 
-def time_bucket(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = 2_000_000) -> Column:
+def time_bucket(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = 2_000_000) -> Column | None:
     """The coarsest cut of a timestamp that leaves no group of a key too large.
 
-    The largest (key, day) group is measured first, a count made in parts; only
-    if it is too large are hours tried, then minutes, then seconds.
+    The largest key is measured first, by a count made in parts; if it is small
+    enough no cut is needed and the answer is None. Else the largest (key, day)
+    is, and hours, minutes and seconds only as far as needed.
     """
-    for unit in ("day", "hour", "minute", "second"):
-        bucket = truncate(unit, ts)
-        sizes = df.groupBy(*keys, bucket.alias("__bucket")).agg(F.count("*").alias("__n"))
+    for unit in (None, "day", "hour", "minute", "second"):
+        bucket = None if unit is None else truncate(unit, ts)
+        group = [F.col(k) for k in keys] + ([] if bucket is None else [bucket.alias("__bucket")])
+        sizes = df.groupBy(*group).agg(F.count("*").alias("__n"))
         if (sizes.agg(F.max("__n")).first()[0] or 0) <= max_rows:
             return bucket
     return F.col(ts)
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None, name: str) -> DataFrame:
     """``row_number`` per key, safe for hot keys.
 
     ``bucket`` must never fall while the order columns rise, such as the hour
     of the leading timestamp. Rows are numbered inside (key, bucket), and the
     counts of earlier buckets, pre-aggregated, are added. The order must be
-    total within a key.
+    total within a key. Without a bucket it is a plain window per key.
     """
+    if bucket is None:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn(name, place.cast("bigint"))
     rows = _grouped(df, keys, bucket)
     counts = rows.groupBy("__group").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(_bucket_order(keys)) - F.col("__n")
@@ -96,12 +101,15 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: C
     return joined.select(*df.columns, (F.col("__before") + F.col("__local")).alias(name))
 
 
-def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: str, name: str) -> DataFrame:
+def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None, value: str, name: str) -> DataFrame:
     """The last non-NULL value at or before each row of its key (``IGNORE NULLS``).
 
     Hot keys are cut into buckets as in :func:`numbered`: a bucket's rows see
     their own bucket, and beyond it the last known value of earlier buckets.
     """
+    if bucket is None:
+        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(name, F.last(value, ignorenulls=True).over(upto))
     rows = _grouped(df, keys, bucket)
     rank = F.when(F.col(value).isNotNull(), F.struct(*order))
     ends = rows.groupBy("__group").agg(F.max_by(value, rank).alias("__end"))
