@@ -75,6 +75,13 @@ def test_stored_merge_with_null_partition(spark, house):
     assert rows(house.read("t"), "id", "v") == [(1, "aa"), (2, "b"), (3, "c")]
 
 
+@pytest.mark.parametrize("home", [None, "it's", "a\\b", "d 1/2"])
+def test_odd_partition_values_are_cleared(spark, house, home):
+    inc.store_merge(house, "t", table(spark, (1, "a", home), (2, "b", "d2")), ["id"], "day")
+    inc.store_merge(house, "t", table(spark, (1, "aa", "d2")), ["id"], "day")
+    assert rows(house.read("t")) == [(1, "aa", "d2"), (2, "b", "d2")]
+
+
 def test_empty_batch_changes_nothing(spark, house):
     inc.store_merge(house, "t", table(spark, (1, "a", "d1")), ["id"], "day")
     inc.store_merge(house, "t", table(spark, (9, "z", "d9")).limit(0), ["id"], "day")

@@ -136,7 +136,7 @@ class Warehouse:
     def clear_partition(self, table: str, **values: object) -> None:
         """Remove the rows of one partition, given by all its column values."""
         target = self.read(table)
-        spec = ", ".join(f"{c} = '{v}'" for c, v in values.items())
+        spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in values.items())
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema if f.name not in values]
         view = f"no_rows_{uuid.uuid4().hex[:8]}"
         self.spark.range(0).select(*nulls).createOrReplaceTempView(view)
@@ -145,3 +145,11 @@ class Warehouse:
 
     def _rename(self, old: str, new: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.name(old)} RENAME TO {self.name(new)}")
+
+
+def _literal(value: object) -> str:
+    """A partition value in SQL."""
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
