@@ -41,6 +41,24 @@ def test_one_gzip_file_and_many_plain_ones_agree(spark, tmp_path, limit, want):
     assert len(found[0]) == want
 
 
+def test_sampled_gzip_parses_quotes_blanks_and_times(spark, tmp_path):
+    text = 'id,name,at\n1,"a, b",2024-01-02 03:04:05\n\n2,c,\n3,"say ""hi""",2024-01-03 00:00:00\n4,N/A,\n5,,2024-01-04 00:00:00\n'
+    path = write_gzip(tmp_path, text)
+    types = {"at": "TIMESTAMP", "id": "BIGINT", "name": "VARCHAR"}
+    df = csvload.load_csv(spark, path, types, sample_every=2, row_number_column="n")
+    assert csvload.load_csv(spark, path, types, sample_every=2, row_number_column="value").columns[0] == "value"
+    plain = tmp_path / "plain.csv"
+    plain.write_text(text)
+    other = csvload.load_csv(spark, str(plain), types, sample_every=2, row_number_column="n")
+    assert df.columns == other.columns == ["n", "at", "id", "name"] and df.dtypes == other.dtypes
+    assert rows(df, "n", "id", "name", "at") == rows(other, "n", "id", "name", "at")
+    assert rows(df, "name") == [("a, b",), ('say "hi"',), (None,)]
+    assert [r[:2] for r in rows(df, "n", "id")] == [(1, 1), (3, 3), (5, 5)]
+    bad = write_gzip(tmp_path, "id\nx\n2\n", "bad.csv.gz")
+    with pytest.raises(Exception, match="MALFORMED|CAST"):
+        csvload.load_csv(spark, bad, {"id": "BIGINT"}, sample_every=2).collect()
+
+
 def test_csv_keeps_listed_columns_in_listed_order(spark, tmp_path):
     path = write_gzip(tmp_path, "a,b,c\n1,x,2019-01-02 03:04:05\n2,,\n3,N/A,2019-01-02 00:00:00\n")
     df = csvload.load_csv(spark, path, {"c": "TIMESTAMP", "b": "VARCHAR"})

@@ -52,14 +52,15 @@ def load_csv(
     """Read a CSV file (gzip too) with a header into typed columns.
 
     Only the listed columns are kept, in the listed order; a value that does
-    not fit its type fails the read. An empty field is NULL and other text,
+    not fit its type fails the read (in a sampled gzip file, if its row is kept). An empty field is NULL and other text,
     'N/A' among it, stays text. ``row_number_column`` holds each row's 1-based
-    position in the file, the same however the file is sampled.
+    position in the file, the same however the file is sampled. A quote inside
+    a quoted field is doubled, as usual in CSV.
 
     A gzip file cannot be split, so one task decompresses it; the rows are
     spread out again before anything else happens to them.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    header = spark.read.option("header", True).option("escape", '"').csv(path).columns
     missing = [c for c in column_types if c not in header]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
@@ -70,6 +71,7 @@ def load_csv(
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
+        .option("escape", '"')
         .option("enforceSchema", False)
         .option("timestampFormat", timestamp_format)
         .option("timestampNTZFormat", timestamp_format)
@@ -78,12 +80,30 @@ def load_csv(
     kept = list(column_types)
     if sample_every == 1 and limit is None and row_number_column is None:
         return _spread(rows.select(*kept), path)
-    one_split = path.endswith(".gz") and len(rows.inputFiles()) == 1
-    sampled = stride(rows, sample_every, limit, row_number_column or "__row_id", one_split)
     names = ([row_number_column] if row_number_column else []) + kept
+    row_id = row_number_column or "__row_id"
+    if path.endswith(".gz") and len(rows.inputFiles()) == 1:
+        sampled = _sample_gzip(spark, path, schema, timestamp_format, sample_every, limit, row_id)
+    else:
+        sampled = stride(rows, sample_every, limit, row_id)
     return _spread(sampled.select(*names), path)
 
 
+def _sample_gzip(
+    spark: SparkSession, path: str, schema: T.StructType, timestamp_format: str, every: int, limit: int | None, row_id: str
+) -> DataFrame:
+    """Every n-th row of one gzip file, parsed after the sample is taken.
+
+    One task has to read the file, so it does no more than count lines; the
+    header is the first of them and blank ones do not count.
+    """
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).withColumnRenamed("value", "__line")
+    kept = stride(lines, every, limit, row_id, one_split=True, skip=1)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    options = {"mode": "FAILFAST", "escape": '"', "timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}
+    return kept.select(row_id, F.from_csv("__line", fields, options).alias("__row")).select(row_id, "__row.*")
+
+
 def _spread(df: DataFrame, path: str) -> DataFrame:
     return df.hint("rebalance") if path.endswith(".gz") else df
 
@@ -100,7 +120,7 @@ def load_seed(
     overrides = dict(overrides or {})
     reader = spark.read.option("header", True).option("timestampFormat", timestamp_format)
     reader = reader.option("timestampNTZFormat", timestamp_format)
-    reader = reader.option("inferSchema", True).option("preferDate", True)
+    reader = reader.option("escape", '"').option("inferSchema", True).option("preferDate", True)
     guessed = reader.csv(path).schema
     fields = []
     for field in guessed:
@@ -118,6 +138,7 @@ def load_seed(
         spark.read.schema(T.StructType(fields))
         .option("header", True)
         .option("mode", "FAILFAST")
+        .option("escape", '"')
         .option("timestampFormat", timestamp_format)
         .option("timestampNTZFormat", timestamp_format)
         .csv(path)

@@ -61,7 +61,12 @@ def ordered_positions(df: DataFrame, order: list[str], name: str = "__pos") -> D
 
 
 def stride(
-    rows: DataFrame, every: int, limit: int | None = None, row_id: str | None = None, one_split: bool = False
+    rows: DataFrame,
+    every: int,
+    limit: int | None = None,
+    row_id: str | None = None,
+    one_split: bool = False,
+    skip: int = 0,
 ) -> DataFrame:
     """Keep positions 0, n, 2n, … of file-source rows, at most ``limit`` of them.
 
@@ -69,11 +74,12 @@ def stride(
     sampled rows from the start of the file: the k-th sampled row sits at
     position ``(k - 1) * every``, so the cap is a plain filter. A single file
     that cannot be split (``one_split``) is one task, whose own count is the
-    position: it is read once, and no further than the cap.
+    position: it is read once, and no further than the cap. ``skip`` leaves out
+    its first rows.
     """
     if one_split:
-        head = rows if limit is None else rows.limit(limit * every)
-        positioned = head.withColumn("__pos", F.monotonically_increasing_id())
+        head = rows if limit is None else rows.limit(limit * every + skip)
+        positioned = head.withColumn("__pos", F.monotonically_increasing_id() - skip).where(F.col("__pos") >= 0)
     else:
         positioned = file_positions(rows)
     return _take(positioned, rows.columns, every, limit, row_id)
