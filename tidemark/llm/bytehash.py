@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -109,3 +110,28 @@ def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
         value = mix(value + counts[short].astype(np.uint64))
         out, at = np.concatenate([out, value]), np.concatenate([at, short])
     return out, at
+
+
+def portions(batch: pa.RecordBatch, column: int, max_bytes: int = 1 << 21) -> list[pa.RecordBatch]:
+    """The batch in slices whose texts have about ``max_bytes``; a longer text stands alone.
+
+    The arrays made from a text are several times as large as the text itself.
+    """
+    if not batch.num_rows:
+        return []
+    texts = batch.column(column)
+    sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // max_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
+def per_row(values: np.ndarray, rows: np.ndarray, n: int) -> list[np.ndarray]:
+    """The sorted distinct values of each of ``n`` rows."""
+    order = np.lexsort((values, rows))
+    values, rows = values[order], rows[order]
+    if len(values):
+        fresh = np.ones(len(values), bool)
+        fresh[1:] = (values[1:] != values[:-1]) | (rows[1:] != rows[:-1])
+        values, rows = values[fresh], rows[fresh]
+    return np.split(values, np.searchsorted(rows, np.arange(1, n)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import htmltext, quality, secrets
+from tidemark.llm import htmltext, jaccard, quality, secrets, suffixes
 from tidemark.llm.registry import QUERIES, SQL, query  # noqa: F401 - read by the entry module
 from tidemark.sources.tables import Inputs
 
@@ -46,6 +46,12 @@ FROM f
 """
 
 
+@query("op1_suffix_array_dedup")
+def op1_suffix_array_dedup(t: Inputs):
+    """What is left of every document without byte strings of 200 that occur twice."""
+    return suffixes.digests(t("documents"))
+
+
 @query("op2_quality_rules", QUALITY_SQL)
 def op2_quality_rules(t: Inputs):
     """Measures and the verdict of the cascade for every document."""
@@ -58,6 +64,12 @@ def op3_html_extraction(t: Inputs):
     return htmltext.extract(t("pages"))
 
 
+@query("op4_ngram_jaccard_join")
+def op4_ngram_jaccard_join(t: Inputs):
+    """Documents linked at 85 % of their four-word shingles, as components."""
+    return jaccard.near_duplicates(t("documents"), k=4, percent=85)
+
+
 @query("op6_secret_scans")
 def op6_secret_scans(t: Inputs):
     """Secrets in every document: base patterns, and structures confirmed by parsing."""
