@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import htmltext, jaccard, quality, secrets, suffixes
+from tidemark.llm import htmltext, jaccard, packing, quality, secretscan, suffixes
+from tidemark.llm.vocabularies import BYTE_BPE
 from tidemark.llm.registry import QUERIES, SQL, query  # noqa: F401 - read by the entry module
 from tidemark.sources.tables import Inputs
 
@@ -73,4 +74,10 @@ def op4_ngram_jaccard_join(t: Inputs):
 @query("op6_secret_scans")
 def op6_secret_scans(t: Inputs):
     """Secrets in every document: base patterns, and structures confirmed by parsing."""
-    return secrets.scan(t("documents"))
+    return secretscan.scan(t("documents"))
+
+
+@query("op10_lexical_packing")
+def op10_lexical_packing(t: Inputs):
+    """All documents in windows of 1024 tokens, together with documents that share their words."""
+    return packing.packed(t("documents"), *BYTE_BPE)
