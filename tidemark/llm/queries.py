@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import htmltext, jaccard, packing, quality, secretscan, suffixes
-from tidemark.llm.vocabularies import BYTE_BPE
+from pyspark.sql import functions as F
+
+from tidemark.llm import chat, htmltext, jaccard, neighbours, ordinal, packing, pieces, quality, secretscan, suffixes
+from tidemark.llm.vocabularies import BYTE_BPE, PIECES
 from tidemark.llm.registry import QUERIES, SQL, query  # noqa: F401 - read by the entry module
 from tidemark.sources.tables import Inputs
 
@@ -71,12 +73,38 @@ def op4_ngram_jaccard_join(t: Inputs):
     return jaccard.near_duplicates(t("documents"), k=4, percent=85)
 
 
+@query("op5_chat_formatting")
+def op5_chat_formatting(t: Inputs):
+    """Roles recovered from the texts of every conversation, and their canonical turns."""
+    turns = t("conversations")
+    return chat.formatted(turns.drop("role"), chat.train(turns))
+
+
 @query("op6_secret_scans")
 def op6_secret_scans(t: Inputs):
     """Secrets in every document: base patterns, and structures confirmed by parsing."""
     return secretscan.scan(t("documents"))
 
 
+@query("op7_nearest_neighbours")
+def op7_nearest_neighbours(t: Inputs):
+    """The ten nearest found of every hundredth vector, among all others."""
+    return neighbours.nearest(t("embeddings"), F.col("id") % 100 == 0)
+
+
+@query("op8_sentencepiece_nbest")
+def op8_sentencepiece_nbest(t: Inputs):
+    """The three best segmentations of every document."""
+    return pieces.encoded(t("documents"), PIECES, n=3)
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(t: Inputs):
+    """Expected grade, probability of the top grade and verdict for every document."""
+    model = ordinal.train(t("documents"), ordinal.grades_of(t("labels")), 3)
+    return ordinal.score(t("documents"), model)
+
+
 @query("op10_lexical_packing")
 def op10_lexical_packing(t: Inputs):
     """All documents in windows of 1024 tokens, together with documents that share their words."""
