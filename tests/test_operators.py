@@ -236,6 +236,14 @@ def test_day_parts(spark):
         ("x\ny", "^y", {}, 0),
         ("x\ny", "^y", {"flags": "m"}, 3),
         ("x\ny", "^y", {"flags": "w"}, 3),
+        ("abc abc", "^bc", {"start": 2}, 0),
+        ("abc abc", "bc$", {"start": 2}, 6),
+        ("abc", "c", {"start": 9}, 0),
+        ("xab ab", "(?<=x)ab", {"start": 2}, 2),
+        ("aa bb cc", r"(.)\1", {"occurrence": 2}, 4),
+        ("aa bb cc", r"(.)\1", {"start": 2, "occurrence": 2}, 7),
+        ("a(b a(b", "(b", {"flags": "q", "occurrence": 2}, 6),
+        ("abab cdcd", r"((.)(.))\1", {"occurrence": 2}, 6),
         (None, "a", {}, None),
         (None, "a", {"occurrence": 2}, None),
     ],
@@ -245,6 +253,21 @@ def test_regexp_instr(spark, value, pattern, kwargs, want):
     assert df.select(text.regexp_instr("s", pattern, **kwargs)).first()[0] == want
 
 
+@pytest.mark.parametrize("day,week", [("2023-01-01", 1), ("2023-01-07", 1), ("2023-01-08", 2), ("2024-12-31", 53), (None, None)])
+def test_week_counts_from_the_first_of_january(spark, day, week):
+    df = spark.createDataFrame([(day,)], "d string")
+    assert df.select(dates.week_of_year(F.to_date("d"))).first()[0] == week
+
+
+def test_exact_sums_refuse_more_decimals_than_stated(spark):
+    df = spark.createDataFrame([(0.004,)] * 3, "v double")
+    assert df.select(numbers.exact_sum("v", 3)).first()[0] == 0.012
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        df.select(numbers.exact_sum("v")).collect()
+    large = spark.createDataFrame([(123456789012.25,), (-0.25,), (None,)], "v double")
+    assert large.select(numbers.exact_sum("v")).first()[0] == 123456789012.0
+
+
 def test_regexp_instr_refuses(spark):
     with pytest.raises(ValueError):
         text.regexp_instr("s", "a", flags="z")

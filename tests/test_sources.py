@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -239,3 +240,25 @@ def test_zone_staging(spark):
     )
     flags = dict(rows(staging.stage_zones(zones), "location_id", "is_airport"))
     assert flags == {1: True, 132: True, 161: False, 264: False}
+
+
+def test_part_numbers_are_numbers(spark):
+    """part-100000 comes after part-99999, as Spark wrote them."""
+    import shutil
+
+    folder = scratch_path(spark, "parts")
+    for number, value in ((99999, "first"), (100000, "second")):
+        spark.createDataFrame([(value,)], "v string").coalesce(1).write.parquet(f"{folder}-{number}")
+        (part,) = Path(f"{folder}-{number}").glob("part-*.parquet")
+        Path(folder).mkdir(exist_ok=True)
+        shutil.copy(part, f"{folder}/part-{number}-x.parquet")
+    got = sampling.file_positions(spark.read.schema("v string").parquet(folder))
+    assert rows(got, "v", "__pos") == [("first", 0), ("second", 1)]
+
+
+def test_append_refuses_unknown_columns(spark, house):
+    house.append("t", spark.createDataFrame([(1,)], "a int"))
+    for extra in ("1 AS a, 2 AS b", "2 AS b"):
+        with pytest.raises(ValueError, match="differ in columns"):
+            house.append("t", spark.sql(f"SELECT {extra}"))
+    assert house.read("t").count() == 1

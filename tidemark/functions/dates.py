@@ -141,8 +141,8 @@ def iso_week_of_year(value: Column | str) -> Column:
 
 
 def week_of_year(value: Column | str) -> Column:
-    """The week number used for reports: the ISO week."""
-    return F.weekofyear(_col(value))
+    """The week counted from 1 January: days 1 to 7 are week 1, whatever weekday they are."""
+    return (F.floor((F.dayofyear(_col(value)) - 1) / 7) + 1).cast("int")
 
 
 def format_timestamp(ts: Column | str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

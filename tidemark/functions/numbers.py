@@ -15,14 +15,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Whole numbers are added in two halves, cut at this many bits. Each half stays
-# far inside a bigint for 10^12 rows and more.
-HALF_BITS = 24
+# Whole numbers are added in two halves, cut at this many bits. The low half of
+# a row is below 2^16, so 2^47 rows (10^14) fit into a bigint; so do as many high
+# halves of values below 2^32 units each (4 * 10^7 with two decimals).
+HALF_BITS = 16
 
 
 def units(value: Column | str, scale: int = 2) -> Column:
-    """A double that holds ``scale`` decimals as a whole number of its last place."""
-    return F.rint(_col(value) * 10**scale).cast("bigint")
+    """A double that holds ``scale`` decimals as a whole number of its last place.
+
+    A value with more decimals is an error: rounding it here, row by row, would
+    make the sum of many small values zero.
+    """
+    places = _col(value) * 10**scale
+    whole = F.rint(places)
+    wrong = F.raise_error(F.concat(F.lit(f"more than {scale} decimals: "), _col(value).cast("string")))
+    return F.when(F.abs(places - whole) > 1e-3 + F.abs(places) * 1e-15, wrong.cast("bigint")).otherwise(whole.cast("bigint"))
 
 
 def sum_units(value: Column | str, scale: int = 2) -> Column:

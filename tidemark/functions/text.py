@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,9 +52,11 @@ def regexp_instr(value: Column | str, pattern: str, start: int = 1, occurrence:
     m make dots stop and anchors match at line ends, p only the former, w only
     the latter, s neither, and q takes the pattern as plain text.
 
-    For a later occurrence one pattern runs over the text: the earlier matches
+    For a later start or occurrence one pattern runs over the whole text, so that
+    anchors and look-behind see what lies before ``start``: the earlier matches
     are atomic steps, and the length of what lies before the wanted match is
-    the answer. No list of matches is built.
+    the answer. No list of matches is built. Numbered back-references are moved
+    by the groups set around the pattern.
     """
     if start < 1 or occurrence < 1:
         raise ValueError("start and occurrence count from 1")
@@ -65,15 +69,30 @@ def regexp_instr(value: Column | str, pattern: str, start: int = 1, occurrence:
     letters += "m" if set(flags) & set("nmw") else ""
     letters += "i" if "i" in flags else ""
     inline = f"(?{letters})" if letters else ""
-    tail = F.substring(_col(value), start, 2147483647) if start > 1 else _col(value)
-    if occurrence == 1:
-        found = F.regexp_instr(tail, F.lit(inline + pattern))
-    else:
-        step = f"(?>[\\s\\S]*?(?:{pattern}))"
-        whole = f"{inline}\\A((?:{step}){{{occurrence - 1}}}[\\s\\S]*?)(?:{pattern})"
-        hit = F.length(F.regexp_extract(tail, whole, 1)) + 1
-        found = F.when(F.regexp_like(tail, F.lit(whole)), hit).when(tail.isNotNull(), 0)
-    return F.when(found > 0, found + (start - 1)).otherwise(found).cast("int")
+    column = _col(value)
+    if start == 1 and occurrence == 1:
+        return F.regexp_instr(column, F.lit(inline + pattern)).cast("int")
+    groups = 0 if "q" in flags else group_count(pattern)
+    moved = (lambda by: pattern) if "q" in flags else (lambda by: moved_references(pattern, by))
+    # Group 1 is what lies before the match; the steps' groups follow, then those of the match itself.
+    steps = f"(?:(?>[\\s\\S]*?(?:{moved(1)}))){{{occurrence - 1}}}" if occurrence > 1 else ""
+    last = moved(1 + (groups if occurrence > 1 else 0))
+    whole = f"{inline}\\A([\\s\\S]{{{start - 1}}}{steps}[\\s\\S]*?)(?:{last})"
+    hit = F.length(F.regexp_extract(column, whole, 1)) + 1
+    return F.when(F.regexp_like(column, F.lit(whole)), hit).when(column.isNotNull(), 0).cast("int")
+
+
+# An escape, a character class, or the opening of a group.
+PATTERN_PARTS = re.compile(r"\\Q.*?(?:\\E|$)|\\[1-9]|\\.|\[\^?\]?(?:\\.|[^\]\\])*\]|\(\?<(?![=!])|\((?!\?)", re.DOTALL)
+
+
+def group_count(pattern: str) -> int:
+    return sum(m[0][0] == "(" for m in PATTERN_PARTS.finditer(pattern))
+
+
+def moved_references(pattern: str, by: int) -> str:
+    """``pattern`` with its back-references pointing ``by`` groups further."""
+    return PATTERN_PARTS.sub(lambda m: f"(?:\\{int(m[0][1]) + by})" if re.fullmatch(r"\\[1-9]", m[0]) else m[0], pattern)
 
 
 def json_field(value: Column | str, path: str, kind: str = "string") -> Column:

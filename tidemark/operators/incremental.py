@@ -27,6 +27,7 @@ from tidemark.sources.warehouse import Warehouse
 # Fixed value: how the start of a batch window is written in a partition name.
 STAMP = "yyyy-MM-dd'T'HH"
 
+# The words for what to do about changed columns.
 SCHEMA_POLICIES = ("ignore", "fail", "append_new_columns", "sync_all_columns")
 
 
@@ -187,7 +188,7 @@ def replace_window(
     as it would drop every row.
     """
     if start is None and end is None and predicate is None:
-        raise ValueError("no batch window: refusing to replace every row")
+        raise ValueError("a window needs its bounds: without them all rows would be replaced")
     inside = F.lit(True)
     if start is not None:
         inside = inside & (F.col(column) >= F.lit(start).cast("timestamp_ntz"))
@@ -338,7 +339,7 @@ def _merge_staged(
     warehouse: Warehouse, table: str, batch: DataFrame, keys: Sequence[str], partition_by: str, exclude: Sequence[str], strategy: str
 ) -> None:
     target = warehouse.read(table)
-    batch = batch.select(*target.columns)
+    batch = warehouse.fitted(table, batch)
     filled, left = touched_partitions(target, batch, keys, partition_by)
     if not filled:
         return
@@ -407,7 +408,7 @@ def store_windows(
     windows that the source has no rows for any more are cleared.
     """
     if start is None or end is None:
-        raise ValueError("no batch window: refusing to replace every row")
+        raise ValueError("a window needs its bounds: without them all rows would be replaced")
     windows = batches(start, end, size, lookback, begin)
     if not windows:
         return warehouse.read(table)

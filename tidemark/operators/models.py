@@ -56,10 +56,9 @@ def run_model(
     """Run a model; with a warehouse, store its result as the table ``context.this``."""
     result = model(context, spark)
     if not isinstance(result, DataFrame):
-        kind = type(result)
         raise ModelError(
-            f"model() returned a {kind.__module__}.{kind.__name__}; return a Spark DataFrame "
-            "(use arrow_model or pandas_model to work on Arrow or pandas batches)"
+            f"a model must hand back a Spark DataFrame, and this one gave {type(result)!r}; "
+            "arrow_model and pandas_model apply functions on Arrow tables and pandas frames to one"
         )
     if warehouse is None:
         return result

@@ -12,6 +12,7 @@ from tidemark.functions.text import surrogate_key
 from tidemark.operators.incremental import require_unique_keys
 from tidemark.sources.warehouse import Warehouse
 
+# The words for what to do about keys that left the source.
 HARD_DELETES = ("ignore", "invalidate", "new_record")
 
 

@@ -118,7 +118,7 @@ def zone_conversion(inputs: Inputs) -> DataFrame:
     f"""SELECT o_orderkey, strftime({DAY}, '%a') AS d3, strftime({DAY}, '%A') AS d_long, strftime({DAY}, '%b') AS m3,
         strftime({DAY}, '%B') AS m_long, CAST(date_trunc('week', {DAY}) AS DATE) AS iso_start,
         CAST(date_trunc('week', {DAY} + 1) AS DATE) - 1 AS sunday, CAST(date_trunc('week', {DAY} + 1) AS DATE) + 5 AS saturday,
-        CAST(weekofyear({DAY}) AS INTEGER) AS iso_week, CAST(weekofyear({DAY}) AS INTEGER) AS week FROM orders""",
+        CAST(weekofyear({DAY}) AS INTEGER) AS iso_week, CAST((dayofyear({DAY}) - 1) // 7 + 1 AS INTEGER) AS week FROM orders""",
 )
 def calendar_names(inputs: Inputs) -> DataFrame:
     d = "o_orderdate"

@@ -66,7 +66,8 @@ TOP_NATIONS = f"""SELECT * FROM (SELECT coalesce(r_name, 'Unknown') AS region, c
   WHERE coalesce(r_name, 'Unknown') NOT IN ('Unknown', 'N/A') GROUP BY 1, 2) WHERE region_rank <= 3"""
 
 BORDER = f"""SELECT customer_region,
-  CASE WHEN customer_nation = supplier_nation THEN 'domestic'
+  CASE WHEN customer_nation = 'Unknown' OR supplier_nation = 'Unknown' THEN 'unknown'
+       WHEN customer_nation = supplier_nation THEN 'domestic'
        WHEN customer_region = supplier_region THEN 'same region' ELSE 'cross region' END AS direction,
   count(*) AS lines, {r(mean("l_quantity", 0), 2)} AS avg_quantity, {r(mean("l_extendedprice"), 2)} AS avg_price,
   {r("CAST(sum(revenue) AS DOUBLE) / count(*)", 2)} AS avg_revenue

@@ -225,10 +225,11 @@ def top_nations(inputs: Inputs, k: int = 3) -> DataFrame:
 
 
 def border_traffic(inputs: Inputs) -> DataFrame:
-    """Lines by direction: within a nation, within a region, or across regions."""
+    """Lines by direction: within a nation, within a region, across regions, or unknown where either end is."""
     lines = enriched_lines(inputs, ("customer", "supplier"))
     direction = (
-        F.when(F.col("customer_nation") == F.col("supplier_nation"), "domestic")
+        F.when((F.col("customer_nation") == joins.UNKNOWN) | (F.col("supplier_nation") == joins.UNKNOWN), "unknown")
+        .when(F.col("customer_nation") == F.col("supplier_nation"), "domestic")
         .when(F.col("customer_region") == F.col("supplier_region"), "same region")
         .otherwise("cross region")
     )

@@ -62,19 +62,23 @@ def pandas_statistics(inputs: Inputs) -> DataFrame:
     """
 
     def partials(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.assign(square=rows["value"] ** 2)
+        means = rows.groupby("user_id")["value"].transform("mean")
+        rows = rows.assign(apart=(rows["value"] - means) ** 2)
         folded = rows.groupby("user_id").agg(
-            n=("value", "size"), total=("value", "sum"), squares=("square", "sum"), top=("value", "max")
+            n=("value", "size"), total=("value", "sum"), apart=("apart", "sum"), top=("value", "max")
         )
         return folded.reset_index()
 
-    schema = "user_id bigint, n bigint, total double, squares double, top double"
+    schema = "user_id bigint, n bigint, total double, apart double, top double"
     parts = pandas_model(inputs("events").select("user_id", "value"), partials, schema)
-    n, total = F.sum("n"), F.sum("total")
-    variance = F.try_divide(F.sum("squares") - total * total / n, n - 1)
-    return parts.groupBy("user_id").agg(
+    # What lies apart inside the partials, and the partials' means from the user's mean: nothing large cancels.
+    means = parts.groupBy("user_id").agg((F.sum("total") / F.sum("n")).alias("mean"))
+    between = F.sum(F.col("n") * F.pow(F.col("total") / F.col("n") - F.col("mean"), 2))
+    n = F.sum("n")
+    variance = F.try_divide(F.sum("apart") + between, n - 1)
+    return parts.join(means, "user_id").groupBy("user_id").agg(
         n.alias("n_events"),
         F.max("top").alias("top_value"),
-        F.round((total / n).cast("decimal(38,10)"), 4).cast("double").alias("avg_value"),
+        F.round(F.first("mean").cast("decimal(38,10)"), 4).cast("double").alias("avg_value"),
         F.round(variance.cast("decimal(38,10)"), 4).cast("double").alias("var_value"),
     )

@@ -164,7 +164,7 @@ def reload_seed(warehouse: Warehouse, table: str, rows: DataFrame, full_refresh:
     old = warehouse.read(table)
     unknown = [c for c in rows.columns if c not in old.columns]
     if unknown:
-        raise ValueError(f"{table} has no column {', '.join(unknown)}; reload it with full_refresh")
+        raise ValueError(f"new columns in the seed of {table}: {', '.join(unknown)}. Only full_refresh changes a seed table's columns")
     fitted = [
         (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in old.schema
     ]

@@ -7,7 +7,7 @@ counts its own rows, and only the per-split counts are put in sequence.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -32,7 +32,7 @@ def file_positions(rows: DataFrame, name: str = "__pos") -> DataFrame:
     # Running totals in two steps, files first, so that no window holds more
     # than the splits of one file or one row per file.
     files = counts.groupBy("__file").agg(F.sum("__rows").alias("__file_rows"))
-    before_file = F.sum("__file_rows").over(Window.orderBy("__file")) - F.col("__file_rows")
+    before_file = F.sum("__file_rows").over(Window.orderBy(*file_order("__file"))) - F.col("__file_rows")
     files = files.select("__file", before_file.alias("__file_start"))
     in_file = Window.partitionBy("__file").orderBy("__block")
     starts = (
@@ -40,13 +40,21 @@ def file_positions(rows: DataFrame, name: str = "__pos") -> DataFrame:
         .join(files, "__file")
         .select(*split, (F.col("__file_start") + F.col("__block_start") - F.col("__first")).alias("__shift"))
     )
+    # A split that the counting pass did not see must not lose its rows silently.
+    lost = F.raise_error(F.lit("the files were split differently while they were counted; run again"))
     return (
-        local.join(starts, split)
-        .withColumn(name, F.col("__shift") + F.col("__seq"))
+        local.join(starts, split, "left")
+        .withColumn(name, F.when(F.col("__shift").isNull(), lost.cast("bigint")).otherwise(F.col("__shift") + F.col("__seq")))
         .drop("__file", "__block", "__seq", "__shift")
     )
 
 
+def file_order(path: str) -> list[Column]:
+    """Folder, then Spark's part number as a number, then name: part 99999 comes before part 100000."""
+    folder, part = F.regexp_extract(path, r"^(.*)/[^/]*$", 1), F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1)
+    return [folder, F.coalesce(part.try_cast("bigint"), F.lit(-1)), F.col(path)]
+
+
 def ordered_positions(df: DataFrame, order: list[str], name: str = "__pos") -> DataFrame:
     """Add each row's 0-based position in a stated order, which must be total.
 

@@ -81,12 +81,20 @@ class Warehouse:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(backup)}")
         return self.read(table)
 
+    def fitted(self, table: str, df: DataFrame) -> DataFrame:
+        """``df`` in the table's column order; a column that one of them lacks is an error."""
+        columns = self.read(table).columns
+        new, missing = [c for c in df.columns if c not in columns], [c for c in columns if c not in df.columns]
+        if new or missing:
+            raise ValueError(f"{table} and the rows differ in columns: new {new}, missing {missing}; fit_schema decides what to do")
+        return df.select(*columns)
+
     def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Add rows to a table, creating it if it is new."""
         if not self.exists(table):
             return self.replace(table, df, partition_by)
         rows = df.hint("rebalance", *partition_by) if partition_by else df
-        rows.select(*self.read(table).columns).write.mode("append").insertInto(self.name(table))
+        self.fitted(table, rows).write.mode("append").insertInto(self.name(table))
         return self.read(table)
 
     def create(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -129,7 +137,7 @@ class Warehouse:
         """
         if not self.exists(table):
             return self.replace(table, df, partition_by)
-        ordered = df.hint("rebalance", *partition_by).select(*self.read(table).columns)
+        ordered = self.fitted(table, df.hint("rebalance", *partition_by))
         ordered.write.mode("overwrite").insertInto(self.name(table))
         return self.read(table)
 

@@ -88,20 +88,21 @@ def rebuild_days(
 ) -> None:
     """Keep day totals that are right although a batch holds only part of a day.
 
-    Rows are landed first, in a partition per (day, batch), so that a replayed
-    batch replaces its own rows. The touched days are then computed again from
-    all their landed rows.
+    Rows are landed first, in a partition per day and source file. A file comes
+    whole in one batch, so reading it again, in whatever batch, under the same
+    checkpoint or a new one, replaces its own rows. The touched days are then
+    computed again from all their landed rows. ``stream`` must come straight
+    from files.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         house = Warehouse(batch.sparkSession, database, location)
-        rows = batch.withColumn("event_date", day).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        house.overwrite_partitions(landed, rows, ["event_date", "batch_id"])
-        facts = house.read(landed)
-        days = facts.where(F.col("batch_id") == batch_id).select("event_date").distinct()
-        store_rollup(house, totals, facts, rollup, "event_date", {row[0] for row in days.collect()})
+        with house.staged(batch.withColumn("event_date", day)) as rows:
+            house.overwrite_partitions(landed, rows, ["event_date", "origin"])
+            days = {row[0] for row in rows.select("event_date").distinct().collect()}
+        store_rollup(house, totals, house.read(landed), rollup, "event_date", days)
 
-    run_batches(stream, checkpoint, step)
+    run_batches(stream.select("*", F.xxhash64("_metadata.file_path").alias("origin")), checkpoint, step)
 
 
 def tumbling_totals(stream: DataFrame, ts: str, delay: str, keys: Sequence[str], measures: Sequence[Column], width: str = "1 day") -> DataFrame:
