@@ -40,6 +40,27 @@ def test_rerun_changes_nothing(spark, house):
     assert rows(spec.run(house, "h", states[1], T[2])) == first
 
 
+def test_a_run_that_breaks_off_is_mended_by_the_next(spark, house, monkeypatch):
+    spec = Snapshot(["id"], hard_deletes="new_record")
+    states = [zones(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3)), zones(spark, (1, "aa", 1), (3, "c", 3))]
+    for table in ("clean", "broken"):
+        spec.run(house, table, states[0], T[0])
+    want = rows(spec.run(house, "clean", states[1], T[1]))
+    write, calls = type(house).overwrite_partitions, []
+
+    def once(self, *args):
+        calls.append(args)
+        if len(calls) > 1:
+            raise RuntimeError("lost")
+        return write(self, *args)
+
+    monkeypatch.setattr(type(house), "overwrite_partitions", once)
+    with pytest.raises(RuntimeError):
+        spec.run(house, "broken", states[1], T[1])
+    monkeypatch.setattr(type(house), "overwrite_partitions", write)
+    assert rows(spec.run(house, "broken", states[1], T[1])) == want
+
+
 def test_null_changes_are_changes(spark):
     spec = Snapshot(["id"], check_cols=["zone"])
     history = spec.first(zones(spark, (1, None, 1), (2, "b", 1), (3, None, 1)), T[0])

@@ -173,9 +173,10 @@ class Snapshot:
         A source with NULL or repeated keys is refused, unless ``check`` is off.
 
         The table is partitioned by ``version_set``: 'open' holds the current
-        versions, and each run's closings get a partition of their own. One
-        overwrite replaces 'open' and adds this run's closings, so a run that
-        is repeated writes the same partitions again. If the source gained a
+        versions, and each run's closings get a partition of their own. The
+        closings are written before 'open' is replaced, so a run that broke off
+        is mended by repeating it; until then a reader may see a closed version
+        as open too. If the source gained a
         column the table is rebuilt once with it.
         """
         if check:
@@ -193,7 +194,11 @@ class Snapshot:
             warehouse.replace(table, rest.unionByName(rows, allowMissingColumns=True), ["version_set"])
         else:
             all_closed = self.hard_deletes == "invalidate" and source.isEmpty()
-            warehouse.overwrite_partitions(table, rows, ["version_set"])
+            # Closings go first: if the run breaks off between the two, a rerun still finds
+            # the open versions as they were and writes the same closings again.
+            with warehouse.staged(rows) as ready:
+                for part in (ready.where("version_set <> 'open'"), ready.where("version_set = 'open'")):
+                    warehouse.overwrite_partitions(table, part, ["version_set"])
             if all_closed:
                 warehouse.clear_partition(table, version_set="open")
         return warehouse.read(table).drop("version_set")
