@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 18
 PER_GRADE = 4000  # bound of the labelled sample, per grade
 MIN_DOCS = 4  # a bucket must occur in so many sampled documents to get a weight
-L2 = 3e-3
-STEPS = 150
+L2 = 1e-3
+STEPS = 300
+KEEP_FROM = 0.35  # least probability of the top grade: between clean and toxic held-out documents
 STEMS = (5, 7)  # beginnings of words that are features too, for inflected and compound words
 
 SYMBOL = re.compile(r"[#*$%&|<>!]")
@@ -83,7 +84,8 @@ def fit(documents: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Model
     m = [np.zeros(len(used)), np.zeros(n_grades - 1)]
     v = [np.zeros(len(used)), np.zeros(n_grades - 1)]
     lower = np.arange(n_grades - 1)
-    share = 1 / np.bincount(grades, minlength=n_grades)[grades] / n_grades  # every grade counts alike
+    share = 1 / np.sqrt(np.bincount(grades, minlength=n_grades))[grades]  # rare grades count for more
+    share /= share.sum()
     for step in range(1, STEPS + 1):
         s = np.bincount(doc, w[place], minlength=n)
         t = thresholds(gaps)
@@ -121,7 +123,7 @@ def train(docs: DataFrame, grades: DataFrame, n_grades: int, id_col: str = "doc_
     return fit([np.asarray(f, np.int64) for f in rows["features"]], rows["grade"].to_numpy(np.int64), n_grades)
 
 
-def score(docs: DataFrame, model: Model, keep_from: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, keep_from: float = KEEP_FROM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, score, expected_grade, p_top (probability of the highest grade) and kept (p_top >= keep_from)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
