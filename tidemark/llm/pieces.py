@@ -9,7 +9,7 @@ never one too many. A text's best segmentations deviate from the best in few wor
 the N - 1 words whose second choice costs least are enough.
 
 Characters the vocabulary lacks become byte pieces. Every row is encoded whole and
-on its own; words are remembered by a task up to a bound. A null text is empty.
+on its own; words are remembered by a worker up to a bound. A null text is empty.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
-MEMORY = 300_000  # words a task remembers
+MEMORY = 500_000  # words a worker remembers
 
 
 class Pieces:
@@ -37,80 +38,99 @@ class Pieces:
         import sentencepiece
 
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.score: dict[str, tuple[int, float]] = {}
+        # Every beginning of a piece: None, or the ids and score of the piece that it is.
+        self.known: dict[str, tuple[tuple[int, ...], float] | None] = {}
         self.bytes: dict[int, int] = {}
+        lowest = 0.0
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                self.score[piece] = ((i,), model.get_score(i))
-        self.begins = {p[:k] for p in self.score for k in range(1, len(p) + 1)}
-        self.floor = min(s for _, s in self.score.values()) - 10.0  # of a character in bytes
+                for k in range(1, len(piece)):
+                    self.known.setdefault(piece[:k], None)
+                self.known[piece] = ((i,), model.get_score(i))
+                lowest = min(lowest, model.get_score(i))
+        self.floor = lowest - 10.0  # of a character in bytes
         self.unknown = model.unk_id()
-        self.memory: dict[tuple[str, int], list[tuple[float, bytes]]] = {}
+        self.memory: dict[str, tuple[float, bytes, float]] = {}
+
+    def spelled(self, char: str) -> tuple[tuple[int, ...], float]:
+        """A character outside the vocabulary, as bytes."""
+        data = char.encode("utf-8", "replace")
+        ids = tuple(self.bytes[b] for b in data) if self.bytes else (self.unknown,)
+        return ids, self.floor * len(ids)
 
     def lattice(self, word: str) -> tuple[list[list[tuple[int, tuple[int, ...], float]]], list[float]]:
         """For every end the pieces (start, ids, score) that lead there, and the best score up to it."""
-        n, get, begins = len(word), self.score.get, self.begins
+        n, known = len(word), self.known
         into: list[list[tuple[int, tuple[int, ...], float]]] = [[] for _ in range(n + 1)]
         best = [0.0] + [-math.inf] * n
         for start in range(n):
             so_far = best[start]
-            if word[start] not in self.score:
-                data = word[start].encode("utf-8", "replace")
-                ids = tuple(self.bytes[b] for b in data) if self.bytes else (self.unknown,)
-                into[start + 1].append((start, ids, self.floor * len(ids)))
-                best[start + 1] = max(best[start + 1], so_far + self.floor * len(ids))
+            if not known.get(word[start]):
+                ids, score = self.spelled(word[start])
+                into[start + 1].append((start, ids, score))
+                if so_far + score > best[start + 1]:
+                    best[start + 1] = so_far + score
             for end in range(start + 1, n + 1):
-                part = word[start:end]
-                if part not in begins:
+                found = known.get(word[start:end], False)
+                if found:
+                    ids, score = found
+                    into[end].append((start, ids, score))
+                    if so_far + score > best[end]:
+                        best[end] = so_far + score
+                elif found is False:
                     break
-                if found := get(part):
-                    into[end].append((start, found[0], found[1]))
-                    if so_far + found[1] > best[end]:
-                        best[end] = so_far + found[1]
         return into, best
 
     def best(self, word: str, n: int) -> list[tuple[float, bytes]]:
         """The ``n`` best segmentations of a word: (score, packed ids), best first, ties by ids."""
-        key = (word, n)
-        if key in self.memory:
-            return self.memory[key]
         into, ahead = self.lattice(word)
         found: list[tuple[float, bytes]] = []
         # (total if completed best, ids so far, place, score so far)
         heap: list[tuple[float, tuple[int, ...], int, float]] = [(-ahead[-1], (), len(word), 0.0)]
         push, pop = heapq.heappush, heapq.heappop
-        while heap and len(found) < n:
+        while heap:
             _, ids, place, score = pop(heap)
             if not place:
                 found.append((score, array("i", ids).tobytes()))
+                if len(found) == n:
+                    break
                 continue
             for start, piece, gain in into[place]:
-                push(heap, (-(ahead[start] + gain + score), piece + ids, start, score + gain))
+                total = score + gain
+                push(heap, (-(ahead[start] + total), piece + ids, start, total))
+        return found
+
+    def known_word(self, word: str) -> tuple[float, bytes, float]:
+        """Score and ids of a word's best segmentation, and what the second best costs more; remembered."""
+        ways = self.best(word, 2)
         if len(self.memory) >= MEMORY:
             self.memory.clear()
-        self.memory[key] = found
-        return found
+        entry = self.memory[word] = (*ways[0], ways[0][0] - ways[1][0] if len(ways) > 1 else math.inf)
+        return entry
 
     def nbest(self, text: str | None, n: int) -> list[tuple[float, bytes]]:
         """The ``n`` best segmentations of a whole text: (score, packed ids)."""
-        words = [self.best(w, n) for w in WORD.findall(self.model.normalize(text or ""))]
-        total = sum(w[0][0] for w in words)
-        first = [w[0][1] for w in words]
+        names = WORD.findall(self.model.normalize(text or ""))
+        get = self.memory.get
+        words = [get(w) or self.known_word(w) for w in names]
+        total = sum([w[0] for w in words])
+        first = [w[1] for w in words]
         if n == 1 or not words:
             return [(total, b"".join(first))]
-        spare = heapq.nsmallest(n - 1, ((w[0][0] - w[1][0], i) for i, w in enumerate(words) if len(w) > 1))
-        ways: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
-        for _, i in spare:
-            options = [(cost + words[i][0][0] - s, (*chosen, (i, k)) if k else chosen) for cost, chosen in ways for k, (s, _) in enumerate(words[i])]
+        costs = [w[2] for w in words]
+        spare = [(i, self.best(names[i], n)) for i in heapq.nsmallest(n - 1, range(len(costs)), costs.__getitem__) if costs[i] < math.inf]
+        ways: list[tuple[float, tuple[tuple[int, bytes], ...]]] = [(0.0, ())]
+        for i, choices in spare:
+            options = [(cost + choices[0][0] - s, (*chosen, (i, ids)) if k else chosen) for cost, chosen in ways for k, (s, ids) in enumerate(choices)]
             ways = heapq.nsmallest(n, options)
         out = []
         for cost, chosen in ways:
             parts = first if not chosen else first.copy()
-            for i, k in chosen:
-                parts[i] = words[i][k][1]
+            for i, ids in chosen:
+                parts[i] = ids
             out.append((total - cost, b"".join(parts)))
         return out
 
@@ -118,6 +138,12 @@ class Pieces:
         return self.model.decode(array("i", packed).tolist())
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str) -> Pieces:
+    """One vocabulary per worker process, so that its later tasks remember words too."""
+    return Pieces(path)
+
+
 def encoded(docs: DataFrame, path: str, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_pieces and ids_crc32 of the best segmentation, and ``scores``, ``crcs`` of the ``n`` best.
 
@@ -126,7 +152,7 @@ def encoded(docs: DataFrame, path: str, n: int = 3, id_col: str = "doc_id", text
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path)
+        pieces = loaded(path)
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
