@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.quality import Check, is_null, relationships, unique_combination
 from tidemark.sources.csvload import spark_type
 from tidemark.sources.warehouse import Warehouse
 
@@ -32,7 +33,7 @@ class Contract:
     """The columns of a table, in order, and what else is declared of it.
 
     ``not_null`` and ``checks`` are enforced on every write. Keys are declared
-    only; test them with ``unique_combination`` and ``relationships``.
+    only; :meth:`tests` turns them into data tests.
     """
 
     columns: Sequence[Column]
@@ -41,6 +42,19 @@ class Contract:
     unique: Sequence[Sequence[str]] = ()
     foreign_keys: Sequence[tuple[str, str, str]] = field(default=())
 
+    def tests(self, df: DataFrame, parents: Mapping[str, DataFrame]) -> list[Check]:
+        """Data tests of the declared keys; ``parents`` has the tables that foreign keys name."""
+        found = []
+        if self.primary_key:
+            found += [Check(f"not_null({c})", rule=is_null(c)) for c in self.primary_key]
+            found.append(Check(f"primary_key({', '.join(self.primary_key)})", failures=unique_combination(df, self.primary_key)))
+        for columns in self.unique:
+            whole = df.dropna(how="any", subset=list(columns))  # as in SQL, NULLs are not compared
+            found.append(Check(f"unique({', '.join(columns)})", failures=unique_combination(whole, columns)))
+        for column, parent, parent_column in self.foreign_keys:
+            found.append(Check(f"foreign_key({column})", failures=relationships(df, column, parents[parent], parent_column)))
+        return found
+
     def mismatches(self, df: DataFrame) -> list[tuple[str, str | None, str | None, str]]:
         """(column, declared type, found type, reason) for every difference; reads no rows."""
         found = {f.name: f.dataType.simpleString() for f in df.schema}

@@ -97,21 +97,19 @@ def contract_check(inputs: Inputs) -> DataFrame:
     "con_4_declared_keys",
     """SELECT 'primary_key(l_orderkey, l_linenumber)' AS declared, (SELECT count(*) FROM (SELECT 1 FROM lineitem
          GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)) AS failures
+       UNION ALL SELECT 'not_null(l_orderkey)', (SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL)
+       UNION ALL SELECT 'not_null(l_linenumber)', (SELECT count(*) FROM lineitem WHERE l_linenumber IS NULL)
        UNION ALL SELECT 'foreign_key(l_orderkey)', (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN
          (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'))
        UNION ALL SELECT 'unique(o_orderkey)', (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1))""",
 )
 def declared_keys(inputs: Inputs) -> DataFrame:
-    """Keys are declared, not enforced; as tests they say where they do not hold."""
+    """Keys are declared in contracts, not enforced; as tests they say where they do not hold."""
     lines, orders = inputs("lineitem"), inputs("orders")
-    tests = {
-        "primary_key(l_orderkey, l_linenumber)": quality.unique_combination(lines, ["l_orderkey", "l_linenumber"]),
-        "foreign_key(l_orderkey)": quality.relationships(
-            lines, "l_orderkey", orders.where("o_orderstatus <> 'P'"), "o_orderkey"
-        ),
-        "unique(o_orderkey)": quality.unique(orders, "o_orderkey"),
-    }
-    results = quality.run_suite([(lines, [Check(name, failures=df) for name, df in tests.items()])])
+    placed = orders.where("o_orderstatus <> 'P'")
+    line_keys = Contract([], primary_key=["l_orderkey", "l_linenumber"], foreign_keys=[("l_orderkey", "placed", "o_orderkey")])
+    order_keys = Contract([], unique=[["o_orderkey"]])
+    results = quality.run_suite([(lines, line_keys.tests(lines, {"placed": placed})), (orders, order_keys.tests(orders, {}))])
     return results.select(F.col("test").alias("declared"), "failures")
 
 
