@@ -26,7 +26,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -167,60 +166,76 @@ def formatted(turns: DataFrame, model: Model) -> DataFrame:
 
     ``turns`` has conv_id, turn and text; roles are not read.
     """
-    spark = turns.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = turns.sparkSession.sparkContext.broadcast(model)
     kind = turns.schema["conv_id"].dataType.simpleString()
-    rows = stored(rows_of(turns), "transcripts")
-    order = ["turn", "text"]
-
-    def shrink(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order, na_position="first")
-        matrix = reduced(shared.value, plain(frame["text"]))
-        return pd.DataFrame({"conv": frame["conv"].iloc[:1], "block": frame["block"].iloc[:1], "matrix": [matrix.ravel().tolist()]})
-
-    def bounds(frame: pd.DataFrame) -> pd.DataFrame:
-        """The best roles before and at the end of each block."""
-        frame = frame.sort_values("block")
-        score, back = None, []
-        for flat in frame["matrix"]:
-            matrix = np.array(flat).reshape(-1, len(ROLES))
-            if score is None:
-                score = matrix[NONE]
-                continue
-            ways = score[:, None] + matrix[:NONE]
-            back.append(ways.argmax(0))
-            score = ways.max(0)
-        ends = [int(score.argmax())]
-        for pointers in reversed(back):
-            ends.append(int(pointers[ends[-1]]))
-        ends.reverse()
-        return pd.DataFrame({"conv": frame["conv"], "block": frame["block"], "before": [NONE, *ends[:-1]], "role_at_end": ends})
-
-    matrices = rows.groupBy("conv", "block").applyInPandas(shrink, f"conv {kind}, block long, matrix array<double>")
-    limits = matrices.groupBy("conv").applyInPandas(bounds, f"conv {kind}, block long, before int, role_at_end int")
-
-    def decode(frame: pd.DataFrame, limit: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order, na_position="first")
-        texts = plain(frame["text"])
-        roles = iter(decoded(shared.value, texts, int(limit["before"].iloc[0]), int(limit["role_at_end"].iloc[0])))
-        out = []
-        for conv, turn, text in zip(frame["conv"], frame["turn"], texts):
-            part, last, held = -1, None, []
-            for marker, _, said in lines_of(text):
-                role = next(roles)
-                if role != last or (marker and held):
-                    if held:
-                        out.append((conv, turn, part, ROLES[last], render(ROLES[last], "\n".join(held))))
-                    part, last, held = part + 1, role, []
-                held.append(said)
-            out.append((conv, turn, part, ROLES[last], render(ROLES[last], "\n".join(held))))
-        return pd.DataFrame(out, columns=["conv_id", "turn", "part", "role", "rendered"])
-
-    # Nulls do not meet in a join of groups, so they are given a mark of their own.
-    keyed = lambda df: df.groupBy(F.coalesce(F.col("conv").cast("string"), F.lit("\0")), "block")
-    schema = f"conv_id {kind}, turn long, part int, role string, rendered string"
-    return keyed(rows).cogroup(keyed(limits)).applyInPandas(decode, schema)
-
-
-def plain(texts: pd.Series) -> list[str | None]:
-    return [None if t is None or t != t else t for t in texts]
+    # A block of rows is one value: at most BLOCK turns. Nulls sort first.
+    said = F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("said")
+    blocks = stored(rows_of(turns).groupBy("conv", "block").agg(said), "transcripts")
+    same = lambda other: F.col("l.conv").eqNullSafe(F.col(f"{other}.conv"))
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            matrices = [reduced(shared.value, [r["text"] for r in said]).ravel().tolist() for said in batch.column("said").to_pylist()]
+            columns = [batch.column("conv"), batch.column("block"), pa.array(matrices, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["conv", "block", "matrix"])
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [bounds([np.array(x["matrix"]).reshape(-1, len(ROLES)) for x in steps]) for steps in batch.column("steps").to_pylist()]
+            limits = [
+                [{"block": x["block"], "before": before, "end": end} for x, (before, end) in zip(steps, pairs)]
+                for steps, pairs in zip(batch.column("steps").to_pylist(), found)
+            ]
+            item = pa.list_(pa.struct([("block", pa.int64()), ("before", pa.int32()), ("end", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column("conv"), pa.array(limits, item)], ["conv", "limits"])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [
+                (conv, *turn)
+                for conv, said, before, end in zip(*(batch.column(c).to_pylist() for c in ("conv", "said", "before", "end")))
+                for turn in spoken(shared.value, said, NONE if before is None else before, end)
+            ]
+            columns = list(zip(*out)) or [[]] * 5
+            kinds = [batch.schema.field("conv").type, pa.int64(), pa.int32(), pa.string(), pa.string()]
+            names = ["conv_id", "turn", "part", "role", "rendered"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    # Only conversations of several blocks need to know what was before and what comes after.
+    long = blocks.groupBy("conv").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    parts = blocks.alias("l").join(long.alias("r"), same("r"), "left_semi")
+    steps = parts.mapInArrow(shrink, f"conv {kind}, block long, matrix array<double>")
+    steps = steps.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("block", "matrix"))).alias("steps"))
+    limits = steps.mapInArrow(bound, f"conv {kind}, limits array<struct<block: long, before: int, end: int>>").select("conv", F.inline("limits"))
+    both = same("r") & (F.col("l.block") == F.col("r.block"))
+    joined = blocks.alias("l").join(limits.alias("r"), both, "left").select("l.conv", "l.said", "r.before", "r.end")
+    return joined.mapInArrow(decode, f"conv_id {kind}, turn long, part int, role string, rendered string")
+
+
+def bounds(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
+    """The best roles before and at the end of each block of a conversation."""
+    score, back = matrices[0][NONE], []
+    for matrix in matrices[1:]:
+        ways = score[:, None] + matrix[:NONE]
+        back.append(ways.argmax(0))
+        score = ways.max(0)
+    ends = [int(score.argmax())]
+    for pointers in reversed(back):
+        ends.append(int(pointers[ends[-1]]))
+    ends.reverse()
+    return list(zip([NONE, *ends[:-1]], ends))
+
+
+def spoken(model: Model, said: list[dict], before: int, end: int | None) -> Iterator[tuple[int, int, str, str]]:
+    """(turn, part, role, rendered) of the rows of a block."""
+    roles = iter(decoded(model, [row["text"] for row in said], before, end))
+    for row in said:
+        part, last, held = -1, None, []
+        for marker, _, line in lines_of(row["text"]):
+            role = next(roles)
+            if role != last or (marker and held):
+                if held:
+                    yield row["turn"], part, ROLES[last], render(ROLES[last], "\n".join(held))
+                part, last, held = part + 1, role, []
+            held.append(line)
+        yield row["turn"], part, ROLES[last], render(ROLES[last], "\n".join(held))
