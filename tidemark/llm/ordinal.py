@@ -21,15 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 18
-PER_GRADE = 4000  # bound of the labelled sample, per grade
+PER_GRADE = 2000  # bound of the labelled sample, per grade
 MIN_DOCS = 4  # a bucket must occur in so many sampled documents to get a weight
 L2 = 1e-3
 STEPS = 300
-KEEP_FROM = 0.35  # least probability of the top grade: between clean and toxic held-out documents
+KEEP_FROM = 0.45  # least probability of the top grade: between clean and toxic held-out documents
 STEMS = (5, 7)  # beginnings of words that are features too, for inflected and compound words
 
 SYMBOL = re.compile(r"[#*$%&|<>!]")
@@ -67,24 +68,33 @@ class Model:
         return 1 - sigmoid(self.thresholds[None, :] - scores[:, None])
 
 
-def fit(documents: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Model:
-    """Maximum likelihood with a ridge, by Adam over all documents at once."""
+def fit(documents: list[np.ndarray], grades: np.ndarray, n_grades: int, totals: np.ndarray | None = None) -> Model:
+    """Maximum likelihood with a ridge, by Adam over all documents at once.
+
+    ``totals`` counts all rated documents by grade; a sampled one stands for its
+    share of them.
+    """
     weights = np.zeros(BUCKETS)
     gaps = np.zeros(n_grades - 1)
     thresholds = lambda g: np.concatenate([[g[0]], g[0] + np.cumsum(np.exp(g[1:]))])
     gaps[0] = -(n_grades - 2) / 2
     if len(set(grades.tolist())) < n_grades:
         return Model(weights, thresholds(gaps))
-    flat, doc = np.concatenate(documents), np.repeat(np.arange(len(documents)), [len(d) for d in documents])
+    flat = np.concatenate(documents).astype(np.int32)
+    doc = np.repeat(np.arange(len(documents), dtype=np.int32), [len(d) for d in documents])
     often = np.bincount(flat, minlength=BUCKETS) >= MIN_DOCS
-    flat, doc = flat[often[flat]], doc[often[flat]]
-    scale = 1 / np.sqrt(np.bincount(doc, minlength=len(documents)).mean())
-    used, place = np.unique(flat, return_inverse=True)
+    doc, flat = doc[often[flat]], flat[often[flat]]
+    scale = 1 / np.sqrt(max(1, len(doc)) / len(documents))
+    used = np.flatnonzero(often)
+    where = np.zeros(BUCKETS, np.int32)
+    where[used] = np.arange(len(used))
+    place = where[flat]
     w, n = np.zeros(len(used)), len(documents)
     m = [np.zeros(len(used)), np.zeros(n_grades - 1)]
     v = [np.zeros(len(used)), np.zeros(n_grades - 1)]
     lower = np.arange(n_grades - 1)
-    share = 1 / np.sqrt(np.bincount(grades, minlength=n_grades))[grades]  # rare grades count for more
+    sampled = np.bincount(grades, minlength=n_grades)
+    share = ((sampled if totals is None else totals) / sampled)[grades]
     share /= share.sum()
     for step in range(1, STEPS + 1):
         s = np.bincount(doc, w[place], minlength=n)
@@ -107,6 +117,9 @@ def fit(documents: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Model
 
 def train(docs: DataFrame, grades: DataFrame, n_grades: int, id_col: str = "doc_id", text_col: str = "text", per_grade: int = PER_GRADE) -> Model:
     """A model from ``grades`` (id, grade from 0 to n_grades - 1) and the documents they rate."""
+    # One count per grade.
+    counts = dict(grades.where(F.col("grade").between(0, n_grades - 1)).groupBy("grade").count().collect())
+    totals = np.array([counts.get(g, 0) for g in range(n_grades)], float)
     order = Window.partitionBy("grade").orderBy(F.xxhash64("id"), "id")
     rated = grades.where(F.col("grade").between(0, n_grades - 1) & F.col("id").isNotNull()).groupBy("id").agg(F.min("grade").alias("grade"))
     chosen = rated.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_grade).select("id", "grade")
@@ -119,8 +132,10 @@ def train(docs: DataFrame, grades: DataFrame, n_grades: int, id_col: str = "doc_
     # At most n_grades * per_grade rows are sent to the tasks.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("grade", "text")
-    rows = sample.mapInArrow(run, "grade int, features array<int>").toPandas()
-    return fit([np.asarray(f, np.int64) for f in rows["features"]], rows["grade"].to_numpy(np.int64), n_grades)
+    rows = sample.mapInArrow(run, "grade int, features array<int>").toArrow().combine_chunks()
+    lists = rows.column("features").combine_chunks()
+    ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return fit(np.split(lists.flatten().to_numpy(), ends[:-1]) if len(lists) else [], rows.column("grade").to_numpy().astype(np.int64), n_grades, totals)
 
 
 def score(docs: DataFrame, model: Model, keep_from: float = KEEP_FROM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
