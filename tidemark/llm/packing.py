@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -87,6 +87,12 @@ def prefix_crcs(ids: np.ndarray, step: int = STEP) -> list[int]:
 TOKENIZED = "full array<long>, crcs array<long>, n long, terms array<int>, tfs array<int>"
 
 
+def lists(arrays: Sequence[np.ndarray]) -> pa.ListArray:
+    """A list column from numpy arrays, without looking at single values."""
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays], dtype=np.int64)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *arrays]).astype(np.int32))
+
+
 def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str) -> DataFrame:
     """Per document: checksums of full windows and of the remainder's prefixes, length, token counts."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -103,8 +109,8 @@ def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: s
                 terms, counts = np.unique(ids[:-1], return_counts=True)
                 rows.append((full, prefix_crcs(ids[cut:]), len(ids), terms, counts))
             columns = list(zip(*rows)) or [[]] * 5
-            longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-            arrays = [pa.array(c, k) for c, k in zip(columns, [longs, longs, pa.int64(), ints, ints])]
+            longs = pa.list_(pa.int64())
+            arrays = [pa.array(c, k) for c, k in zip(columns[:3], [longs, longs, pa.int64()])] + [lists(c) for c in columns[3:]]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["id", "full", "crcs", "n", "terms", "tfs"])
 
     return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, {TOKENIZED}")
