@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,13 @@ def ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
+def days_of(events: DataFrame) -> tuple[date, date]:
+    """The first day of the events and the day after their last; one day if there are none."""
+    first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    first, last = first or date(2024, 1, 1), last or date(2024, 1, 1)
+    return first, last + timedelta(days=1)
+
+
 def type_totals(events: DataFrame) -> DataFrame:
     return events.groupBy("event_type").agg(
         F.count("*").alias("n_events"), numbers.exact_sum("value").alias("total_value")
@@ -168,7 +177,8 @@ def microbatch(inputs: Inputs) -> DataFrame:
     """Daily windows; two of them run again from a corrected source that has no 3 January."""
     house = Warehouse.scratch(inputs.spark, "microbatch")
     source = inputs("events").select("event_id", "ts", "value")
-    incremental.store_windows(house, "facts", source, "ts", "2024-01-01", "2024-02-01", begin="2024-01-01")
+    first, end = map(str, days_of(source))
+    incremental.store_windows(house, "facts", source, "ts", first, end, begin=first)
     fixed = source.where(F.to_date("ts") != F.lit("2024-01-03").cast("date")).withColumn(
         "value", F.when(F.to_date("ts") == F.lit("2024-01-02").cast("date"), 0.0).otherwise(F.col("value"))
     )
@@ -216,8 +226,12 @@ def full_refresh(inputs: Inputs) -> DataFrame:
     """Incremental batches and a rebuild from scratch hold the same rows."""
     house = Warehouse.scratch(inputs.spark, "refresh")
     events, keys = inputs("events"), ["event_date", "user_id"]
-    for start, end in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")):
-        part = events.where((F.col("ts") >= ts(start)) & (F.col("ts") < ts(end)))
+    first, last = days_of(events)
+    cuts = [first, *(first + (last - first) * i // 3 for i in (1, 2)), last]
+    for start, end in zip(cuts, cuts[1:]):
+        if start == end:
+            continue
+        part = events.where((F.col("ts") >= ts(str(start))) & (F.col("ts") < ts(str(end))))
         incremental.store_merge(house, "steps", marts.user_days(part), keys, "event_date", strategy="delete+insert")
     full, steps = house.replace("full", marts.user_days(events)), house.read("steps")
     different = sets.bag_difference(full, steps.select(*full.columns))
