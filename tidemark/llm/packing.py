@@ -36,7 +36,6 @@ WINDOW = 1024
 STEP = 16  # remainders are cut at multiples of this
 END = 0
 SHARD = 4000  # documents of a shard
-QUERY_TERMS = 32  # a seed asks for its most telling tokens
 K1, B = 1.2, 0.75
 
 
@@ -125,30 +124,35 @@ class Shard:
 
     length: np.ndarray  # ids that are left
     start: np.ndarray = field(init=False)  # ids that are placed already
-    doc: np.ndarray | None = None  # postings, by term
-    weight: np.ndarray | None = None
-    bounds: dict[int, tuple[int, int]] = field(default_factory=dict)
+    doc: np.ndarray  # postings, by term
+    term: np.ndarray
+    weight: np.ndarray
+    edges: np.ndarray = field(init=False)  # where the postings of each term begin
 
     def __post_init__(self) -> None:
         self.start = np.zeros(len(self.length), np.int64)
+        self.index()
+
+    def index(self) -> None:
+        self.edges = np.searchsorted(self.term, np.arange((1 << 16) + 1))
+
+    def shrink(self) -> None:
+        """Leaves out the postings of used documents, once they are half of all."""
+        left = self.length[self.doc] > 0
+        if 2 * left.sum() < len(left):
+            self.doc, self.term, self.weight = self.doc[left], self.term[left], self.weight[left]
+            self.index()
 
 
 def build(lengths: np.ndarray, terms: list[np.ndarray], tfs: list[np.ndarray], sizes: np.ndarray, idf: np.ndarray, mean: float) -> tuple[Shard, list[np.ndarray]]:
-    """The index of a shard, and the query terms of each document."""
+    """The index of a shard, and the query terms of each document: all that it holds."""
     counts = np.array([len(t) for t in terms], np.int64)
     doc = np.repeat(np.arange(len(terms)), counts)
     term = np.concatenate(terms) if len(doc) else np.zeros(0, np.int64)
     tf = np.concatenate(tfs).astype(np.float64) if len(doc) else np.zeros(0)
     weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / mean))
     order = np.lexsort((doc, term))
-    cut = np.flatnonzero(np.diff(term[order], prepend=-1))
-    ends = np.append(cut[1:], len(order))
-    bounds = {int(t): (int(a), int(b)) for t, a, b in zip(term[order][cut], cut, ends)}
-    queries = []
-    for part, w in zip(np.split(term, np.cumsum(counts)[:-1]), np.split(weight, np.cumsum(counts)[:-1])):
-        best = np.lexsort((part, -w))[:QUERY_TERMS]
-        queries.append(part[best])
-    return Shard(lengths, doc=doc[order], weight=weight[order], bounds=bounds), queries
+    return Shard(lengths, doc[order], term[order], weight[order]), terms
 
 
 def fill(shard: Shard, queries: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
@@ -188,17 +192,16 @@ def fill(shard: Shard, queries: list[np.ndarray]) -> list[list[tuple[int, int, i
             while loose < len(line) and not length[line[loose]]:
                 loose += 1
             windows.append(window)
+            if not len(windows) % 64:
+                shard.shrink()
     return windows
 
 
 def neighbours(shard: Shard, query: np.ndarray, line: np.ndarray) -> list[int]:
     """Unused documents that share a query term, best first, ties by place."""
-    spans = [shard.bounds[t] for t in query.tolist()]
-    if not spans:
-        return []
-    doc = np.concatenate([shard.doc[a:b] for a, b in spans])
-    weight = np.concatenate([shard.weight[a:b] for a, b in spans])
-    scores = np.bincount(doc, weight, minlength=len(shard.length))
+    first, sizes = shard.edges[query], shard.edges[query + 1] - shard.edges[query]
+    at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    scores = np.bincount(shard.doc[at], shard.weight[at], minlength=len(shard.length))
     scores[shard.length == 0] = 0
     found = np.flatnonzero(scores)
     return found[np.argsort(-scores[found], kind="stable")].tolist()
