@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, packing, quality, secretscan, suffixes
-from tidemark.llm.vocabularies import BYTE_BPE
+from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED
 from tidemark.session import scratch_path
 from tidemark.sources.tables import scan
 
@@ -43,7 +43,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in windows of 1024 tokens."""
-    return packing.packed(docs, *BYTE_BPE)
+    return packing.packed(docs, *BYTE_BPE, added=BYTE_BPE_ADDED)
 
 
 STAGES = [

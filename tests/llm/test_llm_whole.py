@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
 
 from tidemark.llm import packing
+from tidemark.llm.registry import QUERIES
+from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED
 
 # --- packing -------------------------------------------------------------------------
 
@@ -19,3 +24,15 @@ def test_all_terms_of_a_seed_count():
     shard, asked = packing.build(sizes, terms, tfs, sizes, idf, 400.0)
     shard.length[0] = 0
     assert packing.neighbours(shard, asked[0], np.arange(3)) == [1]
+
+
+@pytest.mark.parametrize("text", ["<|endoftext|> a  b\n c ", "a <|endoftext|><|endoftext|>  b", "x<|endoftext|", "plain  text\n\n <|endoftext|>"])
+def test_added_tokens_are_those_of_the_library(text):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.encoder(*BYTE_BPE, BYTE_BPE_ADDED)(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_query_takes_added_tokens(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b", "en", "x", 17)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert QUERIES["op10_lexical_packing"](spark, str(tmp_path)).first().doc_tokens == 5

@@ -24,6 +24,7 @@ import base64
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +40,15 @@ SHARD = 4000  # documents of a shard
 K1, B = 1.2, 0.75
 
 
-def encoder(path: str, pattern: str) -> Callable[[str], np.ndarray]:
-    """Byte-level BPE from a file of ranks; ids as 16-bit numbers. Marks of special tokens are ordinary text."""
+def encoder(path: str, pattern: str, added: dict[str, int] | None = None) -> Callable[[str], np.ndarray]:
+    """Byte-level BPE from a file of ranks; ids as 16-bit numbers. ``added`` has the marks that are one token each; others are ordinary text."""
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    encode = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return lambda text: np.array(encode(text), dtype=np.uint16)
+    encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
+    encode, plain = partial(encoding.encode, allowed_special="all"), encoding.encode_ordinary
+    return lambda text: np.array((encode if any(mark in text for mark in added or ()) else plain)(text), dtype=np.uint16)
 
 
 # --- checksums ---------------------------------------------------------------------
@@ -92,12 +94,12 @@ def lists(arrays: Sequence[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *arrays]).astype(np.int32))
 
 
-def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, added: dict[str, int] | None = None) -> DataFrame:
     """Per document: checksums of full windows and of the remainder's prefixes, length, token counts."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern)
+        encode = encoder(path, pattern, added)
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
@@ -215,15 +217,17 @@ def leftovers(shard: Shard, query: np.ndarray, line: np.ndarray) -> Iterator[int
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def packed(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def packed(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece: id, start, length, checksum, document length, sequence and place there.
 
+    ``added`` has the added tokens of the vocabulary, which a text may hold.
+
     Ids of sequences are unique, not gapless. Pieces of a sequence follow each
     other from offset 0.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    tokens = stored(tokenized(docs, path, pattern, id_col, text_col), "tokens")
+    tokens = stored(tokenized(docs, path, pattern, id_col, text_col, added), "tokens")
     totals = tokens.agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean")).first()
     if not totals["docs"]:
         return spark.createDataFrame([], f"`{id_col}` {kind}, {PIECE}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, htmltext, jaccard, neighbours, ordinal, packing, pieces, quality, secretscan, suffixes
-from tidemark.llm.vocabularies import BYTE_BPE, PIECES
+from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED, PIECES
 from tidemark.llm.registry import QUERIES, SQL, query  # noqa: F401 - read by the entry module
 from tidemark.sources.tables import Inputs
 
@@ -108,4 +108,4 @@ def op9_quality_classifier(t: Inputs):
 @query("op10_lexical_packing")
 def op10_lexical_packing(t: Inputs):
     """All documents in windows of 1024 tokens, together with documents that share their words."""
-    return packing.packed(t("documents"), *BYTE_BPE)
+    return packing.packed(t("documents"), *BYTE_BPE, added=BYTE_BPE_ADDED)
