@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import textwrap
+
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm import packing
+from tidemark.llm import packing, secretscan
 from tidemark.llm.registry import QUERIES
 from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED
+from test_llm_texts import PKCS8, RSA, SSH, b64
 
 # --- packing -------------------------------------------------------------------------
 
@@ -36,3 +40,33 @@ def test_packing_query_takes_added_tokens(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a <|endoftext|> b", "en", "x", 17)], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert QUERIES["op10_lexical_packing"](spark, str(tmp_path)).first().doc_tokens == 5
+
+
+# --- secrets -------------------------------------------------------------------------
+
+LINES = "\n".join(textwrap.wrap(b64(PKCS8), 64))
+HEADER = lambda s: b64(s.encode()).rstrip("=")
+
+
+@pytest.mark.parametrize(
+    "text,kinds",
+    [
+        (f"see /keys/{b64(RSA)} here", ["key64"]),
+        (f"key_{b64(PKCS8)}", ["key64"]),
+        (f"x/{b64(SSH)}", ["key64"]),
+        (f"{b64(RSA)}/tail", ["key64"]),
+        (json.dumps({"private_key": f"-----BEGIN PRIVATE KEY-----\n{LINES}\n-----END PRIVATE KEY-----\n"}), ["pem"]),
+        (json.dumps({"k": LINES}), ["key64"]),
+        (f"key:\n{LINES}\nend of it", ["key64"]),
+        (f"-----BEGIN PRIVATE KEY-----\n{LINES}\n-----END PRIVATE KEY-----", ["pem"]),
+        (f"t {HEADER('{' + chr(10) + ' ' + chr(34) + 'alg' + chr(34) + ': ' + chr(34) + 'HS256' + chr(34) + '}')}.e30.c2ln", ["jwt"]),
+        (f"t {HEADER(chr(10) + '{' + chr(34) + 'alg' + chr(34) + ': ' + chr(34) + 'HS256' + chr(34) + '}')}.e30.c2ln", ["jwt"]),
+        (f"key:\n{LINES[:-9]}\nend of it", []),
+        ("MAKE THE MAIN\nMIDDLE MEET MB\nMA", []),
+    ],
+)
+def test_keys_in_other_forms(text, kinds):
+    found = sorted(secretscan.confirmed_spans(text))
+    assert [secretscan.KINDS[k] for _, k, _ in found] == kinds
+    hidden = secretscan.masked(text, "")
+    assert not kinds or all(line[8:40] not in hidden for line in (LINES.split("\n")[0], b64(RSA), b64(SSH)))

@@ -1,9 +1,11 @@
 """Secret scans: base patterns, and key encodings confirmed by their structure.
 
-The base patterns are plain matches. A longer run of base64 or hex characters is
-reported as well if, and only if, its decoded bytes parse as a key: nested
-lengths must add up exactly (DER, OpenSSH), and a signed token must carry a JSON
-header that names its algorithm. Looking random is never enough.
+The base patterns are plain matches. Base64 or hex characters are reported as well
+if, and only if, their decoded bytes parse as a key: nested lengths must add up
+exactly (DER, OpenSSH), and a signed token must carry a JSON header that names its
+algorithm. Looking random is never enough. A key in base64 may begin anywhere in a
+run, its own lengths say where it ends, and it may be broken into lines, by line
+breaks or by their escapes in JSON and source.
 
 Each row is scanned whole and on its own, so nothing is shuffled. A null text
 counts as empty; a row with a null id stays; repeated rows give repeated results;
@@ -32,9 +34,14 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "pem", "jwt", "key64", "keyhex")
 
 # Candidates that are decoded and parsed.
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]*?)-----END \1PRIVATE KEY-----")
-JWT = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-RUN64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\+[nrt])*?)-----END \1PRIVATE KEY-----")
+# The first character of JSON that is an object, after white space or not, is one of these in base64.
+JWT = re.compile(r"(?<![A-Za-z0-9_.-])([eICD][A-Za-z0-9_-]{7,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
+BREAK = r"[ \t]*(?:\\+[nr]|[\r\n])(?:\\+[nrt]|\s)*"
+# The first characters of a DER sequence or an OpenSSH container, in base64.
+START64 = re.compile(r"M[A-I]|b3Bl")
+LINE64 = re.compile(rf"([A-Za-z0-9+/_-]+)(={{0,2}})(?:{BREAK}(?=[A-Za-z0-9+/_=-]))?")
+LEAST_64 = 32
 RUNHEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}(?![0-9A-Fa-f])")
 
 
@@ -98,10 +105,14 @@ def is_der_key(data: bytes) -> bool:
 
 
 def is_openssh_key(data: bytes) -> bool:
-    """The OpenSSH container: length-prefixed strings, then as many keys as it says."""
+    return openssh_size(data) is not None
+
+
+def openssh_size(data: bytes) -> int | None:
+    """Bytes of an OpenSSH container: length-prefixed strings, then as many keys as it says. None if it is not one."""
     magic = b"openssh-key-v1\x00"
     if not data.startswith(magic):
-        return False
+        return None
     at = len(magic)
 
     def field() -> bytes | None:
@@ -115,9 +126,10 @@ def is_openssh_key(data: bytes) -> bool:
         return found
 
     if any(field() is None for _ in range(3)) or at + 4 > len(data):
-        return False
+        return None
     keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
-    return 1 <= keys <= 64 and all(field() is not None for _ in range(keys)) and field() is not None
+    whole = 1 <= keys <= 64 and all(field() is not None for _ in range(keys)) and field() is not None
+    return at if whole else None
 
 
 def is_key(data: bytes | None) -> bool:
@@ -138,6 +150,57 @@ def is_signed_token(header: str, payload: str) -> bool:
     return isinstance(parts[0], dict) and isinstance(parts[0].get("alg"), str) and isinstance(parts[1], dict)
 
 
+def der_size(head: bytes) -> int:
+    """Bytes of the DER sequence that begins with ``head``, by its length; 0 if no key begins so."""
+    at, length = 2, head[1]
+    if length & 0x80:
+        at += length & 0x7F
+        if not 3 <= at <= 6:
+            return 0
+        length = int.from_bytes(head[2:at], "big")
+    return at + length if head[0] == 0x30 and head[at] in (0x02, 0x30) else 0
+
+
+def run64(text: str, at: int, most: int | None = None) -> tuple[str, list[tuple[int, int, int]]]:
+    """Base64 characters from ``at`` on without line breaks, and start, characters and padding of each line, until there are ``most``."""
+    lines, spans, n = [], [], 0
+    while (most is None or n < most) and (m := LINE64.match(text, at)):
+        lines.append(m[1])
+        spans.append((at, len(m[1]), len(m[2])))
+        n, at = n + len(m[1]), m.end()
+        if m[2] or at == m.end(1):
+            break
+    return "".join(lines), spans
+
+
+def key64_end(text: str, start: int) -> int | None:
+    """Where a key in base64 that begins at ``start`` ends, padding included; None if there is none."""
+    head, _ = run64(text, start, 12)
+    if len(head) < 12:
+        return None
+    ssh = head[0] == "b"
+    size = None if ssh else der_size(decode64(head[:12]))
+    if size == 0:
+        return None
+    body, spans = run64(text, start, None if ssh else -(-size * 4 // 3))
+    if ssh:
+        size = openssh_size(decode64(body[: len(body) - (len(body) % 4 == 1)])) or 0
+    need = -(-size * 4 // 3)
+    if not LEAST_64 <= need <= len(body) or not (ssh or is_der_key(decode64(body[:need])[:size])):
+        return None
+    left = need
+    for at, n, pad in spans:
+        if left <= n:
+            break
+        left -= n
+    if left == n:
+        return at + n + pad
+    # Padding that fits all up to here says that the key is only the head of a longer value.
+    if pad and (need - left + n + pad) % 4 == 0:
+        return at + n + pad if ssh else None
+    return at + left
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base patterns, unordered."""
     spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(1) - m.start(1) >= LEAST_VALUE]
@@ -151,15 +214,18 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     spans = []
     if "-----BEGIN" in text:
         for m in PEM.finditer(text):
-            if is_key(decode64(re.sub(r"\s+", "", m[2]))):
+            if is_key(decode64(re.sub(r"\s+|\\+[nrt]", "", m[2]))):
                 spans.append((m.start(), 3, m.end()))
-    if "ey" in text:
-        spans += [(m.start(), 4, m.end()) for m in JWT.finditer(text) if m[1].startswith("ey") and is_signed_token(m[1], m[2])]
-    for m in RUN64.finditer(text):
-        # The first characters of a DER sequence or an OpenSSH container, in base64.
-        if m[0][0] == "M" or m[0].startswith("b3BlbnNzaC1rZXktdjE"):
-            if is_key(decode64(m[0])):
-                spans.append((m.start(), 5, m.end()))
+    framed = [(start, end) for start, _, end in spans]
+    spans += [(m.start(), 4, m.end()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
+    last = 0
+    for m in START64.finditer(text):
+        if m.start() >= last and (end := key64_end(text, m.start())):
+            last = end
+            # A key of several lines between its BEGIN and END is reported already.
+            whole = LINE64.match(text, m.start()).end(2) >= end
+            if whole or not any(a <= m.start() and end <= b for a, b in framed):
+                spans.append((m.start(), 5, end))
     for m in RUNHEX.finditer(text):
         if len(m[0]) % 2 == 0 and m[0][:2].lower() in ("30", "6f") and is_key(bytes.fromhex(m[0])):
             spans.append((m.start(), 6, m.end()))
