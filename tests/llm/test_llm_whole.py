@@ -10,9 +10,10 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm import packing, secretscan
+from tidemark.llm import chat, packing, secretscan
 from tidemark.llm.registry import QUERIES
 from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED
+from test_llm_models import SCHEMA, turns
 from test_llm_texts import PKCS8, RSA, SSH, b64
 
 # --- packing -------------------------------------------------------------------------
@@ -70,3 +71,23 @@ def test_keys_in_other_forms(text, kinds):
     assert [secretscan.KINDS[k] for _, k, _ in found] == kinds
     hidden = secretscan.masked(text, "")
     assert not kinds or all(line[8:40] not in hidden for line in (LINES.split("\n")[0], b64(RSA), b64(SSH)))
+
+
+# --- chat ----------------------------------------------------------------------------
+
+
+def test_blocks_of_a_conversation_in_one_turn(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 8)
+    rows = [(None, None, f"text {i:04d}") for i in range(300)] + [(1, 5, f"text {i:04d}") for i in range(300)]
+    rows += [(2, i // 3, f"{i:04d}") for i in range(100)] + [(2, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    blocks = {}
+    for r in chat.rows_of(df).collect():
+        blocks.setdefault(r.conv, {}).setdefault(r.block, []).append((r.turn is not None, r.turn, r.text or ""))
+    assert {c: sum(map(len, b.values())) for c, b in blocks.items()} == {None: 300, 1: 300, 2: 101}
+    for held in blocks.values():
+        assert max(map(len, held.values())) == 8 and len(held) == -(-sum(map(len, held.values())) // 8)
+        order = [row for b in sorted(held) for row in sorted(held[b])]
+        assert order == sorted(order)
+    model = chat.train(spark.createDataFrame(turns(), SCHEMA))
+    assert chat.formatted(df, model).count() == len(rows)

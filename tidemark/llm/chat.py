@@ -7,8 +7,8 @@ it asks, and, on a row's first line, how long the row is. Counts over all labell
 rows give the probabilities. Viterbi finds the best roles of a whole conversation;
 neighbouring lines of one role in a row become one turn, rendered canonically.
 
-A conversation may have any number of rows. Its rows are cut into blocks of
-``BLOCK`` turns; each block is reduced to the best scores between the roles before
+A conversation may have any number of rows, also in one turn or without a turn. Its
+rows are numbered in their order and cut into blocks of ``BLOCK`` rows; each block is reduced to the best scores between the roles before
 and at its end (a small matrix), the matrices of a conversation give the best role
 at every block's end, and then each block is decoded by itself. The result is that
 of one long Viterbi run.
@@ -27,7 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import stored
@@ -133,9 +134,36 @@ def render(role: str, text: str) -> str:
 
 
 def rows_of(turns: DataFrame) -> DataFrame:
-    """Distinct (conv, turn, text) with the block of each."""
+    """Distinct (conv, turn, text) with the block of each: its place in the conversation by ``BLOCK``.
+
+    Rows are ranged and sorted by all three, so a conversation may lie in any number
+    of partitions. Each partition counts its rows of a conversation; the counts of
+    the partitions before are added then, to those that go on with a conversation.
+    """
+    kind = turns.schema["conv_id"].dataType.simpleString()
     rows = turns.select(F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"), "text").distinct()
-    return rows.withColumn("block", F.floor(F.coalesce("turn", F.lit(0)) / BLOCK))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, place = TaskContext.get().partitionId(), object(), 0
+        for batch in batches:
+            places = []
+            for conv in batch.column("conv").to_pylist():
+                place = place + 1 if conv == last else 0
+                last = conv
+                places.append(place)
+            columns = [pa.array([part] * len(places), pa.int32()), pa.array(places, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "part", "place"])
+
+    ranged = rows.repartitionByRange("conv", "turn", "text").sortWithinPartitions("conv", "turn", "text")
+    rows = stored(ranged.mapInArrow(count, f"conv {kind}, turn long, text string, part int, place long"), "rows")
+    sizes = rows.groupBy("conv", "part").agg((F.max("place") + 1).alias("size"))
+    before = F.sum("size").over(Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    # At most one conversation of each partition began before it.
+    starts = sizes.withColumn("before", before).where("before > 0")
+    same = F.col("l.conv").eqNullSafe(F.col("r.conv")) & (F.col("l.part") == F.col("r.part"))
+    place = F.col("l.place") + F.coalesce("r.before", F.lit(0))
+    joined = rows.alias("l").join(starts.alias("r"), same, "left")
+    return joined.select("l.conv", "l.turn", "l.text", F.floor(place / BLOCK).alias("block"))
 
 
 def train(turns: DataFrame) -> Model:
@@ -168,7 +196,7 @@ def formatted(turns: DataFrame, model: Model) -> DataFrame:
     """
     shared = turns.sparkSession.sparkContext.broadcast(model)
     kind = turns.schema["conv_id"].dataType.simpleString()
-    # A block of rows is one value: at most BLOCK turns. Nulls sort first.
+    # A block of rows is one value: at most BLOCK rows. Nulls sort first.
     said = F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("said")
     blocks = stored(rows_of(turns).groupBy("conv", "block").agg(said), "transcripts")
     same = lambda other: F.col("l.conv").eqNullSafe(F.col(f"{other}.conv"))
