@@ -10,11 +10,11 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm import chat, packing, secretscan
+from tidemark.llm import chat, htmltext, packing, secretscan
 from tidemark.llm.registry import QUERIES
 from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED
 from test_llm_models import SCHEMA, turns
-from test_llm_texts import PKCS8, RSA, SSH, b64
+from test_llm_texts import ARTICLE, BODY, PKCS8, RSA, SSH, b64
 
 # --- packing -------------------------------------------------------------------------
 
@@ -91,3 +91,15 @@ def test_blocks_of_a_conversation_in_one_turn(spark, monkeypatch):
         assert order == sorted(order)
     model = chat.train(spark.createDataFrame(turns(), SCHEMA))
     assert chat.formatted(df, model).count() == len(rows)
+
+
+# --- pages ---------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "rest",
+    ["<article>{}</article>", "<div>{}</div>"],
+)
+def test_main_text_of_two_parts(rest):
+    html = f"<main><article>{BODY * 3}</article>{rest.format(BODY)}<div class=comments>{BODY}</div><div class=related>{BODY}</div></main>"
+    assert htmltext.main_text(html) == "\n".join([ARTICLE] * 4)

@@ -230,7 +230,7 @@ class Page:
             density = self.links[part] / max(1, self.size[part])
             like = self.score(part) >= max(3.0, 0.2 * most)
             loose = self.tag[part] == "p" and self.size[part] > 80 and density < 0.25
-            if part == best or (not whole and (like or loose)):
+            if part == best or like or loose:
                 kept.append(part)
         return kept
 
