@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 import textwrap
+import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm import chat, htmltext, packing, secretscan
+from tidemark.llm import chat, htmltext, ordinal, packing, secretscan
 from tidemark.llm.registry import QUERIES
 from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED
 from test_llm_models import SCHEMA, turns
@@ -103,3 +104,14 @@ def test_blocks_of_a_conversation_in_one_turn(spark, monkeypatch):
 def test_main_text_of_two_parts(rest):
     html = f"<main><article>{BODY * 3}</article>{rest.format(BODY)}<div class=comments>{BODY}</div><div class=related>{BODY}</div></main>"
     assert htmltext.main_text(html) == "\n".join([ARTICLE] * 4)
+
+
+# --- classifier ----------------------------------------------------------------------
+
+
+def test_capitals_of_the_whole_text():
+    assert ordinal.features("aaaaaaB" * 70) != ordinal.features("aaaaaab" * 70)
+    text = "Aaaaaaa aaaaa" * 7
+    trait = lambda n: zlib.crc32(f"\0capitals\0{n}".encode()) % ordinal.BUCKETS
+    assert trait(10 * sum(map(str.isupper, text)) // len(text)) in ordinal.features(text)
+    assert trait(1) in ordinal.features("aaaaaaB" * 70)
