@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm import chat, htmltext, ordinal, packing, secretscan
+from tidemark.llm import chat, htmltext, neighbours, ordinal, packing, secretscan
 from tidemark.llm.registry import QUERIES
 from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED
 from test_llm_models import SCHEMA, turns
@@ -115,3 +115,18 @@ def test_capitals_of_the_whole_text():
     trait = lambda n: zlib.crc32(f"\0capitals\0{n}".encode()) % ordinal.BUCKETS
     assert trait(10 * sum(map(str.isupper, text)) // len(text)) in ordinal.features(text)
     assert trait(1) in ordinal.features("aaaaaaB" * 70)
+
+
+# --- neighbours ----------------------------------------------------------------------
+
+
+def test_distance_ratio_alone_chooses_lists():
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(400, 64))
+    graph = neighbours.Graph.over(points)
+    queries = rng.normal(size=(20, 64))
+    probes = neighbours.probes_of(*graph.ordered(queries), np.full(400, 100), 11)
+    for q, chosen in zip(queries, probes):
+        d = np.sqrt(((points - q) ** 2).sum(1))
+        assert set(chosen) == set(np.flatnonzero(d <= neighbours.REACH * d.min()).tolist())
+    assert max(map(len, probes)) > 48

@@ -8,8 +8,9 @@
    boundary, into those of further ones that are almost as near and lie in other
    directions. Centroids are searched over a neighbour graph held in memory.
 4. A query takes the lists whose centroid is at most ``REACH`` times as far as the
-   nearest, up to ``PROBES``, and more while these hold too few vectors. Long lists
-   are cut into blocks that are searched in separate tasks.
+   nearest, however many, and more while these hold too few vectors; it is compared
+   with all centroids. Long lists are cut into blocks that are searched in separate
+   tasks.
 5. Exact distances in double precision decide, ties go to the smaller id.
 
 Vectors that are null, zero, or hold a null or a non-finite component take no part;
@@ -37,7 +38,6 @@ SAMPLE_PER_CENTROID = 24
 REPLICAS = 4
 CLOSE = 1.2  # a replica's centroid may be so many times as far as the nearest
 REACH = 1.6
-PROBES = 48
 DEGREE = 24
 BEAM = 64
 BLOCK = 4000  # vectors of a list that one task takes
@@ -132,6 +132,12 @@ class Graph:
             done[rows] = np.take_along_axis(all_done, top, 1) | np.isinf(best[rows])
         return ids, np.sqrt(best)
 
+    def ordered(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(centroids, distances) of each query over all centroids, nearest first."""
+        d = np.sqrt(distances(queries, self.points))
+        ids = np.argsort(d, axis=1, kind="stable")
+        return ids, np.take_along_axis(d, ids, 1)
+
 
 def lists_of(graph: Graph, ids: np.ndarray, d: np.ndarray) -> list[list[int]]:
     """The lists of each vector: the nearest, and near ones in other directions."""
@@ -153,7 +159,7 @@ def probes_of(ids: np.ndarray, d: np.ndarray, held: np.ndarray, least: int) -> l
     for row, far in zip(ids, d):
         chosen, total = [], 0
         for c, x in zip(row.tolist(), far.tolist()):
-            if not np.isfinite(x) or (total >= least and (x > REACH * far[0] or len(chosen) >= PROBES)):
+            if total >= least and x > REACH * far[0]:
                 break
             chosen.append(c)
             total += int(held[c])
@@ -216,7 +222,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         graph = shared.value
         for batch in batches:
             for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
-                lists = pa.array(probes_of(*graph.search(_rows(part, "v"), 2 * BEAM), held, least), pa.list_(pa.int32()))
+                lists = pa.array(probes_of(*graph.ordered(_rows(part, "v")), held, least), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "lists"])
 
     postings = posted.select("node", "v", F.explode("lists").alias("list"))
