@@ -59,7 +59,8 @@ def test_detail_rows_move_once_for_a_hot_key(spark, inputs):
 
 
 def test_no_forbidden_shortcuts_in_the_library():
-    for path in PACKAGE.rglob("*.py"):
+    # The optional text operators have a rule of their own beside their tests.
+    for path in (p for p in PACKAGE.rglob("*.py") if p.parent != PACKAGE / "llm"):
         code = path.read_text()
         for bad in ("broadcast(", "localCheckpoint", "toPandas", "crossJoin", ".rdd", "toLocalIterator"):
             assert bad not in code, (path, bad)

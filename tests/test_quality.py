@@ -136,7 +136,7 @@ def test_models(spark, house):
     assert rows(out) == [(0,), (2,), (4,)] and house.exists("out")
     assert run_model(lambda c, s: c.source("s"), context, spark).count() == 2
     for wrong in (pd.DataFrame({"a": [1]}), pa.table({"a": [1]}), None):
-        with pytest.raises(ModelError, match="return a Spark DataFrame"):
+        with pytest.raises(ModelError, match="hand back a Spark DataFrame"):
             run_model(lambda c, s, w=wrong: w, context, spark)
     with pytest.raises(ModelError, match="no ref named 'nope'"):
         run_model(lambda c, s: c.ref("nope"), context, spark)
