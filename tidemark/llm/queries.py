@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, htmltext, jaccard, neighbours, ordinal, packing, pieces, quality, secretscan, suffixes
+from tidemark.llm import chat, htmltext, jaccard, merkle, neighbours, ordinal, packing, pieces, quality, secretscan, suffixes
 from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED, PIECES
 from tidemark.llm.registry import QUERIES, SQL, query  # noqa: F401 - read by the entry module
 from tidemark.sources.tables import Inputs
@@ -48,6 +48,60 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+# Trees level by level: a node of 16 has the concatenated hashes in order. The crc32 goes byte by byte over a table by its rule.
+MERKLE_SQL = r"""
+WITH RECURSIVE
+step(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM step WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS tab FROM step WHERE k = 8),
+f AS (
+  SELECT doc_id, source, text,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, b: xor(a >> 8, tab[xor(a & 255, b) + 1])), 4294967295) % 5 = 0 AS hit
+  FROM documents, crc),
+l AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN hit THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS other
+  FROM f),
+d AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY source) AS n
+  FROM l),
+nodes(source, level, i, n, h) AS (
+  SELECT source, 0, rank, n, leaf FROM d
+  UNION ALL
+  SELECT source, level + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY source, level, i // 16, n),
+subroots AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, i, n, h) AS (
+  SELECT 0, rank, n, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 16, n),
+upper AS (
+  SELECT s.source, s.subroot, s.rank, t.level, string_agg(t.h, '' ORDER BY t.i) FILTER (t.i < s.rank >> (4 * t.level)) AS a,
+    string_agg(t.h, '' ORDER BY t.i) FILTER (t.i > s.rank >> (4 * t.level)) AS b
+  FROM subroots s JOIN tops t ON t.n > 1 AND t.i // 16 = s.rank >> (4 * t.level + 4) GROUP BY ALL),
+above AS (SELECT source, list(coalesce(a, '') || '|' || coalesce(b, '') ORDER BY level) AS up FROM upper GROUP BY source),
+lower AS (
+  SELECT d.source, d.rank, s.level, string_agg(s.h, '' ORDER BY s.i) FILTER (s.i < d.rank >> (4 * s.level)) AS a,
+    string_agg(s.h, '' ORDER BY s.i) FILTER (s.i > d.rank >> (4 * s.level)) AS b
+  FROM d JOIN nodes s ON s.source IS NOT DISTINCT FROM d.source AND s.n > 1 AND s.i // 16 = d.rank >> (4 * s.level + 4) GROUP BY ALL),
+beside AS (SELECT source, rank, list(coalesce(a, '') || '|' || coalesce(b, '') ORDER BY level) AS side FROM lower GROUP BY source, rank),
+p AS (
+  SELECT d.doc_id, d.leaf, s.subroot, (SELECT h FROM tops WHERE n = 1) AS root, d.other,
+    list_concat(coalesce(b.side, []), coalesce(u.up, [])) AS path
+  FROM d JOIN subroots s ON s.source IS NOT DISTINCT FROM d.source
+  LEFT JOIN beside b ON b.source IS NOT DISTINCT FROM d.source AND b.rank = d.rank
+  LEFT JOIN above u ON u.source IS NOT DISTINCT FROM d.source),
+r AS (
+  SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256,
+    list_reduce(list_prepend(coalesce(other, leaf), path), lambda x, y: sha256(split_part(y, '|', 1) || x || split_part(y, '|', 2))) AS folded_root
+  FROM p)
+SELECT *, folded_root = root AS verified FROM r
+"""
+
 
 @query("op1_suffix_array_dedup")
 def op1_suffix_array_dedup(t: Inputs):
@@ -109,3 +163,9 @@ def op9_quality_classifier(t: Inputs):
 def op10_lexical_packing(t: Inputs):
     """All documents in windows of 1024 tokens, together with documents that share their words."""
     return packing.packed(t("documents"), *BYTE_BPE, added=BYTE_BPE_ADDED)
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13_merkle_manifest(t: Inputs):
+    """Leaf, subroot, root and proof of every document, and the root that a tampered text leads to."""
+    return merkle.checked(t("documents"))
