@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, htmltext, jaccard, merkle, neighbours, ordinal, packing, pieces, quality, secretscan, suffixes
+from tidemark.llm import chat, codebooks, htmltext, jaccard, merkle, neighbours, ordinal, packing, pieces, quality, secretscan, suffixes
 from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED, PIECES
 from tidemark.llm.registry import QUERIES, SQL, query  # noqa: F401 - read by the entry module
 from tidemark.sources.tables import Inputs
@@ -103,6 +103,46 @@ SELECT *, folded_root = root AS verified FROM r
 """
 
 
+def codebook_sql(rounds: int = 6) -> str:
+    """Lloyd's rounds written out: the distances to all entries, the least of them, the floors of the means."""
+    ctes = [
+        """v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS u
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+        """p AS MATERIALIZED (
+  SELECT vec_id, part, i, u[1 + part * (len(u) // 8) + i] AS x
+  FROM v, range(8) a(part), LATERAL (SELECT unnest(range(len(v.u) // 8)) AS i))""",
+        """c0 AS MATERIALIZED (
+  SELECT part, e, i, x FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v ORDER BY vec_id LIMIT 16) USING (vec_id))""",
+    ]
+    for r in range(rounds + 1):
+        ctes.append(
+            f"""n{r} AS MATERIALIZED (
+  SELECT vec_id, part, min(d * 16 + e) % 16 AS e, min(d * 16 + e) // 16 AS d
+  FROM (SELECT vec_id, part, e, sum((p.x - c.x) * (p.x - c.x))::BIGINT AS d FROM p JOIN c{r} c USING (part, i) GROUP BY ALL)
+  GROUP BY ALL)"""
+        )
+        if r < rounds:
+            ctes.append(
+                f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.part, c.e, c.i, coalesce((m.s - ((m.s % m.k) + m.k) % m.k) // m.k, c.x) AS x
+  FROM c{r} c LEFT JOIN (
+    SELECT part, e, i, sum(x)::BIGINT AS s, count(*) AS k FROM p JOIN n{r} USING (vec_id, part) GROUP BY ALL) m USING (part, e, i))"""
+            )
+    last = rounds
+    ctes.append(
+        f"""r AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM n{last} GROUP BY vec_id)"""
+    )
+    return f"""WITH {", ".join(ctes)}
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, e, i)) FROM c{last}) AS codebooks_sha256
+FROM r JOIN v USING (vec_id)
+"""
+
+
 @query("op1_suffix_array_dedup")
 def op1_suffix_array_dedup(t: Inputs):
     """What is left of every document without byte strings of 200 that occur twice."""
@@ -165,6 +205,12 @@ def op10_lexical_packing(t: Inputs):
     return packing.packed(t("documents"), *BYTE_BPE, added=BYTE_BPE_ADDED)
 
 
+@query("op11_vector_codes", codebook_sql())
+def op11_vector_codes(t: Inputs):
+    """Every vector in codes of eight codebooks, after six rounds."""
+    return codebooks.digests(t("embeddings"))
+
+
 @query("op13_merkle_manifest", MERKLE_SQL)
 def op13_merkle_manifest(t: Inputs):
     """Leaf, subroot, root and proof of every document, and the root that a tampered text leads to."""
