@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, codebooks, htmltext, jaccard, merkle, neighbours, ordinal, packing, pieces, quality, secretscan, suffixes
+from tidemark.llm import chat, codebooks, htmltext, jaccard, merkle, neighbours, ordinal, packing, personal, pieces, quality, secretscan, suffixes
 from tidemark.llm.vocabularies import BYTE_BPE, BYTE_BPE_ADDED, PIECES
 from tidemark.llm.registry import QUERIES, SQL, query  # noqa: F401 - read by the entry module
 from tidemark.sources.tables import Inputs
@@ -211,6 +211,12 @@ def op11_vector_codes(t: Inputs):
     return codebooks.digests(t("embeddings"))
 
 
+@query("op12_personal_data")
+def op12_personal_data(t: Inputs):
+    """Personal data in every document: base patterns, and spans that a model of all labelers' votes confirms."""
+    return personal.found(t("documents"))
+
+
 @query("op13_merkle_manifest", MERKLE_SQL)
 def op13_merkle_manifest(t: Inputs):
     """Leaf, subroot, root and proof of every document, and the root that a tampered text leads to."""
