@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.operators import incremental as inc
+from tidemark.operators import stored
 from tidemark.operators.sets import bag_difference
 
 SCHEMA = "id int, v string, day string"
@@ -53,38 +54,38 @@ def test_delete_insert_keeps_every_batch_row(spark):
 
 
 def test_stored_merge_moves_a_key_and_clears_its_old_partition(spark, house):
-    inc.store_merge(house, "t", table(spark, (1, "a", "d1"), (2, "b", "d2")), ["id"], "day")
-    inc.store_merge(house, "t", table(spark, (1, "a2", "d2")), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (1, "a", "d1"), (2, "b", "d2")), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (1, "a2", "d2")), ["id"], "day")
     assert rows(house.read("t")) == [(1, "a2", "d2"), (2, "b", "d2")]
-    inc.store_merge(house, "t", table(spark, (1, "a2", "d2")), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (1, "a2", "d2")), ["id"], "day")
     assert rows(house.read("t")) == [(1, "a2", "d2"), (2, "b", "d2")]
 
 
 def test_stored_merge_rewrites_only_touched_partitions(spark, house):
-    inc.store_merge(house, "t", table(spark, (1, "a", "d1"), (2, "b", "d2"), (3, "c", "d3")), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (1, "a", "d1"), (2, "b", "d2"), (3, "c", "d3")), ["id"], "day")
     files = lambda: {f for f in house.read("t").inputFiles() if "day=d2" not in f}
     before = files()
-    inc.store_merge(house, "t", table(spark, (2, "bb", "d2"), (4, "new", "d2")), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (2, "bb", "d2"), (4, "new", "d2")), ["id"], "day")
     assert files() == before
     assert rows(house.read("t"), "id", "v") == [(1, "a"), (2, "bb"), (3, "c"), (4, "new")]
 
 
 def test_stored_merge_with_null_partition(spark, house):
-    inc.store_merge(house, "t", table(spark, (1, "a", None), (2, "b", "d2")), ["id"], "day")
-    inc.store_merge(house, "t", table(spark, (1, "aa", None), (3, "c", None)), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (1, "a", None), (2, "b", "d2")), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (1, "aa", None), (3, "c", None)), ["id"], "day")
     assert rows(house.read("t"), "id", "v") == [(1, "aa"), (2, "b"), (3, "c")]
 
 
 @pytest.mark.parametrize("home", [None, "it's", "a\\b", "d 1/2"])
 def test_odd_partition_values_are_cleared(spark, house, home):
-    inc.store_merge(house, "t", table(spark, (1, "a", home), (2, "b", "d2")), ["id"], "day")
-    inc.store_merge(house, "t", table(spark, (1, "aa", "d2")), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (1, "a", home), (2, "b", "d2")), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (1, "aa", "d2")), ["id"], "day")
     assert rows(house.read("t")) == [(1, "aa", "d2"), (2, "b", "d2")]
 
 
 def test_empty_batch_changes_nothing(spark, house):
-    inc.store_merge(house, "t", table(spark, (1, "a", "d1")), ["id"], "day")
-    inc.store_merge(house, "t", table(spark, (9, "z", "d9")).limit(0), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (1, "a", "d1")), ["id"], "day")
+    stored.store_merge(house, "t", table(spark, (9, "z", "d9")).limit(0), ["id"], "day")
     assert rows(house.read("t")) == [(1, "a", "d1")]
 
 
@@ -96,7 +97,7 @@ def test_any_split_into_batches_equals_a_full_load(spark, house, cuts):
     edges = [0, *cuts, 100]
     for lo, hi in zip(edges, edges[1:]):
         # Each batch overlaps the one before it.
-        inc.store_merge(house, "t", source.where((F.col("id") >= max(lo - 5, 0)) & (F.col("id") < hi)), ["id"], "day")
+        stored.store_merge(house, "t", source.where((F.col("id") >= max(lo - 5, 0)) & (F.col("id") < hi)), ["id"], "day")
     assert bag_difference(house.read("t"), source).count() == 0
 
 
@@ -117,8 +118,8 @@ def test_lookback_does_not_see_older_rows(spark, house):
     first = events(spark, (1, "2024-01-01 00:00:00"), (2, "2024-01-02 12:00:00"))
     source = first.union(events(spark, (3, "2024-01-02 07:00:00"), (4, "2024-01-01 01:00:00")))
     day = F.date_format("ts", "yyyy-MM-dd")
-    inc.store_merge(house, "t", first.withColumn("day", day), ["id"], "day")
-    inc.store_merge(house, "t", inc.lookback(source, house.read("t"), "ts", 6).withColumn("day", day), ["id"], "day")
+    stored.store_merge(house, "t", first.withColumn("day", day), ["id"], "day")
+    stored.store_merge(house, "t", inc.lookback(source, house.read("t"), "ts", 6).withColumn("day", day), ["id"], "day")
     assert rows(house.read("t"), "id") == [(1,), (2,), (3,)]
 
 
@@ -143,19 +144,19 @@ def test_batches():
 
 def test_stored_windows_rerun_one_day(spark, house):
     source = events(spark, (1, "2024-01-01 12:00:00"), (2, "2024-01-02 12:00:00"))
-    inc.store_windows(house, "t", source, "ts", "2024-01-01", "2024-01-03")
-    inc.store_windows(house, "t", source, "ts", "2024-01-02", "2024-01-03")
+    stored.store_windows(house, "t", source, "ts", "2024-01-01", "2024-01-03")
+    stored.store_windows(house, "t", source, "ts", "2024-01-02", "2024-01-03")
     assert rows(house.read("t"), "id") == [(1,), (2,)]
-    inc.store_windows(house, "t", source.where("id = 1"), "ts", "2024-01-02", "2024-01-03")
+    stored.store_windows(house, "t", source.where("id = 1"), "ts", "2024-01-02", "2024-01-03")
     assert rows(house.read("t"), "id") == [(1,)]
     with pytest.raises(ValueError, match="needs its bounds"):
-        inc.store_windows(house, "t", source, "ts", None, None)
+        stored.store_windows(house, "t", source, "ts", None, None)
 
 
 def test_hour_windows(spark, house):
     source = events(spark, (1, "2024-01-01 12:10:00"), (2, "2024-01-01 13:10:00"), (3, "2024-01-01 14:00:00"))
-    inc.store_windows(house, "t", source, "ts", "2024-01-01 12:00:00", "2024-01-01 15:00:00", size="hour")
-    inc.store_windows(house, "t", source.where("id <> 2"), "ts", "2024-01-01 13:00:00", "2024-01-01 14:00:00", size="hour")
+    stored.store_windows(house, "t", source, "ts", "2024-01-01 12:00:00", "2024-01-01 15:00:00", size="hour")
+    stored.store_windows(house, "t", source.where("id <> 2"), "ts", "2024-01-01 13:00:00", "2024-01-01 14:00:00", size="hour")
     assert rows(house.read("t"), "id") == [(1,), (3,)]
 
 
@@ -198,10 +199,8 @@ def test_rollup_follows_a_late_row(spark, house):
     first = events(spark, (1, "2024-01-01 12:00:00"), (2, "2024-01-02 03:00:00")).withColumn("day", day)
     second = events(spark, (3, "2024-01-01 22:00:00"), (2, "2024-01-02 03:00:00")).withColumn("day", day)
     for batch in (first, second):
-        target = house.read("facts") if house.exists("facts") else None
-        filled, left = inc.touched_partitions(target, batch, ["id"], "day")
-        facts = inc.store_merge(house, "facts", batch, ["id"], "day")
-        inc.store_rollup(house, "daily", facts, rollup, "day", filled | left)
+        touched = stored.Increment("day", ["id"], "merge").run(house, "facts", batch)
+        stored.store_rollup(house, "daily", house.read("facts"), rollup, "day", touched)
     assert rows(house.read("daily"), "day", "n") == [("2024-01-01", 2), ("2024-01-02", 1)]
 
 
@@ -209,6 +208,6 @@ def test_rollup_clears_a_day_without_facts(spark, house):
     def rollup(facts):
         return facts.groupBy("day").agg(F.count("*").alias("n"))
 
-    inc.store_rollup(house, "daily", table(spark, (1, "a", "d1"), (2, "b", "d2")), rollup, "day")
-    inc.store_rollup(house, "daily", table(spark, (1, "a", "d1")), rollup, "day", {"d2"})
+    stored.store_rollup(house, "daily", table(spark, (1, "a", "d1"), (2, "b", "d2")), rollup, "day")
+    stored.store_rollup(house, "daily", table(spark, (1, "a", "d1")), rollup, "day", {"d2"})
     assert rows(house.read("daily"), "day", "n") == [("d1", 1)]

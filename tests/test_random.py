@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tidemark.operators import incremental as inc
+from tidemark.operators import stored
 from tidemark.operators.snapshot import Snapshot
 from tidemark.sources.warehouse import Warehouse
 
@@ -26,7 +27,7 @@ def test_stored_merges_follow_the_model(spark, batches, keep_value):
     for batch in batches:
         df = spark.createDataFrame([(k, v, d) for k, (v, d) in batch.items()], "id int, v string, day string")
         exclude = ["v"] if keep_value else []
-        inc.store_merge(house, "t", df, ["id"], "day", exclude=exclude)
+        stored.store_merge(house, "t", df, ["id"], "day", exclude=exclude)
         for k, (v, d) in batch.items():
             model[k] = (model[k][0] if keep_value and k in model else v, d)
     assert dict((k, (v, d)) for k, v, d in house.read("t").select("id", "v", "day").collect()) == model

@@ -40,12 +40,13 @@ def test_rerun_changes_nothing(spark, house):
     assert rows(spec.run(house, "h", states[1], T[2])) == first
 
 
-def test_a_run_that_breaks_off_is_mended_by_the_next(spark, house, monkeypatch):
+@pytest.mark.parametrize("later", [T[1], T[2]])
+def test_a_run_that_breaks_off_is_mended_by_the_next(spark, house, monkeypatch, later):
     spec = Snapshot(["id"], hard_deletes="new_record")
     states = [zones(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3)), zones(spark, (1, "aa", 1), (3, "c", 3))]
     for table in ("clean", "broken"):
         spec.run(house, table, states[0], T[0])
-    want = rows(spec.run(house, "clean", states[1], T[1]))
+    want = rows(spec.run(house, "clean", states[1], later))
     write, calls = type(house).overwrite_partitions, []
 
     def once(self, *args):
@@ -58,7 +59,19 @@ def test_a_run_that_breaks_off_is_mended_by_the_next(spark, house, monkeypatch):
     with pytest.raises(RuntimeError):
         spec.run(house, "broken", states[1], T[1])
     monkeypatch.setattr(type(house), "overwrite_partitions", write)
-    assert rows(spec.run(house, "broken", states[1], T[1])) == want
+    assert rows(spec.run(house, "broken", states[1], later)) == want
+    closed = house.read("broken").where("version_set <> 'open'")
+    assert closed.count() == closed.select("scd_id").distinct().count()
+
+
+def test_a_note_left_after_the_open_versions_were_replaced(spark, house, monkeypatch):
+    """The run was done but for its note: its closings stay."""
+    spec = Snapshot(["id"])
+    spec.run(house, "h", zones(spark, (1, "a", 1)), T[0])
+    want = rows(spec.run(house, "h", zones(spark, (1, "b", 1)), T[1]))
+    house.note("h", "closed-" + T[1].replace(" ", "T").replace(":", ""))
+    assert rows(spec.run(house, "h", zones(spark, (1, "b", 1)), T[2])) == want
+    assert not house.noted("h")
 
 
 def test_null_changes_are_changes(spark):

@@ -165,11 +165,17 @@ def test_staged_rows_are_dropped_at_the_end(spark, house):
     assert [t for t in spark.catalog.listTables(house.database) if not t.isTemporary] == []
 
 
-def test_clear_partition(spark, house):
-    df = spark.range(10).withColumn("p", F.col("id") % 3)
+def test_drop_partitions(spark, house):
+    """Rows and files go; rows that come back later are alone in their partition."""
+    df = spark.range(10).withColumn("p", F.when(F.col("id") % 4 < 3, F.concat(F.lit("a+b/ c'%"), F.col("id") % 4)))
     house.replace("t", df, ["p"])
-    house.clear_partition("t", p=1)
-    assert {r["p"] for r in house.read("t").collect()} == {0, 2}
+    known = {r["p"] for r in house.partitions("t", "p").collect()}
+    assert known == {None, "a+b/ c'%0", "a+b/ c'%1", "a+b/ c'%2"}
+    house.drop_partitions("t", "p", [None, "a+b/ c'%1"])
+    assert {r["p"] for r in house.read("t").collect()} == {"a+b/ c'%0", "a+b/ c'%2"}
+    house.drop_partitions("t", "p", [None, "a+b/ c'%1"])
+    house.append("t", df.where("id IN (1, 3)"), ["p"])
+    assert sorted(r["id"] for r in house.read("t").where("p IS NULL OR p LIKE '%1'").collect()) == [1, 3]
 
 
 def test_empty_and_sample_modes(spark, inputs):

@@ -1,8 +1,6 @@
-"""Increments: how a batch of rows changes a table.
+"""Increments: how a batch of rows changes a table, as functions from (target, batch) to the new rows.
 
-The first half are pure functions from (target, batch) to the new rows. The
-second half, named ``store_*``, keep a stored table and rewrite only the
-partitions that a batch touches.
+``operators.stored`` applies them to stored tables.
 
 Keyed operators read only the keys of the batch's distinct rows on the build
 side of their joins, so a small batch is broadcast and a large target is never
@@ -11,21 +9,15 @@ shuffled for it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import truncate
 from tidemark.operators.joins import align, differs
 from tidemark.operators.staging import rows_in, rows_not_in
-from tidemark.sources.tables import in_window
-from tidemark.sources.warehouse import Warehouse
-
-# Fixed value: how the start of a batch window is written in a partition name.
-STAMP = "yyyy-MM-dd'T'HH"
 
 # The words for what to do about changed columns.
 SCHEMA_POLICIES = ("ignore", "fail", "append_new_columns", "sync_all_columns")
@@ -289,140 +281,3 @@ def changes(target: DataFrame, batch: DataFrame, keys: Sequence[str], full_sourc
 def change_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str], full_source: bool = False) -> DataFrame:
     """How many rows each action affects."""
     return changes(target, batch, keys, full_source).groupBy("action").agg(F.count("*").alias("n_rows"))
-
-
-# --- stored tables ---------------------------------------------------------------
-
-
-def touched_partitions(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], partition_by: str) -> tuple[set, set]:
-    """The partitions a batch has rows for, and the others that hold rows with its keys.
-
-    Only the keys and the partition column of the target are read, and nothing
-    if the partition column is one of the keys, for then no key can move. The
-    answer is a short list: one entry per partition.
-    """
-    marked = batch.select(partition_by, F.lit(True).alias("__filled"))
-    if target is not None and partition_by not in keys:
-        home = rows_in(target.select(*keys, partition_by), batch, list(keys))
-        marked = marked.union(home.select(partition_by, F.lit(False)))
-    found = marked.groupBy(partition_by).agg(F.max("__filled").alias("__filled")).collect()
-    return {p for p, filled in found if filled}, {p for p, filled in found if not filled}
-
-
-def store_merge(
-    warehouse: Warehouse,
-    table: str,
-    batch: DataFrame,
-    keys: Sequence[str],
-    partition_by: str,
-    exclude: Sequence[str] = (),
-    strategy: str = "merge",
-) -> DataFrame:
-    """Merge (or delete+insert) a batch, rewriting only the partitions it touches.
-
-    The batch is staged first, so that whatever it is computed from is read
-    once. A key may move to another partition, so the touched ones are those of
-    the batch's rows and those of the target rows with its keys. The list is
-    put in a filter on the partition column, which prunes the scan. A partition
-    that loses its last row is cleared.
-    """
-    with warehouse.staged(batch) as rows:
-        if strategy == "merge":
-            require_unique_keys(rows, keys)
-        if not warehouse.exists(table):
-            return warehouse.replace(table, rows, [partition_by])
-        _merge_staged(warehouse, table, rows, keys, partition_by, exclude, strategy)
-    return warehouse.read(table)
-
-
-def _merge_staged(
-    warehouse: Warehouse, table: str, batch: DataFrame, keys: Sequence[str], partition_by: str, exclude: Sequence[str], strategy: str
-) -> None:
-    target = warehouse.read(table)
-    batch = warehouse.fitted(table, batch)
-    filled, left = touched_partitions(target, batch, keys, partition_by)
-    if not filled:
-        return
-    old = target.where(_one_of(F.col(partition_by), filled | left))
-    if strategy == "merge":
-        rows = merge(old, batch, keys, exclude, check=False)
-    else:
-        rows = delete_insert(old, batch, keys)
-    # An overwrite leaves partitions alone that it has no rows for. Only one
-    # that keys move out of, and none into, can lose its last row.
-    if left:
-        rest = rows_not_in(target.where(_one_of(F.col(partition_by), left)), batch, list(keys))
-        left -= {row[0] for row in rest.select(partition_by).distinct().collect()}
-    warehouse.overwrite_partitions(table, rows, [partition_by])
-    for value in left:
-        warehouse.clear_partition(table, **{partition_by: value})
-
-
-def store_rollup(
-    warehouse: Warehouse,
-    table: str,
-    facts: DataFrame,
-    rollup: Callable[[DataFrame], DataFrame],
-    partition_by: str,
-    touched: set | None = None,
-) -> DataFrame:
-    """Recompute the rollup's partitions that a fact step touched; all if ``touched`` is None.
-
-    Facts and rollup share the partition column, so the rollup always agrees
-    with the facts, whatever lookback the fact step used.
-    """
-    if touched is None or not warehouse.exists(table):
-        return warehouse.replace(table, rollup(facts), [partition_by])
-    if not touched:
-        return warehouse.read(table)
-    part = facts.where(_one_of(F.col(partition_by), touched))
-    held = {row[0] for row in part.select(partition_by).distinct().collect()}
-    if held:
-        warehouse.overwrite_partitions(table, rollup(part), [partition_by])
-    for value in touched - held:
-        warehouse.clear_partition(table, **{partition_by: value})
-    return warehouse.read(table)
-
-
-def _one_of(column: Column, values: set) -> Column:
-    test = column.isin([v for v in values if v is not None])
-    return test | column.isNull() if None in values else test
-
-
-def store_windows(
-    warehouse: Warehouse,
-    table: str,
-    source: DataFrame,
-    column: str,
-    start: str | None,
-    end: str | None,
-    size: str = "day",
-    lookback: int = 0,
-    begin: str | None = None,
-) -> DataFrame:
-    """Replace every batch window in ``[start, end)`` by the source's rows in it.
-
-    The table is partitioned by the window's start (``batch_start``). All
-    windows of the run are one job: their partitions are disjoint, so Spark
-    writes them side by side. The rows are staged first, as with a merge, and
-    windows that the source has no rows for any more are cleared.
-    """
-    if start is None or end is None:
-        raise ValueError("a window needs its bounds: without them all rows would be replaced")
-    windows = batches(start, end, size, lookback, begin)
-    if not windows:
-        return warehouse.read(table)
-    lo, hi = str(windows[0].start), str(windows[-1].end)
-    rows = source.where(in_window(F.col(column), lo, hi)).withColumn(
-        "batch_start", F.replace(truncate(size, column).cast("string").substr(1, 13), F.lit(" "), F.lit("T"))
-    )
-    if not warehouse.exists(table):
-        return warehouse.replace(table, rows, ["batch_start"])
-    held = warehouse.read(table).where(in_window(F.to_timestamp_ntz("batch_start", F.lit(STAMP)), lo, hi))
-    stale = {row[0] for row in held.select("batch_start").distinct().collect()}
-    with warehouse.staged(rows) as fresh:
-        stale -= {row[0] for row in fresh.select("batch_start").distinct().collect()}
-        warehouse.overwrite_partitions(table, fresh, ["batch_start"])
-    for stamp in stale:
-        warehouse.clear_partition(table, batch_start=stamp)
-    return warehouse.read(table)

@@ -174,17 +174,36 @@ class Snapshot:
 
         The table is partitioned by ``version_set``: 'open' holds the current
         versions, and each run's closings get a partition of their own. The
-        closings are written before 'open' is replaced, so a run that broke off
-        is mended by repeating it; until then a reader may see a closed version
-        as open too. If the source gained a
-        column the table is rebuilt once with it.
+        closings are written before 'open' is replaced, and until then the table
+        keeps a note of them. A run that broke off in between is undone by the
+        next one, whatever its ``as_of``; until then a reader may see a closed
+        version as open too. If the source gained a column the table is rebuilt
+        once with it. The source is staged: it is computed once for the check
+        and the versions.
         """
-        if check:
-            require_unique_keys(source, self.keys)
+        with warehouse.staged(source) as rows:
+            if check:
+                require_unique_keys(rows, self.keys)
+            return self._run(warehouse, table, rows, as_of)
+
+    def _mend(self, warehouse: Warehouse, table: str) -> None:
+        """Undo the closings of a run that broke off before it replaced the open versions."""
+        begun = warehouse.noted(table)
+        if not begun:
+            return
+        history, version = warehouse.read(table), self.names.scd_id
+        closings = history.where(F.col("version_set") == begun).select(version)
+        if not history.where("version_set = 'open'").select(version).join(closings, version, "left_semi").isEmpty():
+            warehouse.drop_partitions(table, "version_set", [begun])
+        warehouse.note(table, "")
+
+    def _run(self, warehouse: Warehouse, table: str, source: DataFrame, as_of: str) -> DataFrame:
+        warehouse.recover(table)
         if not warehouse.exists(table):
             first = self.first(source, as_of).withColumn("version_set", F.lit("open"))
             warehouse.replace(table, first, ["version_set"])
             return warehouse.read(table).drop("version_set")
+        self._mend(warehouse, table)
         history = warehouse.read(table)
         closed_set = "closed-" + as_of.replace(" ", "T").replace(":", "")
         rows = self.versions(history.where("version_set = 'open'").drop("version_set"), source, as_of)
@@ -194,11 +213,13 @@ class Snapshot:
             warehouse.replace(table, rest.unionByName(rows, allowMissingColumns=True), ["version_set"])
         else:
             all_closed = self.hard_deletes == "invalidate" and source.isEmpty()
-            # Closings go first: if the run breaks off between the two, a rerun still finds
-            # the open versions as they were and writes the same closings again.
+            # Closings go first: if the run breaks off between the two, the open versions are
+            # as they were, and the note says which closings to undo.
             with warehouse.staged(rows) as ready:
+                warehouse.note(table, closed_set)
                 for part in (ready.where("version_set <> 'open'"), ready.where("version_set = 'open'")):
                     warehouse.overwrite_partitions(table, part, ["version_set"])
             if all_closed:
-                warehouse.clear_partition(table, version_set="open")
+                warehouse.drop_partitions(table, "version_set", ["open"])
+            warehouse.note(table, "")
         return warehouse.read(table).drop("version_set")

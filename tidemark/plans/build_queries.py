@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import numbers
-from tidemark.operators import incremental, sets
+from tidemark.operators import incremental, sets, stored
 from tidemark.plans import mart_sql, marts
 from tidemark.plans.registry import mean, query, r, total
 from tidemark.sources.tables import Inputs
@@ -83,7 +83,7 @@ def delete_insert(inputs: Inputs) -> DataFrame:
     first = marts.user_days(events.where(F.col("ts") < ts("2024-01-20 12:00:00")))
     second = marts.user_days(events.where(F.col("ts") >= ts("2024-01-20")))
     for batch in (first, second, second):
-        incremental.store_merge(
+        stored.store_merge(
             house, "user_days", batch, ["event_date", "user_id"], "event_date", strategy="delete+insert"
         )
     return house.read("user_days")
@@ -122,9 +122,9 @@ LATE_SQL = f"""SELECT o_orderkey, {r("o_totalprice + 100", 2)} AS o_totalprice,
 def merge(inputs: Inputs) -> DataFrame:
     """A stored table, partitioned by year; the batch is merged twice."""
     house = Warehouse.scratch(inputs.spark, "merge")
-    incremental.store_merge(house, "orders", order_rows(inputs).where("order_year <= 2000"), ["o_orderkey"], "order_year")
+    stored.store_merge(house, "orders", order_rows(inputs).where("order_year <= 2000"), ["o_orderkey"], "order_year")
     for _ in range(2):
-        incremental.store_merge(house, "orders", late_orders(inputs), ["o_orderkey"], "order_year")
+        stored.store_merge(house, "orders", late_orders(inputs), ["o_orderkey"], "order_year")
     return house.read("orders").drop("order_year")
 
 
@@ -141,17 +141,23 @@ def merge_excluding(inputs: Inputs) -> DataFrame:
     return merged.drop("order_year")
 
 
+# After the first run, the batch's own rows are closed too if they fail the predicate: the second run adds them once more.
+OPEN = "order_year = 2000 AND o_totalprice < 250000"
+
+
 @query(
     "bld_7_merge_with_predicate",
     f"""SELECT {ORDERS} FROM ({EARLY_SQL}) WHERE NOT (y = 2000 AND o_totalprice < 250000)
-        UNION ALL SELECT {ORDERS} FROM ({LATE_SQL})""",
+        UNION ALL SELECT {ORDERS} FROM ({LATE_SQL})
+        UNION ALL SELECT {ORDERS} FROM ({LATE_SQL}) WHERE NOT (y = 2000 AND o_totalprice < 250000)""",
 )
 def merge_with_predicate(inputs: Inputs) -> DataFrame:
-    """Only cheap orders of the last year may be replaced; others stay beside the new rows."""
-    old = order_rows(inputs).where("order_year <= 2000")
-    open_rows = (F.col("order_year") == 2000) & (F.col("o_totalprice") < 250000)
-    merged = incremental.merge(old, late_orders(inputs), ["o_orderkey"], predicate=open_rows)
-    return merged.drop("order_year")
+    """A stored merge, twice: only cheap orders of the last year may be replaced; others stay beside the new rows."""
+    house = Warehouse.scratch(inputs.spark, "predicate")
+    step = stored.Increment("order_year", ["o_orderkey"], "merge", predicate=OPEN)
+    for batch in (order_rows(inputs).where("order_year <= 2000"), late_orders(inputs), late_orders(inputs)):
+        step.run(house, "orders", batch)
+    return house.read("orders").drop("order_year")
 
 
 @query("bld_8_lookback", "SELECT event_id, ts, event_type, value, CAST(ts AS DATE) AS event_date FROM events")
@@ -161,10 +167,10 @@ def lookback(inputs: Inputs) -> DataFrame:
     source = inputs("events").select("event_id", "ts", "event_type", "value", F.to_date("ts").alias("event_date"))
     cut, hours = "2024-01-15 12:00:00", 6
     late = (F.col("ts") >= ts("2024-01-15 07:00:00")) & (F.col("event_type") == "error")
-    incremental.store_merge(house, "facts", source.where((F.col("ts") < ts(cut)) & ~late), ["event_id"], "event_date")
+    stored.store_merge(house, "facts", source.where((F.col("ts") < ts(cut)) & ~late), ["event_id"], "event_date")
     for _ in range(2):
-        batch = incremental.lookback(source, house.read("facts"), "ts", hours)
-        incremental.store_merge(house, "facts", batch, ["event_id"], "event_date")
+        batch = stored.lookback(house, "facts", source, "ts", hours, "event_date")
+        stored.store_merge(house, "facts", batch, ["event_id"], "event_date")
     return house.read("facts")
 
 
@@ -178,13 +184,13 @@ def microbatch(inputs: Inputs) -> DataFrame:
     house = Warehouse.scratch(inputs.spark, "microbatch")
     source = inputs("events").select("event_id", "ts", "value")
     first, end = map(str, days_of(source))
-    incremental.store_windows(house, "facts", source, "ts", first, end, begin=first)
+    stored.store_windows(house, "facts", source, "ts", first, end, begin=first)
     fixed = source.where(F.to_date("ts") != F.lit("2024-01-03").cast("date")).withColumn(
         "value", F.when(F.to_date("ts") == F.lit("2024-01-02").cast("date"), 0.0).otherwise(F.col("value"))
     )
-    incremental.store_windows(house, "facts", fixed, "ts", "2024-01-03", "2024-01-04", lookback=1)
+    stored.store_windows(house, "facts", fixed, "ts", "2024-01-03", "2024-01-04", lookback=1)
     try:
-        incremental.store_windows(house, "facts", source, "ts", None, None)
+        stored.store_windows(house, "facts", source, "ts", None, None)
         refused = False
     except ValueError:
         refused = True
@@ -194,27 +200,29 @@ def microbatch(inputs: Inputs) -> DataFrame:
 @query(
     "bld_10_schema_change",
     """SELECT event_id, event_type, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN user_id END AS user_id,
-       CASE WHEN ts < TIMESTAMP '2024-01-16' THEN value END AS value, 3 AS columns_ignoring, 3 AS columns_syncing,
-       true AS fail_raised FROM events""",
+       CASE WHEN ts < TIMESTAMP '2024-01-16' THEN value END AS value, 'event_id,event_type,value,event_date' AS columns_ignoring,
+       'event_id,event_type,user_id,event_date' AS columns_syncing, true AS fail_raised FROM events""",
 )
 def schema_change(inputs: Inputs) -> DataFrame:
-    """A batch gains ``user_id`` and loses ``value``: appended, ignored, synced, refused."""
-    events = inputs("events")
-    old = events.where(F.col("ts") < ts("2024-01-16")).select("event_id", "event_type", "value")
-    new = events.where(F.col("ts") >= ts("2024-01-16")).select("event_id", "event_type", "user_id")
-    widths = {}
-    for policy in ("ignore", "sync_all_columns"):
-        widths[policy] = len(incremental.append(*incremental.fit_schema(old, new, policy)).columns)
+    """Stored tables whose batch gains ``user_id`` and loses ``value``: appended (twice), ignored, synced, refused."""
+    house = Warehouse.scratch(inputs.spark, "columns")
+    events = inputs("events").withColumn("event_date", F.to_date("ts"))
+    old = events.where(F.col("ts") < ts("2024-01-16")).select("event_id", "event_type", "value", "event_date")
+    new = events.where(F.col("ts") >= ts("2024-01-16")).select("event_id", "event_type", "user_id", "event_date")
+
+    def run(policy: str, batches: list[DataFrame]) -> DataFrame:
+        for batch in batches:
+            stored.Increment("event_date", ["event_id"], "merge", on_schema_change=policy).run(house, policy, batch)
+        return house.read(policy)
+
+    ignoring, syncing = (",".join(run(policy, [old, new]).columns) for policy in ("ignore", "sync_all_columns"))
     try:
-        incremental.fit_schema(old, new, "fail")
+        run("fail", [old, new])
         raised = False
     except incremental.SchemaChange:
         raised = True
-    return incremental.append(*incremental.fit_schema(old, new, "append_new_columns")).select(
-        "*",
-        F.lit(widths["ignore"]).alias("columns_ignoring"),
-        F.lit(widths["sync_all_columns"]).alias("columns_syncing"),
-        F.lit(raised).alias("fail_raised"),
+    return run("append_new_columns", [old, new, new]).drop("event_date").select(
+        "*", F.lit(ignoring).alias("columns_ignoring"), F.lit(syncing).alias("columns_syncing"), F.lit(raised).alias("fail_raised")
     )
 
 
@@ -232,7 +240,7 @@ def full_refresh(inputs: Inputs) -> DataFrame:
         if start == end:
             continue
         part = events.where((F.col("ts") >= ts(str(start))) & (F.col("ts") < ts(str(end))))
-        incremental.store_merge(house, "steps", marts.user_days(part), keys, "event_date", strategy="delete+insert")
+        stored.store_merge(house, "steps", marts.user_days(part), keys, "event_date", strategy="delete+insert")
     full, steps = house.replace("full", marts.user_days(events)), house.read("steps")
     different = sets.bag_difference(full, steps.select(*full.columns))
     return full.agg(F.count("*").alias("n_full")).select(
@@ -251,18 +259,18 @@ def full_refresh(inputs: Inputs) -> DataFrame:
         WHERE NOT (p_size >= 45) AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity = 50)""",
 )
 def mutations(inputs: Inputs) -> DataFrame:
-    """Update, delete, update from and delete using, then one swap."""
+    """Update, delete, update from and delete using on a stored table; each rewrites what it touches."""
     house = Warehouse.scratch(inputs.spark, "mutations")
-    house.replace("part", inputs("part").select("p_partkey", "p_brand", "p_size", "p_retailprice"))
+    house.replace("part", inputs("part").select("p_partkey", "p_brand", "p_size", "p_retailprice"), ["p_size"])
     lines = inputs("lineitem").withColumnRenamed("l_partkey", "p_partkey")
     returned = lines.where("l_returnflag = 'R'").groupBy("p_partkey")
     prices = returned.agg(numbers.rounded(numbers.exact_avg("l_extendedprice"), 2).alias("p_retailprice"))
-    rows = house.read("part")
-    rows = incremental.update_where(rows, F.col("p_brand") == "Brand#1", {"p_brand": F.lit("Brand#01")})
-    rows = incremental.delete_where(rows, F.col("p_size") >= 45)
-    rows = incremental.update_from(rows, prices, ["p_partkey"], ["p_retailprice"])
-    rows = incremental.delete_using(rows, lines.where("l_quantity = 50"), ["p_partkey"])
-    return house.replace("part", rows)
+    # Whole partitions go first: nothing else is read or written for them.
+    stored.delete_rows(house, "part", "p_size", "p_size >= 45")
+    stored.delete_rows_using(house, "part", "p_size", lines.where("l_quantity = 50"), ["p_partkey"])
+    stored.update_rows(house, "part", "p_size", "p_brand = 'Brand#1'", {"p_brand": F.lit("Brand#01")})
+    stored.update_rows_from(house, "part", "p_size", prices, ["p_partkey"], ["p_retailprice"])
+    return house.read("part")
 
 
 @query(
@@ -292,13 +300,11 @@ def composed_increments(inputs: Inputs) -> DataFrame:
             F.count("*").alias("n_events"), numbers.exact_sum("value").alias("total_value")
         )
 
+    step = stored.Increment("event_date", ["event_id"], "merge")
     for batch_of in (
         lambda: source.where((F.col("ts") < ts("2024-01-15 01:00:00")) & ~late),
-        lambda: incremental.lookback(source, house.read("facts"), "ts", 6),
+        lambda: stored.lookback(house, "facts", source, "ts", 6, "event_date"),
     ):
-        batch = batch_of()
-        target = house.read("facts") if house.exists("facts") else None
-        filled, left = incremental.touched_partitions(target, batch, ["event_id"], "event_date")
-        facts = incremental.store_merge(house, "facts", batch, ["event_id"], "event_date")
-        incremental.store_rollup(house, "daily", facts, rollup, "event_date", filled | left)
+        touched = step.run(house, "facts", batch_of())
+        stored.store_rollup(house, "daily", house.read("facts"), rollup, "event_date", touched)
     return house.read("daily")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import incremental, windows
+from tidemark.operators import stored, windows
 from tidemark.operators.models import Context, run_model
 from tidemark.plans import mart_sql, marts
 from tidemark.plans.registry import query
@@ -34,11 +34,11 @@ def user_days(inputs: Inputs) -> DataFrame:
     events = inputs("events")
     early = events.where(F.col("ts") < F.lit("2024-01-20 15:00:00").cast("timestamp_ntz"))
     keys = ["event_date", "user_id"]
-    incremental.store_merge(house, "user_days", marts.user_days(early), keys, "event_date", strategy="delete+insert")
+    stored.store_merge(house, "user_days", marts.user_days(early), keys, "event_date", strategy="delete+insert")
     # Whole days only: the newest stored day may be half full.
     newest = house.read("user_days").agg(F.max("event_date")).first()[0]
     late = marts.user_days(events.where(F.col("ts") >= F.lit(newest).cast("timestamp_ntz")))
-    return incremental.store_merge(house, "user_days", late, keys, "event_date", strategy="delete+insert")
+    return stored.store_merge(house, "user_days", late, keys, "event_date", strategy="delete+insert")
 
 
 @query("mart_9_zscores", mart_sql.ZSCORES)

@@ -8,11 +8,12 @@ build that fails leaves the old table as it was.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.session import scratch_path
 
@@ -141,15 +142,87 @@ class Warehouse:
         ordered.write.mode("overwrite").insertInto(self.name(table))
         return self.read(table)
 
-    def clear_partition(self, table: str, **values: object) -> None:
-        """Remove the rows of one partition, given by all its column values."""
-        target = self.read(table)
-        spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in values.items())
-        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema if f.name not in values]
-        view = f"no_rows_{uuid.uuid4().hex[:8]}"
-        self.spark.range(0).select(*nulls).createOrReplaceTempView(view)
-        self.spark.sql(f"INSERT OVERWRITE {self.name(table)} PARTITION ({spec}) SELECT * FROM {view}")
-        self.spark.catalog.dropTempView(view)
+    def drop_partitions(self, table: str, column: str, values: Collection[object]) -> None:
+        """Remove all rows of the given partitions, in one statement and without a job.
+
+        Files go first: if this breaks off, the rows are gone and the next call removes the
+        entries. Entries without files would only cost a listing; files without entries
+        would come back with the next rows of that partition.
+        """
+        if not values:
+            return
+        held = self.read(table).where(one_of(F.col(column), values)).inputFiles()
+        jvm = self.spark._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in held}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        specs = ", ".join(f"PARTITION (`{column}` = {_literal(v)})" for v in values)
+        self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {specs}")
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def partitions(self, table: str, column: str) -> DataFrame:
+        """The values of a table's only partition column, from the catalog: no file is read."""
+        kind = self.read(table).schema[column].dataType
+        text = F.expr(f"url_decode(replace(substr(partition, {len(column) + 2}), '+', '%2B'))")
+        known = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
+        return known.select(F.when(text != "__HIVE_DEFAULT_PARTITION__", text).cast(kind).alias(column))
+
+    def ensure(self, table: str, schema: StructType, partition_by: Sequence[str]) -> None:
+        """Create an empty table if there is none; runs side by side may all call it."""
+        self.recover(table)
+        if not self.exists(table):
+            self._define(table, schema, partition_by, f"{self.location}/{table}/{uuid.uuid4().hex}")
+
+    def add_columns(self, table: str, fields: Sequence[StructField]) -> None:
+        """New columns, NULL in the rows there are; an entry in the catalog, no file is touched."""
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({columns})")
+
+    def note(self, table: str, text: str) -> None:
+        """Keep a word about a table in the catalog, beside it; an empty one removes it.
+
+        Readers of the table keep what they have listed: its own entry does not change.
+        """
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}__note")
+        if text:
+            self.spark.sql(f"CREATE TABLE {self.name(table)}__note (note STRING) USING parquet TBLPROPERTIES ('note' = {_literal(text)})")
+
+    def noted(self, table: str) -> str:
+        """What :meth:`note` keeps; empty if nothing."""
+        return self._property(f"{table}__note", "note") if self.exists(f"{table}__note") else ""
+
+    def _property(self, table: str, key: str) -> str:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").where(F.col("key") == key).collect()
+        return rows[0]["value"] if rows else ""
+
+    def dropped_columns(self, table: str) -> set[str]:
+        """Columns that files may still hold although the table has them no more."""
+        return set(filter(None, self._property(table, "dropped_columns").split("\x1f")))
+
+    def redefine(self, table: str, schema: StructType, partition_by: Sequence[str], dropped: set[str]) -> None:
+        """The same files under other columns: some left out, some of a wider type.
+
+        The new entry is made beside the old one and swapped in. Columns that are left out
+        stay in the files, so their names are kept with the table.
+        """
+        stage, backup = f"{table}__stage", f"{table}__backup"
+        for leftover in (stage, backup):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(leftover)}")
+        known = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").where("col_name = 'Location'")
+        self._define(stage, schema, partition_by, known.first()["data_type"], self.dropped_columns(table) | dropped)
+        self.spark.sql(f"ALTER TABLE {self.name(stage)} RECOVER PARTITIONS")
+        self._rename(table, backup)
+        self._rename(stage, table)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(backup)}")
+
+    def _define(self, table: str, schema: StructType, partition_by: Sequence[str], location: str, dropped: Collection[str] = ()) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        by = ", ".join(f"`{c}`" for c in partition_by)
+        gone = "\x1f".join(sorted(dropped))
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
+            f"PARTITIONED BY ({by}) LOCATION '{location}' TBLPROPERTIES ('dropped_columns' = '{gone}')"
+        )
 
     def _rename(self, old: str, new: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.name(old)} RENAME TO {self.name(new)}")
@@ -161,3 +234,9 @@ def _literal(value: object) -> str:
         return "NULL"
     text = str(value).replace("\\", "\\\\").replace("'", "\\'")
     return f"'{text}'"
+
+
+def one_of(column: Column, values: Collection[object]) -> Column:
+    """Whether a partition column holds one of the values, NULL among them or not; it prunes the scan."""
+    test = column.isin([v for v in values if v is not None])
+    return test | column.isNull() if None in values else test

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import first_per_key
-from tidemark.operators.incremental import store_rollup
+from tidemark.operators.stored import store_rollup
 from tidemark.sources.warehouse import Warehouse
 
 
