@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import Window
@@ -81,6 +84,71 @@ def test_exact_sums(spark):
     assert spark.createDataFrame([], "x double").agg(numbers.exact_sum("x")).first()[0] is None
 
 
+def doubles(kind, n, draw):
+    """Values of one kind: money, tiny, of all sizes, nearly cancelling, halfway cases, the ends of the range."""
+    if kind == "money":
+        return [round(draw.uniform(-1000, 1000), 2) for _ in range(n)]
+    if kind == "tiny":
+        return [0.000009] * n + [draw.randrange(1000) * 1e-15 for _ in range(n)]
+    if kind == "sizes":
+        return [math.ldexp(draw.uniform(-1, 1), draw.randrange(-1074, 1000)) for _ in range(n)]
+    if kind == "cancelling":
+        held = [math.ldexp(draw.random(), draw.randrange(-60, 60)) for _ in range(n)]
+        return held + [-x * (1 + 2**-40) for x in held]
+    if kind == "halfway":
+        return [2.0**53, 1.0, draw.choice([2.0**-60, 0.0, -(2.0**-60)]), draw.choice([2.0, 0.0])] * draw.choice([1, 3])
+    return [5e-324] * draw.randrange(1, 5) + [draw.choice([2.0**-1022, -(2.0**-1074), 1.7e308, -1.7e308, 2.0**24, 2.0**-24, 0.0, -0.0, 2.0**48 - 1])]
+
+
+def test_exact_totals_of_any_doubles(spark):
+    """Equal to the correctly rounded sum, under three partitionings."""
+    draw = random.Random(9)
+    groups = {}
+    for i in range(120):
+        kind = ("money", "tiny", "sizes", "cancelling", "halfway", "ends")[i % 6]
+        groups[f"{kind}{i}"] = doubles(kind, draw.randrange(1, 60), draw)
+    data = [(k, v) for k, values in groups.items() for v in values]
+    df = spark.createDataFrame(data, "k string, v double")
+    want = {k: math.fsum(values) for k, values in groups.items()}
+    for spread in (df, df.repartition(7, "v"), df.coalesce(1)):
+        got = {r.k: (r.total, r.mean) for r in aggregates.exact_totals(spread, ["k"], {"total": "v"}, {"mean": "v"}).collect()}
+        assert {k: t for k, (t, _) in got.items()} == want
+        assert all(mean == want[k] / len(groups[k]) for k, (_, mean) in got.items())
+
+
+def test_exact_totals_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "nan": [1.0, nan],
+        "both": [inf, -inf],
+        "up": [inf, 1.0, None],
+        "down": [-inf, -inf],
+        "none": [None, None],
+        "zero": [-0.0, 0.0],
+        "over": [1.7e308, 1.7e308],
+        "back": [1.7e308, 1.7e308, -1.7e308, None],
+        None: [1.5],
+    }
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = {r.k: r.t for r in aggregates.exact_totals(df, ["k"], {"t": "v"}).collect()}
+    assert math.isnan(got.pop("nan")) and math.isnan(got.pop("both"))
+    assert got == {"up": inf, "down": -inf, "none": None, "zero": 0.0, "over": inf, "back": 1.7e308, None: 1.5}
+    assert aggregates.exact_totals(df.limit(0), ["k"], {"t": "v"}).collect() == []
+    assert aggregates.exact_totals(df.where("k = 'up'"), [], {"t": "v", "u": F.lit(0.1)}).first() == (inf, math.fsum([0.1] * 3))
+
+
+def test_declared_decimals_and_values_that_are_not_finite(spark):
+    tiny = spark.range(1000).select(F.lit(0.000009).alias("v"))
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        tiny.agg(numbers.exact_sum("v")).collect()
+    assert tiny.agg(numbers.exact_sum("v", 6)).first()[0] == 0.009
+    with pytest.raises(Exception, match="too large"):
+        spark.range(1).select(F.lit(1e17).alias("v")).agg(numbers.exact_sum("v")).collect()
+    for value in (float("nan"), float("inf"), float("-inf")):
+        df = spark.createDataFrame([(1.5,), (value,), (None,)], "v double")
+        assert str(df.agg(numbers.exact_sum("v")).first()[0]) == str(value)
+
+
 def test_rounding_and_ratios(spark):
     one = spark.range(1)
     pick = lambda c: one.select(c).first()[0]

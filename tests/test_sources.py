@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tidemark.functions import dates, text
 from tidemark.operators import staging
 from tidemark.session import scratch_path, scratch_root, size_shuffles
 from tidemark.sources import csvload, sampling
@@ -209,43 +210,33 @@ def test_size_shuffles(spark):
 
 # The rows that staging must keep or drop.
 TRIPS = [
-    (1, 1, "2019-01-07 08:15:00", "2019-01-07 08:45:30", 3.0, 20.0, "N"),
-    (2, 2, "2019-01-12 23:50:00", "2019-01-13 00:05:00", 4.0, 25.0, "Y"),
-    (3, 1, "2019-01-08 12:00:00", "2019-01-08 12:00:00", 0.0, 5.0, None),
-    (4, 1, "2019-01-08 01:00:00", "2019-01-08 14:00:00", 9.0, 50.0, None),
-    (5, 2, "2019-01-09 10:00:00", "2019-01-09 10:10:00", 2.4, 623261.66, None),
+    (1, "2019-01-07 08:15:00", "2019-01-07 08:45:30", 20.0, "N"),
+    (2, "2019-01-12 23:50:00", "2019-01-13 00:05:00", 25.0, "Y"),
+    (3, "2019-01-08 12:00:00", "2019-01-08 12:00:00", 5.0, None),
+    (4, "2019-01-08 01:00:00", "2019-01-08 14:00:00", 50.0, None),
+    (5, "2019-01-09 10:00:00", "2019-01-09 10:10:00", 623261.66, None),
 ]
 
 
-def test_trip_staging(spark):
-    raw = spark.createDataFrame(
-        TRIPS,
-        "trip_id long, VendorID long, pu string, do string, trip_distance double, total_amount double, store_and_fwd_flag string",
-    ).select(
-        "*",
-        F.col("pu").cast("timestamp_ntz").alias("tpep_pickup_datetime"),
-        F.col("do").cast("timestamp_ntz").alias("tpep_dropoff_datetime"),
-        *[F.lit(None).cast("bigint").alias(c) for c in ("RatecodeID", "PULocationID", "DOLocationID", "payment_type", "passenger_count")],
-        *[
-            F.lit(None).cast("double").alias(c)
-            for c in ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge")
-        ],
+def test_staging_of_intervals(spark):
+    """Rules drop empty, long and implausible rows; the rest is renamed, derived and filled in one step."""
+    raw = spark.createDataFrame(TRIPS, "id long, a string, b string, total double, flag string")
+    raw = raw.select("id", F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"), "total", "flag", F.lit(None).cast("double").alias("extra"))
+    out = staging.stage(
+        raw,
+        rename={"id": "key", "extra": "surcharge"},
+        derive={**staging.time_fields("a", "start"), "minutes": dates.minutes_between("a", "b"), "held": text.equals_flag("flag", "Y")},
+        fill={"surcharge": 0.0},
+        valid=[(F.col("b") > F.col("a")) & (F.col("b") <= dates.plus("a", "12 hours")), F.col("total").between(0, 2000)],
     )
-    out = staging.stage_trips(raw, "2019-01-01 00:00:00", "2019-02-01 00:00:00")
-    got = rows(
-        out, "trip_id", "vendor_id", "pickup_hour", "pickup_iso_weekday", "pickup_day_part",
-        "trip_duration_minutes", "is_store_and_forward", "congestion_surcharge",
-    )
-    assert got == [(1, 1, 8, 1, "morning rush", 30.5, False, 0.0), (2, 2, 23, 6, "night", 15.0, True, 0.0)]
+    got = rows(out, "key", "start_hour", "start_iso_weekday", "start_day_part", "minutes", "held", "surcharge")
+    assert got == [(1, 8, 1, "morning rush", 30.5, False, 0.0), (2, 23, 6, "night", 15.0, True, 0.0)]
 
 
-def test_zone_staging(spark):
-    zones = spark.createDataFrame(
-        [(1, "EWR", "Newark Airport", "EWR"), (132, "Queens", "JFK Airport", "Airports"), (161, "Manhattan", "Midtown Center", "Yellow Zone"), (264, "Unknown", None, "N/A")],
-        "LocationID long, Borough string, Zone string, service_zone string",
-    )
-    flags = dict(rows(staging.stage_zones(zones), "location_id", "is_airport"))
-    assert flags == {1: True, 132: True, 161: False, 264: False}
+def test_pattern_flag_in_staging(spark):
+    places = spark.createDataFrame([(1, "Newark Airport"), (2, "JFK Airport"), (3, "Midtown Center"), (4, None)], "k int, place string")
+    out = staging.stage(places, rename={"k": "k"}, derive={"is_airport": text.matches_flag("place", "%Airport%")})
+    assert dict(rows(out, "k", "is_airport")) == {1: True, 2: True, 3: False, 4: False}
 
 
 def test_part_numbers_are_numbers(spark):

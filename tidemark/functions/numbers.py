@@ -22,15 +22,32 @@ HALF_BITS = 16
 
 
 def units(value: Column | str, scale: int = 2) -> Column:
-    """A double that holds ``scale`` decimals as a whole number of its last place.
+    """A double that holds ``scale`` decimals as a whole number of its last place; NULL if it is not finite.
 
-    A value with more decimals is an error: rounding it here, row by row, would
-    make the sum of many small values zero.
+    :func:`deviation` tells whether it holds so many decimals.
+    """
+    return F.rint(_col(value) * 10**scale).try_cast("bigint")
+
+
+# How far from a whole number of places a value may be. The first is in
+# places (noise of a difference near zero), the second relative (rounding of products).
+NOISE, ROUNDING = 1e-12, 2e-15
+
+
+def deviation(value: Column | str, scale: int = 2) -> Column:
+    """How far a double is from ``scale`` decimals, in places beyond rounding; above NOISE it does not hold them.
+
+    Its maximum over a group costs the rows no branch. NaN for values that are not
+    finite, and large for those beyond 62 bits.
     """
     places = _col(value) * 10**scale
-    whole = F.rint(places)
-    wrong = F.raise_error(F.concat(F.lit(f"more than {scale} decimals: "), _col(value).cast("string")))
-    return F.when(F.abs(places - whole) > 1e-3 + F.abs(places) * 1e-15, wrong.cast("bigint")).otherwise(whole.cast("bigint"))
+    return F.greatest(F.abs(places - F.rint(places)) - F.abs(places) * ROUNDING, F.abs(places) - 2.0**62)
+
+
+def refused(total: Column, off: Column, scale: int) -> Column:
+    """``total``, or an error if the largest deviation ``off`` says that a value was rounded for it."""
+    wrong = F.raise_error(F.lit(f"a value holds more than {scale} decimals, or is too large or not finite"))
+    return F.when(off > NOISE, wrong).otherwise(total)
 
 
 def sum_units(value: Column | str, scale: int = 2) -> Column:
@@ -56,8 +73,16 @@ def rounded(value: Column | str, places: int) -> Column:
 
 
 def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    """Order-independent SUM of a double that holds ``scale`` decimals; a double."""
-    return sum_units(units(value, scale), scale).cast("double")
+    """Order-independent SUM of a double that holds ``scale`` decimals; a double.
+
+    A value with more decimals is an error: rounding it, row by row, would make the sum
+    of many small values zero; ``aggregates.exact_totals`` adds any doubles. NaN and
+    infinities give what plain addition gives, in whatever order.
+    """
+    v = _col(value)
+    off = F.max(deviation(v, scale))
+    total = refused(sum_units(units(v, scale), scale), off, scale).cast("double")
+    return F.when(F.isnan(off), F.sum(v)).otherwise(total)
 
 
 def exact_avg(value: Column | str, scale: int = 2) -> Column:

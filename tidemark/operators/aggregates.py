@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +40,85 @@ def ordered_list(df: DataFrame, keys: Sequence[str], value: str, delimiter: str,
     )
 
 
+# Doubles are added in digits of so many bits: a value has four, and 2^36 (7 * 10^10)
+# values of one size can be added in bigints.
+DIGIT = 24
+
+
+def exact_totals(
+    df: DataFrame, keys: Sequence[str], totals: Mapping[str, str | Column], averages: Mapping[str, str | Column] | None = None
+) -> DataFrame:
+    """SUM and AVG of any doubles per group, correctly rounded, so the same in whatever order and partitioning.
+
+    Every value is cut into four whole digits of 24 bits below its own power of 2^24.
+    Groups are added per power first, in bigints and in parts, and have a few dozen
+    powers at most; then the digits of a group are put together once, with carries, and
+    rounded once, half to even. All in built-in expressions.
+
+    NULLs are skipped, a group without values has NULL. NaN, or infinities of both signs,
+    give NaN, else an infinity gives itself, as in plain addition; so does a total beyond
+    the doubles. An average is the rounded total divided by the count.
+    """
+    measures = [*totals.items(), *(averages or {}).items()]
+    each = [F.struct(F.lit(i).alias("__m"), (F.col(c) if isinstance(c, str) else c).cast("double").alias("__v")) for i, (_, c) in enumerate(measures)]
+    rows = df.select(*keys, F.inline(F.array(*each)))
+    size = F.abs("__v")
+    finite = size < float("inf")
+    power = F.when(finite, F.when(size > 0, F.floor(F.log2(size) / DIGIT)).otherwise(0).cast("int"))
+    # Two steps of half the power: one could pass the range of doubles. Both are exact.
+    half = F.pow(F.lit(2.0), F.col("__p") * (-DIGIT // 2))
+    rows = rows.withColumn("__p", power).withColumn("__r", F.when(F.col("__p").isNotNull(), size * half * half))
+    names = [f"__d{i}" for i in range(4)]
+    for name in names:
+        rows = rows.withColumn(name, F.floor("__r")).withColumn("__r", (F.col("__r") - F.col(name)) * 2.0**DIGIT)
+    signed = [F.sum(F.when(F.col("__v") < 0, -F.col(n)).otherwise(F.col(n))).alias(n) for n in names]
+    odd = F.sum(F.when(~finite, F.col("__v"))).alias("__odd")
+    by_power = rows.groupBy(*keys, "__m", "__p").agg(*signed, odd, F.count("__v").alias("__n"))
+    parts = F.collect_list(F.when(F.col("__p").isNotNull(), F.struct("__p", *names)))
+    groups = by_power.groupBy(*keys, "__m").agg(parts.alias("__parts"), F.sum("__odd").alias("__odd"), F.sum("__n").alias("__n"))
+    done = _put_together(groups)
+    done = done.withColumn("__avg", F.col("__total") / F.col("__n"))
+    picked = [F.max(F.when(F.col("__m") == i, F.col("__total" if i < len(totals) else "__avg"))).alias(name) for i, (name, _) in enumerate(measures)]
+    return done.groupBy(*keys).agg(*picked)
+
+
+def _put_together(groups: DataFrame) -> DataFrame:
+    """``__total`` from the digit sums per power in ``__parts``."""
+    mask, zero = 2**DIGIT - 1, F.lit(0).cast("bigint")
+    powers = F.transform("__parts", lambda p: p["__p"])
+    # Three more digits above for the carries.
+    df = groups.withColumn("__low", F.array_min(powers) - 3).withColumn("__high", F.array_max(powers) + 3)
+
+    def at(b: Column) -> Column:
+        term = lambda p: sum((F.when(p["__p"] == b + i, p[f"__d{i}"]).otherwise(zero) for i in range(1, 4)), F.when(p["__p"] == b, p["__d0"]).otherwise(zero))
+        return F.aggregate("__parts", zero, lambda s, p: s + term(p))
+
+    def carried(sums: Column) -> Column:
+        start = F.struct(zero.alias("carry"), F.array().cast("array<bigint>").alias("digits"))
+
+        def step(a: Column, t: Column) -> Column:
+            x = a["carry"] + t
+            return F.struct(F.shiftright(x, DIGIT).alias("carry"), F.concat(a["digits"], F.array(x.bitwiseAND(mask))).alias("digits"))
+
+        return F.aggregate(sums, start, step)
+
+    df = df.withColumn("__sums", F.when(F.size("__parts") > 0, F.transform(F.sequence("__low", "__high"), at)))
+    df = df.withColumn("__plus", carried(F.col("__sums")))
+    negative = F.col("__plus.carry") < 0
+    df = df.withColumn("__digits", F.when(negative, carried(F.transform("__sums", lambda t: -t))["digits"]).otherwise(F.col("__plus.digits")))
+    df = df.withColumn("__top", F.array_max(F.transform("__digits", lambda d, i: F.when(d != 0, i))))
+    digit = lambda i: F.coalesce(F.get("__digits", F.col("__top") - i), zero).cast("decimal(20,0)")
+    below = F.array_max(F.transform("__digits", lambda d, i: F.when((i < F.col("__top") - 3) & (d != 0), 1).otherwise(0)))
+    # The four highest digits, and one bit that stands for all below: enough to round once.
+    lead = ((digit(0) * 2**DIGIT + digit(1)) * 2**DIGIT + digit(2)).cast("decimal(25,0)") * F.lit(Decimal(2 ** (DIGIT + 1)))
+    whole = (lead + digit(3) * 2 + below).cast("double")
+    shift = (F.col("__low") + F.col("__top") - 3) * DIGIT - 1
+    first = F.floor(shift / 2)
+    size = whole * F.pow(F.lit(2.0), first) * F.pow(F.lit(2.0), shift - first)
+    total = F.when(F.col("__top").isNull(), 0.0).when(negative, -size).otherwise(size)
+    return df.withColumn("__total", F.when(F.col("__odd").isNotNull(), F.col("__odd")).when(F.size("__parts") > 0, total))
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """How often each value occurs in each group; NULLs are left out."""
     return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))

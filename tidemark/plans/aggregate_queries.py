@@ -143,25 +143,36 @@ def filtered_aggregates(inputs: Inputs) -> DataFrame:
 @query(
     "agg_11_order_free_sums",
     f"""SELECT l_returnflag, CAST(sum({REVENUE}) AS DOUBLE) AS revenue, {mean("l_extendedprice")} AS avg_price,
+        {r("sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) * CAST(l_tax AS DECIMAL(4,2)))", 3)} AS off_tax,
+        {r("sum(CAST(l_quantity AS DECIMAL(12,2)))", 3)} AS tiny_times_1e15, 'NaN' AS with_nan, '-Infinity' AS with_infinity,
         true AS same_when_shuffled FROM lineitem GROUP BY 1""",
 )
 def order_free_sums(inputs: Inputs) -> DataFrame:
-    """The same double, bit for bit, however the rows are spread over tasks."""
-    def sums(df: DataFrame) -> DataFrame:
-        return df.groupBy("l_returnflag").agg(
-            marts.revenue(marts.revenue_units()).cast("double").alias("revenue"),
-            numbers.exact_avg("l_extendedprice").alias("avg_price"),
-        )
-
-    lines = inputs("lineitem").select("l_returnflag", "l_extendedprice", "l_discount", "l_partkey")
-    # Another grain of partial sums: per part first, then over parts.
-    by_part = lines.groupBy("l_returnflag", "l_partkey").agg(marts.revenue(marts.revenue_units()).alias("part_revenue"))
-    again = by_part.groupBy("l_returnflag").agg(F.sum("part_revenue").cast("double").alias("revenue_again"))
-    return (
-        sums(lines)
-        .join(again, "l_returnflag")
-        .withColumn("same_when_shuffled", F.col("revenue") == F.col("revenue_again"))
-        .drop("revenue_again")
+    """The same doubles, bit for bit, however the rows are spread over tasks: declared decimals, and any doubles."""
+    lines = inputs("lineitem").select("l_returnflag", "l_extendedprice", "l_discount", "l_tax", "l_quantity", "l_linenumber")
+    declared = lines.groupBy("l_returnflag").agg(
+        marts.revenue(marts.revenue_units(), marts.revenue_off()).cast("double").alias("revenue"),
+        numbers.exact_avg("l_extendedprice").alias("avg_price"),
+    )
+    first = F.col("l_linenumber") == 1
+    measures = {
+        "price": F.col("l_extendedprice") * (1 - F.col("l_discount")),
+        "off_tax": F.col("l_extendedprice") * F.col("l_discount") * F.col("l_tax"),
+        "tiny": F.col("l_quantity") * 1e-15,
+        "with_nan": F.when(first, float("nan")).otherwise(F.col("l_tax")),
+        "with_infinity": F.when(first, float("-inf")).otherwise(F.col("l_tax")),
+    }
+    spread = (lines, lines.repartition(5, "l_quantity"), lines.coalesce(1))
+    runs = [aggregates.exact_totals(df, ["l_returnflag"], measures).select("l_returnflag", F.struct(*measures).alias(f"run{i}")) for i, df in enumerate(spread)]
+    out = declared.join(runs[0], "l_returnflag").join(runs[1], "l_returnflag").join(runs[2], "l_returnflag")
+    return out.select(
+        "l_returnflag",
+        "revenue",
+        "avg_price",
+        numbers.rounded("run0.off_tax", 3).alias("off_tax"),
+        numbers.rounded(F.col("run0.tiny") * 1e15, 3).alias("tiny_times_1e15"),
+        *[F.col(f"run0.{c}").cast("string").alias(c) for c in ("with_nan", "with_infinity")],
+        ((F.col("run0") == F.col("run1")) & (F.col("run0") == F.col("run2"))).alias("same_when_shuffled"),
     )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.sql import Column as SqlColumn
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +28,14 @@ def revenue_units():
     return numbers.units("l_extendedprice") * (100 - numbers.units("l_discount"))
 
 
-def revenue(units: str = "revenue_units"):
-    """Total revenue, exact."""
-    return numbers.sum_units(units, REVENUE_SCALE)
+def revenue_off():
+    """How far the factors of :func:`revenue_units` are from two decimals."""
+    return F.greatest(numbers.deviation("l_extendedprice"), numbers.deviation("l_discount"))
+
+
+def revenue(units: str | SqlColumn = "revenue_units", off: str | SqlColumn = "revenue_off"):
+    """Total revenue, exact; an error if a factor held more decimals."""
+    return numbers.refused(numbers.sum_units(units, REVENUE_SCALE), F.max(off), 2)
 
 
 def with_geography(inputs: Inputs, df: DataFrame, nation_key: str, who: str) -> DataFrame:
@@ -74,7 +80,10 @@ def enriched_lines(inputs: Inputs, dimensions: Sequence[str] = ("order", "custom
     """
     names = []
     lines = inputs("lineitem").select(
-        "*", F.to_date("l_shipdate").alias("ship_date"), revenue_units().alias("revenue_units")
+        "*",
+        F.to_date("l_shipdate").alias("ship_date"),
+        revenue_units().alias("revenue_units"),
+        revenue_off().alias("revenue_off"),
     )
     if "supplier" in dimensions:
         lines = joins.lookup(lines, inputs("supplier"), {"l_suppkey": "s_suppkey"}, {"s_nationkey": "s_nationkey"})
@@ -99,6 +108,7 @@ def daily_revenue(inputs: Inputs) -> DataFrame:
         "l_quantity",
         "l_extendedprice",
         revenue_units().alias("revenue_units"),
+        revenue_off().alias("revenue_off"),
         off.alias("off"),
     )
     daily = lines.groupBy("ship_date").agg(
@@ -207,7 +217,7 @@ def top_nations(inputs: Inputs, k: int = 3) -> DataFrame:
     so a customer with a third of all orders is one row.
     """
     per_customer = inputs("orders").groupBy("o_custkey").agg(
-        F.count("*").alias("n"), numbers.sum_units(numbers.units("o_totalprice")).alias("price")
+        F.count("*").alias("n"), numbers.exact_sum("o_totalprice").alias("price")
     )
     named = joins.lookup(
         per_customer,
@@ -219,7 +229,7 @@ def top_nations(inputs: Inputs, k: int = 3) -> DataFrame:
     counts = (
         named.where(~F.col("region").isin(joins.UNKNOWN, "N/A"))
         .groupBy("region", "nation")
-        .agg(F.sum("n").alias("n_orders"), F.sum("price").cast("double").alias("total_price"))
+        .agg(F.sum("n").alias("n_orders"), numbers.exact_sum("price").alias("total_price"))
     )
     return windows.top_ranked(counts, ["region"], [F.col("n_orders").desc()], k, "region_rank")
 
@@ -268,7 +278,7 @@ def nation_dimension(inputs: Inputs) -> DataFrame:
     placed = inputs("orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
     placed = placed.join(inputs("customer"), F.col("o_custkey") == F.col("c_custkey"))
     placed = placed.groupBy("c_nationkey").agg(F.sum("n").alias("orders_placed"))
-    supplied = inputs("lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"), revenue(revenue_units()).alias("revenue"))
+    supplied = inputs("lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"), revenue(revenue_units(), revenue_off()).alias("revenue"))
     supplied = supplied.join(inputs("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     supplied = supplied.groupBy("s_nationkey").agg(
         F.sum("n").alias("lines_supplied"), F.round(F.sum("revenue"), 2).cast("double").alias("revenue_supplied")
