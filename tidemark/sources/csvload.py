@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +51,9 @@ def load_csv(
 ) -> DataFrame:
     """Read a CSV file (gzip too) with a header into typed columns.
 
-    Only the listed columns are kept, in the listed order; a value that does
-    not fit its type fails the read (in a sampled gzip file, if its row is kept). An empty field is NULL and other text,
+    Only the listed columns are kept, in the listed order. A value that does not
+    fit its type fails the read: of any row, or, where rows are sampled, of the
+    rows that are kept, for plain and gzip files alike. An empty field is NULL and other text,
     'N/A' among it, stays text. ``row_number_column`` holds each row's 1-based
     position in the file, the same however the file is sampled. A quote inside
     a quoted field is doubled, as usual in CSV.
@@ -67,41 +68,32 @@ def load_csv(
     schema = T.StructType(
         [T.StructField(c, T._parse_datatype_string(spark_type(column_types.get(c, "VARCHAR")))) for c in header]
     )
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("timestampFormat", timestamp_format)
-        .option("timestampNTZFormat", timestamp_format)
-        .csv(path)
-    )
+    options = {"header": True, "mode": "FAILFAST", "escape": '"', "enforceSchema": False}
+    options |= {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}
     kept = list(column_types)
     if sample_every == 1 and limit is None and row_number_column is None:
-        return _spread(rows.select(*kept), path)
-    names = ([row_number_column] if row_number_column else []) + kept
+        return _spread(spark.read.schema(schema).options(**options).csv(path).select(*kept), path)
+    # Which row a value stands in is known before it is parsed: only kept rows can fail.
+    texts = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).options(**options).csv(path).select(*kept)
     row_id = row_number_column or "__row_id"
-    if path.endswith(".gz") and len(rows.inputFiles()) == 1:
-        sampled = _sample_gzip(spark, path, schema, timestamp_format, sample_every, limit, row_id)
+    one_split = path.endswith(".gz") and len(texts.inputFiles()) == 1
+    sampled = stride(texts, sample_every, limit, row_id, one_split=one_split)
+    typed = [_typed(f, timestamp_format) for f in schema if f.name in kept]
+    order = ([row_number_column] if row_number_column else []) + kept
+    return _spread(sampled.select(row_id, *typed).select(*order), path)
+
+
+def _typed(field: T.StructField, timestamp_format: str) -> Column:
+    """A text column as its type; an error for a value that does not fit."""
+    text, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        value = F.try_to_timestamp(text, F.lit(timestamp_format)).cast(kind)
+    elif isinstance(kind, T.BinaryType):
+        return F.encode(text, "UTF-8").alias(field.name)
     else:
-        sampled = stride(rows, sample_every, limit, row_id)
-    return _spread(sampled.select(*names), path)
-
-
-def _sample_gzip(
-    spark: SparkSession, path: str, schema: T.StructType, timestamp_format: str, every: int, limit: int | None, row_id: str
-) -> DataFrame:
-    """Every n-th row of one gzip file, parsed after the sample is taken.
-
-    One task has to read the file, so it does no more than count lines; the
-    header is the first of them and blank ones do not count.
-    """
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).withColumnRenamed("value", "__line")
-    kept = stride(lines, every, limit, row_id, one_split=True, skip=1)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    options = {"mode": "FAILFAST", "escape": '"', "timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}
-    return kept.select(row_id, F.from_csv("__line", fields, options).alias("__row")).select(row_id, "__row.*")
+        value = text.try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"{field.name}: not of type {kind.simpleString()}: "), text))
+    return F.when(text.isNotNull() & value.isNull(), wrong.cast(kind)).otherwise(value).alias(field.name)
 
 
 def _spread(df: DataFrame, path: str) -> DataFrame:
