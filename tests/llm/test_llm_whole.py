@@ -130,3 +130,69 @@ def test_distance_ratio_alone_chooses_lists():
         d = np.sqrt(((points - q) ** 2).sum(1))
         assert set(chosen) == set(np.flatnonzero(d <= neighbours.REACH * d.min()).tolist())
     assert max(map(len, probes)) > 48
+
+
+# --- repeated rows and order ---------------------------------------------------------
+
+
+@pytest.mark.parametrize("doc_id", [3, None])
+def test_packing_of_many_repeated_rows(spark, monkeypatch, doc_id):
+    """More rows than a shard holds, all alike; and shards that stay empty."""
+    monkeypatch.setattr(packing, "SHARD", 500)
+    docs = spark.createDataFrame([(doc_id, "one text again and again")] * 1501, "doc_id long, text string")
+    got = packing.packed(docs, *BYTE_BPE).collect()
+    assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
+    assert sum(r.length for r in got) == 1501 * got[0].doc_tokens
+    filled = {}
+    for r in got:
+        filled[r.sequence_id] = filled.get(r.sequence_id, 0) + r.length
+    assert max(filled.values()) <= packing.WINDOW and len(filled) <= -(-sum(filled.values()) // packing.WINDOW) + 4
+
+
+def test_packing_does_not_depend_on_the_order_of_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    pieces = [
+        sorted((r.doc_id, r.start, r.length, r.offset) for r in packing.packed(d, *BYTE_BPE).collect())
+        for d in (docs.coalesce(1), docs.repartition(6), docs.orderBy("n_chars"))
+    ]
+    assert pieces[0] == pieces[1] == pieces[2]
+
+
+# --- structures that are no keys ------------------------------------------------------
+
+
+def test_a_digest_is_no_key():
+    """SEQ{SEQ{OID sha256, NULL}, OCTET digest}: the form of an encrypted key, without encryption."""
+    from test_llm_texts import der
+
+    digest = der(0x30, der(0x30, der(0x06, bytes.fromhex("608648016503040201")), der(0x05)), der(0x04, bytes(range(32))))
+    sealed = der(0x30, der(0x30, der(0x06, bytes.fromhex("2a864886f70d01050d")), der(0x05)), der(0x04, bytes(range(32))))
+    for data, kinds in ((digest, []), (sealed, ["key64", "keyhex"])):
+        spans = secretscan.confirmed_spans(f"{b64(data)} {data.hex()}")
+        assert [secretscan.KINDS[k] for _, k, _ in sorted(spans)] == kinds
+
+
+# --- one model ------------------------------------------------------------------------
+
+
+def test_the_fit_does_not_depend_on_the_partitioning(spark):
+    """Two texts under one id: the same one is taken, however the rows lie."""
+    rows = [(i, f"{'good fine clear' if i % 3 == 2 else 'bad poor' if i % 3 else 'plain'} text number {i % 7}") for i in range(90)]
+    rows += [(i, f"another text {i}") for i in range(0, 90, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    grades = spark.createDataFrame([(i, i % 3) for i in range(90)], "id long, grade int")
+    models = [ordinal.train(d, grades, 3) for d in (docs.coalesce(1), docs.repartition(5), docs.orderBy("text"))]
+    assert all(np.array_equal(m.weights, models[0].weights) for m in models)
+
+
+def test_broadcasts_are_of_stated_things_only():
+    """The rules of the library hold here too, but for checked broadcasts."""
+    from pathlib import Path
+
+    allowed = {"sparkContext.broadcast(", "F.broadcast(chosen)"}
+    for path in (Path(packing.__file__).parent).glob("*.py"):
+        code = path.read_text()
+        for good in allowed:
+            code = code.replace(good, "")
+        for bad in ("broadcast(", "localCheckpoint", "toPandas", "crossJoin", ".rdd", "toLocalIterator"):
+            assert bad not in code, (path, bad)

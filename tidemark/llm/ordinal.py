@@ -131,7 +131,9 @@ def train(docs: DataFrame, grades: DataFrame, n_grades: int, id_col: str = "doc_
 
     # At most n_grades * per_grade rows are sent to the tasks.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("grade", "text")
+    # Of several texts under one id, the one with the smallest hash, so that the model does not depend on the partitioning.
+    rated = texts.join(F.broadcast(chosen), "id").groupBy("id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = rated.orderBy("grade", "id").select("grade", "text")
     rows = sample.mapInArrow(run, "grade int, features array<int>").toArrow().combine_chunks()
     lists = rows.column("features").combine_chunks()
     ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))

@@ -249,12 +249,16 @@ def packed(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 best = ids[np.lexsort((ids, -idf[ids]))[:2]].tolist()
                 near.append((best + [-1, -1])[:2])
             columns = [pa.array([k[i] for k in near], pa.int32()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "k1", "k2"])
+            # The last checksum of a row's ids: it tells rows that share an id and a length.
+            last = [c.as_py()[-1] if len(c) else (f.as_py() or [0])[-1] for c, f in zip(batch.column("crcs"), batch.column("full"))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns, pa.array(last, pa.int64())], [*batch.schema.names, "k1", "k2", "near"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))  # a shard: SHARD rows, give or take
-        if not table.num_rows:
+        held = list(batches)  # a shard: SHARD rows, give or take
+        if not sum(b.num_rows for b in held):
             return
+        # In an order of their own, whatever order they came in.
+        table = pa.Table.from_batches(held).sort_by([("n", "descending"), ("id", "ascending"), ("near", "ascending")])
         idf = shared.value
         number = table.column("shard")[0].as_py()
         ids = table.column("id").combine_chunks()
@@ -281,7 +285,9 @@ def packed(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         yield pa.RecordBatch.from_arrays(arrays, ["id", *names])
 
     shards = max(1, -(-totals["docs"] // SHARD))
-    schema = f"id {kind}, {TOKENIZED}, k1 int, k2 int"
-    ranged = tokens.mapInArrow(place, schema).repartitionByRange(shards, "k1", "k2", F.xxhash64("id", "n"), "n")
+    schema = f"id {kind}, {TOKENIZED}, k1 int, k2 int, near long"
+    # The row's place in the stored tokens tells even repeated rows apart: they fill several shards.
+    ranged = tokens.mapInArrow(place, schema).withColumn("at", F.monotonically_increasing_id())
+    ranged = ranged.repartitionByRange(shards, "k1", "k2", F.xxhash64("id", "n", "near"), "at").drop("at")
     out = ranged.withColumn("shard", F.spark_partition_id()).mapInArrow(pack, f"id {kind}, {PIECE}")
     return out.withColumnRenamed("id", id_col)

@@ -39,9 +39,11 @@ PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\
 JWT = re.compile(r"(?<![A-Za-z0-9_.-])([eICD][A-Za-z0-9_-]{7,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
 BREAK = r"[ \t]*(?:\\+[nr]|[\r\n])(?:\\+[nrt]|\s)*"
 # The first characters of a DER sequence or an OpenSSH container, in base64.
-START64 = re.compile(r"M[A-I]|b3Bl")
+START64 = re.compile(r"M[A-I]|b3BlbnNzaC1rZXktdjEA")
 LINE64 = re.compile(rf"([A-Za-z0-9+/_-]+)(={{0,2}})(?:{BREAK}(?=[A-Za-z0-9+/_=-]))?")
 LEAST_64 = 32
+# The object identifiers below which PKCS#5 and PKCS#12 have their encryption schemes.
+ENCRYPTING = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 RUNHEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}(?![0-9A-Fa-f])")
 
 
@@ -92,8 +94,9 @@ def is_der_key(data: bytes) -> bool:
     items = der_items(outer[0][1]) or []
     tags = [tag for tag, _ in items]
     if tags[:2] == [0x30, 0x04] and len(tags) == 2:
+        # An algorithm and octets are an encrypted key only if the algorithm encrypts by password; a mere digest looks alike.
         inner = der_items(items[0][1]) or []
-        return bool(inner) and inner[0][0] == 0x06
+        return bool(inner) and inner[0][0] == 0x06 and inner[0][1].startswith(ENCRYPTING)
     if len(tags) < 2 or tags[0] != 0x02 or items[0][1] not in (b"\x00", b"\x01"):
         return False
     if tags[1] == 0x30:
