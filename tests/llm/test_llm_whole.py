@@ -8,7 +8,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import chat, htmltext, neighbours, ordinal, packing, secretscan
@@ -120,16 +122,66 @@ def test_capitals_of_the_whole_text():
 # --- neighbours ----------------------------------------------------------------------
 
 
-def test_distance_ratio_alone_chooses_lists():
+def clustered(n, seed, spread=0.35, clusters=400, dim=64):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dim))
+    return centres[rng.integers(0, clusters, n)] + rng.normal(size=(n, dim)) * spread
+
+
+def test_the_ratio_alone_chooses_lists():
+    """All lists within the ratio, however many, found over the graph; more while they hold too few vectors."""
     rng = np.random.default_rng(5)
-    points = rng.normal(size=(400, 64))
+    points, queries = rng.normal(size=(400, 64)), rng.normal(size=(20, 64))
     graph = neighbours.Graph.over(points)
-    queries = rng.normal(size=(20, 64))
-    probes = neighbours.probes_of(*graph.ordered(queries), np.full(400, 100), 11)
-    for q, chosen in zip(queries, probes):
-        d = np.sqrt(((points - q) ** 2).sum(1))
-        assert set(chosen) == set(np.flatnonzero(d <= neighbours.REACH * d.min()).tolist())
-    assert max(map(len, probes)) > 48
+    for ratio, least in ((1.15, 11), (1.4, 11), (1.0, 950)):
+        shares = []
+        for q, chosen in zip(queries, graph.within(queries, ratio, np.full(400, 100), least)):
+            d = np.sqrt(((points - q) ** 2).sum(1))
+            assert len(chosen) >= -(-least // 100)
+            near = set(np.flatnonzero(d <= ratio * d.min()).tolist())
+            shares.append(len(near & set(chosen.tolist())) / len(near))
+        assert np.mean(shares) >= 0.9
+    assert max(map(len, graph.within(queries, 1.4, np.full(400, 100), 11))) > 300
+
+
+def test_clustered_vectors_are_pruned():
+    """50,000 vectors: boundary vectors are in several lists, few lists are read, and recall is at least 0.9."""
+    x = clustered(50_000, 5)
+    k = 10
+    sample = x[np.random.default_rng(1).choice(len(x), 12_000, replace=False)]
+    graph = neighbours.Graph.over(neighbours.balanced_centroids(sample, 24))
+    ratio = neighbours.fitted_ratio(graph, sample, k)
+    lists = [l for i in range(0, len(x), 1024) for l in neighbours.lists_of(*graph.search(x[i : i + 1024], neighbours.POST_BEAM))]
+    sizes = np.array([len(l) for l in lists])
+    assert sizes.max() <= neighbours.REPLICAS and 0.2 < (sizes > 1).mean() < 1
+    held = np.bincount([l[0] for l in lists], minlength=len(graph.points))
+    asked = np.arange(0, len(x), 250)
+    chosen = graph.within(x[asked], ratio, held, k + 1)
+    assert np.mean([len(c) for c in chosen]) < 0.3 * len(graph.points)
+    node, flat = np.repeat(np.arange(len(x)), sizes), np.concatenate(lists)
+    at, far = neighbours.best_in_lists(x[node], flat, node, x[asked], pa.array(chosen, pa.list_(pa.int32())), k + 1)
+    true = np.argsort(neighbours.distances(x[asked], x), axis=1)[:, : k + 1]
+    found = [len(set(node[a].tolist()) & set(t.tolist())) / (k + 1) for a, t in zip(at, true)]
+    assert np.mean(found) >= 0.9
+    for q, a, f in zip(asked, at, far):
+        assert np.array_equal(f, np.sqrt(((x[node[a]] - x[q]) ** 2).sum(1)))
+
+
+def test_long_lists_and_many_queries_in_several_tasks(spark, monkeypatch):
+    """Bundles, blocks of queries and lists beyond a bundle change nothing; ties go to smaller ids."""
+    monkeypatch.setattr(neighbours, "BUNDLE", 40)
+    monkeypatch.setattr(neighbours, "QUERIES", 3)
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(c) for c in rng.integers(-2, 3, 3)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in neighbours.nearest(df, F.col("id") % 20 == 0, k=5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    usable = [(i, np.array(v)) for i, v in rows if any(v)]
+    for q, v in usable:
+        if q % 20 == 0:
+            near = sorted((float(np.sqrt(((w - v) ** 2).sum())), i) for i, w in usable if i != q)[:5]
+            assert sorted(got[q]) == [(n, i, s) for n, (s, i) in enumerate(near, 1)]
 
 
 # --- repeated rows and order ---------------------------------------------------------

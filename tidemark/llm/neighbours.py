@@ -1,17 +1,20 @@
 """Approximate nearest neighbours over balanced posting lists.
 
 1. Equal vectors are one node with its smallest ids, however many rows they have.
-2. Centroids come from a bounded sample: clusters are split until all are small, so
-   that posting lists are about equally long. Their number grows with the data up
-   to ``MAX_CENTROIDS``, which bounds what is sent to the tasks.
-3. Every node is put into the list of its nearest centroid, and, if it is near a
-   boundary, into those of further ones that are almost as near and lie in other
-   directions. Centroids are searched over a neighbour graph held in memory.
-4. A query takes the lists whose centroid is at most ``REACH`` times as far as the
-   nearest, however many, and more while these hold too few vectors; it is compared
-   with all centroids. Long lists are cut into blocks that are searched in separate
-   tasks.
-5. Exact distances in double precision decide, ties go to the smaller id.
+2. Centroids come from a bounded sample, chosen by a hash: clusters are split until all
+   are small, so that posting lists are about equally long. Their number grows with the
+   data up to ``MAX_CENTROIDS``, which bounds what is sent to the tasks.
+3. Every node is put into the list of its nearest centroid; one near a boundary, where
+   others are at most ``CLOSE`` times as far, also into theirs, up to ``REPLICAS``.
+   Centroids are searched over a neighbour graph held in memory.
+4. A query takes the lists whose centroid is at most a ratio times as far as the nearest,
+   however many: the search over the graph widens until it is beyond the ratio. The ratio
+   is fitted: sampled vectors whose neighbours in the sample are known must find
+   ``TARGET`` of them. Where data have no clusters it becomes large, and most lists are
+   read; it never gives recall away. More lists are read while these hold too few vectors.
+5. Lists go to tasks in bundles of bounded size. A task compares its queries with the
+   lists they chose, by matrix products, and gives out the best of each query; exact
+   distances in double precision decide, ties go to the smaller id.
 
 Vectors that are null, zero, or hold a null or a non-finite component take no part;
 nor do rows without an id, or of another length than the most frequent one.
@@ -25,7 +28,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,12 +37,17 @@ from tidemark.llm.graph import stored
 LIST = 100  # vectors that a list should hold
 MAX_CENTROIDS = 8192
 SAMPLE_PER_CENTROID = 24
+SAMPLE_DOUBLES = 1 << 24  # bound of the sample: 128 MB on the driver
 REPLICAS = 4
-CLOSE = 1.2  # a replica's centroid may be so many times as far as the nearest
-REACH = 1.6
+CLOSE = 1.1  # a replica's centroid may be so many times as far as the nearest
+TARGET = 0.9  # share of known neighbours that the fitted ratio must find
+FITTED = 256  # sampled vectors that the ratio is fitted on
 DEGREE = 24
-BEAM = 64
-BLOCK = 4000  # vectors of a list that one task takes
+BEAM = 24  # of a query at first
+POST_BEAM = 8  # of a vector to be posted
+AHEAD = 4  # centroids of a beam that a step looks behind at once
+BUNDLE = 20_000  # entries of lists that a task holds
+QUERIES = 2_000  # queries that a task compares with them
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -106,13 +113,15 @@ class Graph:
         done = np.zeros(ids.shape, bool) | (ids < 0)
         rows = np.arange(len(queries))
         while len(rows):
-            ahead = np.argmin(done[rows], axis=1)
-            alive = ~done[rows, ahead]
-            rows, ahead = rows[alive], ahead[alive]
+            # The nearest that nothing was looked behind of yet, a few at once.
+            open_first = np.argsort(done[rows], axis=1, kind="stable")[:, :AHEAD]
+            alive = ~done[rows, open_first[:, 0]]
+            rows, open_first = rows[alive], open_first[alive]
             if not len(rows):
                 break
-            done[rows, ahead] = True
-            new = self.links[ids[rows, ahead]]
+            ahead = np.where(done[rows[:, None], open_first], open_first[:, :1], open_first)
+            done[rows[:, None], ahead] = True
+            new = self.links[ids[rows[:, None], ahead]].reshape(len(rows), -1)
             gap = self.points[new] - queries[rows][:, None, :]
             nd = np.einsum("qkd,qkd->qk", gap, gap)
             all_ids = np.concatenate([ids[rows], new], axis=1)
@@ -132,41 +141,55 @@ class Graph:
             done[rows] = np.take_along_axis(all_done, top, 1) | np.isinf(best[rows])
         return ids, np.sqrt(best)
 
-    def ordered(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, distances) of each query over all centroids, nearest first."""
-        d = np.sqrt(distances(queries, self.points))
-        ids = np.argsort(d, axis=1, kind="stable")
-        return ids, np.take_along_axis(d, ids, 1)
-
-
-def lists_of(graph: Graph, ids: np.ndarray, d: np.ndarray) -> list[list[int]]:
-    """The lists of each vector: the nearest, and near ones in other directions."""
-    out = []
-    for row, far in zip(ids, d):
-        chosen = [int(row[0])]
-        for c, x in zip(row[1:], far[1:]):
-            if len(chosen) == REPLICAS or not x <= CLOSE * far[0]:
-                break
-            if all(np.sqrt(((graph.points[c] - graph.points[o]) ** 2).sum()) >= x for o in chosen):
-                chosen.append(int(c))
-        out.append(chosen)
-    return out
-
-
-def probes_of(ids: np.ndarray, d: np.ndarray, held: np.ndarray, least: int) -> list[list[int]]:
-    """The lists each query reads; ``held`` counts the vectors whose first list it is."""
-    out = []
-    for row, far in zip(ids, d):
-        chosen, total = [], 0
-        for c, x in zip(row.tolist(), far.tolist()):
-            if total >= least and x > REACH * far[0]:
-                break
-            chosen.append(c)
-            total += int(held[c])
-        if total < least:
-            chosen = np.flatnonzero(held).tolist()
-        out.append(chosen)
-    return out
+    def within(self, queries: np.ndarray, ratio: float, held: np.ndarray, least: int) -> list[np.ndarray]:
+        """The lists of each query: those within the ratio, and more while they hold too few vectors.
+
+        The beam is widened for the queries whose search has not gone beyond the ratio.
+        """
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
+        todo, beam = np.arange(len(queries)), BEAM
+        while len(todo):
+            ids, d = self.search(queries[todo], beam)
+            everything = ids.shape[1] >= len(self.points)
+            left = []
+            for q, row, far in zip(todo.tolist(), ids, d):
+                row, far = row[row >= 0], far[: (row >= 0).sum()]
+                n = max(int(np.searchsorted(far, ratio * far[0], "right")), int(np.searchsorted(np.cumsum(held[row]), least)) + 1)
+                if n < len(row) or everything:
+                    out[q] = row[:n] if held[row[:n]].sum() >= least else np.flatnonzero(held)
+                else:
+                    left.append(q)
+            todo, beam = np.array(left, np.int64), 4 * beam
+        return out
+
+
+def lists_of(ids: np.ndarray, d: np.ndarray) -> list[np.ndarray]:
+    """The lists of each vector: the nearest, and near ones where it lies at a boundary."""
+    n = (d[:, :REPLICAS] <= CLOSE * d[:, :1]).sum(axis=1)
+    return [row[:k] for row, k in zip(ids, np.maximum(n, 1).tolist())]
+
+
+def fitted_ratio(graph: Graph, sample: np.ndarray, k: int) -> float:
+    """The distance ratio within which the sample's vectors find ``TARGET`` of their neighbours in the sample.
+
+    A neighbour is found if one of its lists is within the ratio of the query. The sample
+    is sparser than the data, its neighbours are farther apart, so the ratio is no smaller
+    than needed for the data.
+    """
+    asked = sample[: min(FITTED, len(sample))]
+    k = min(k, len(sample) - 1)
+    if k < 1:
+        return 1.0
+    d = distances(asked, sample)
+    d[np.arange(len(asked)), np.arange(len(asked))] = np.inf
+    near = np.argpartition(d, k - 1, axis=1)[:, :k]
+    places, inverse = np.unique(near, return_inverse=True)
+    homes = lists_of(*graph.search(sample[places], POST_BEAM))
+    to = np.sqrt(distances(asked, graph.points))
+    to /= np.maximum(to.min(axis=1), 1e-300)[:, None]
+    inverse = inverse.reshape(near.shape)
+    need = [to[q, homes[p]].min() for q in range(len(asked)) for p in inverse[q]]
+    return float(np.quantile(need, TARGET, method="higher")) * (1 + 1e-9)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -199,54 +222,70 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         return empty
     asked = rows.where(is_query).distinct()
     count = int(min(MAX_CENTROIDS, max(1, n // LIST)))
-    drawn = nodes.orderBy("node").limit(count * SAMPLE_PER_CENTROID).select("v").toArrow()
+    size = int(nodes.agg(F.max(F.size("v"))).first()[0])
+    wanted_rows = min(count * SAMPLE_PER_CENTROID, max(2, SAMPLE_DOUBLES // size))
+    place = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
+    drawn = nodes.where(place < int(min(1.0, wanted_rows / n) * (1 << 30)) + 1).orderBy(F.xxhash64("node"), "node").select("v").toArrow()
+    if not drawn.num_rows:
+        drawn = nodes.limit(1).select("v").toArrow()
     sample = _rows(drawn.combine_chunks().to_batches()[0], "v")
-    shared = spark.sparkContext.broadcast(Graph.over(balanced_centroids(sample, max(1, -(-len(sample) // count)))))
+    graph = Graph.over(balanced_centroids(sample, max(1, -(-len(sample) // count))))
+    ratio = fitted_ratio(graph, sample, k)
+    shared = spark.sparkContext.broadcast(graph)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = shared.value
         for batch in batches:
             for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
-                ids, d = graph.search(_rows(part, "v"))
-                lists = pa.array(lists_of(graph, ids, d), pa.list_(pa.int32()))
+                lists = pa.array(lists_of(*graph.search(_rows(part, "v"), POST_BEAM)), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "lists"])
 
     posted = stored(nodes.mapInArrow(post, f"v array<double>, ids array<{id_kind}>, node long, lists array<int>"), "postings")
     # One count per centroid.
     firsts = dict(posted.groupBy(F.get("lists", F.lit(0)).alias("list")).count().collect())
-    held = np.zeros(len(shared.value.points), np.int64)
+    held = np.zeros(len(graph.points), np.int64)
     held[list(firsts)] = list(firsts.values())
-    least = k + 1
+    bundles = max(1, -(-int(posted.agg(F.sum(F.size("lists"))).first()[0]) // BUNDLE))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = shared.value
         for batch in batches:
             for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
-                lists = pa.array(probes_of(*graph.ordered(_rows(part, "v")), held, least), pa.list_(pa.int32()))
+                lists = pa.array(graph.within(_rows(part, "v"), ratio, held, k + 1), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "lists"])
 
-    postings = posted.select("node", "v", F.explode("lists").alias("list"))
-    blocks = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    postings = postings.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).drop("blocks")
+    # Entries of one list may lie in several bundles: a long list is spread by its entries.
+    long = F.array(*[F.lit(int(x)) for x in np.flatnonzero(held > BUNDLE // 4)]).cast("array<int>")
+    own = F.when(F.array_contains(long, F.col("list")), F.xxhash64("node")).otherwise(F.xxhash64("list"))
+    entries = posted.select("node", "v", F.col("ids")[0].alias("first"), F.explode("lists").alias("list"))
+    entries = entries.withColumn("bundle", F.pmod(own, F.lit(bundles)).cast("int"))
     wanted = asked.groupBy("v").agg(F.count(F.lit(1)).alias("n")).select(F.xxhash64("v").alias("q"), "v")
-    wanted = wanted.mapInArrow(ask, "q long, v array<double>, lists array<int>").select("q", "v", F.explode("lists").alias("list"))
-    wanted = wanted.join(blocks, "list").select("q", "v", "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-
-    def compare(posts: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(posts) or not len(queries):
-            return pd.DataFrame({"q": [], "node": [], "score": []}).astype({"q": "int64", "node": "int64", "score": "float64"})
-        points = np.stack(posts["v"].to_list())
-        node = posts["node"].to_numpy()
-        out = []
-        for q, v in zip(queries["q"], queries["v"]):
-            score = np.sqrt(((points - v) ** 2).sum(1))
-            # All that tie with the last may be needed: ids decide later.
-            top = np.flatnonzero(score <= np.partition(score, min(k, len(score) - 1))[min(k, len(score) - 1)])
-            out.append(pd.DataFrame({"q": q, "node": node[top], "score": score[top]}))
-        return pd.concat(out)
-
-    pairs = postings.groupBy("list", "block").cogroup(wanted.groupBy("list", "block")).applyInPandas(compare, "q long, node long, score double")
-    pairs = pairs.groupBy("q", "node").agg(F.min("score").alias("score"))
+    wanted = stored(wanted.mapInArrow(ask, "q long, v array<double>, lists array<int>"), "asked")
+    # A query goes once to every bundle that has a list of it.
+    spread = F.exists("lists", lambda x: F.array_contains(long, x))
+    at = F.when(spread, F.sequence(F.lit(0), F.lit(bundles - 1))).otherwise(F.array_distinct(F.transform("lists", lambda x: F.pmod(F.xxhash64(x), F.lit(bundles)).cast("int"))))
+    sent = wanted.select("q", "v", "lists", F.explode(at).alias("bundle"))
+    blocks = sent.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("blocks"))
+    sent = sent.join(blocks, "bundle").withColumn("block", F.pmod(F.xxhash64("q"), "blocks").cast("int")).drop("blocks")
+    entries = entries.join(blocks, "bundle").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+
+    def compare(posts: pa.Table, queries: pa.Table) -> pa.Table:
+        names = ["q", "node", "first", "score"]
+        first = posts.column("first").combine_chunks()
+        if not posts.num_rows or not queries.num_rows:
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), first[:0], pa.array([], pa.float64())], names)
+        points, asked = _rows(posts.combine_chunks().to_batches()[0], "v"), _rows(queries.combine_chunks().to_batches()[0], "v")
+        node, key = posts.column("node").to_numpy(), queries.column("q").to_numpy()
+        at, far = best_in_lists(points, posts.column("list").to_numpy(), node, asked, queries.column("lists").combine_chunks(), k + 1)
+        rows = np.concatenate([a for a in at]) if at else np.zeros(0, np.int64)
+        q = np.repeat(key, [len(a) for a in at])
+        return pa.table([pa.array(q), pa.array(node[rows]), first.take(pa.array(rows)), pa.array(np.concatenate(far) if far else np.zeros(0))], names)
+
+    pairs = entries.groupBy("bundle", "block").cogroup(sent.groupBy("bundle", "block")).applyInArrow(compare, f"q long, node long, first {id_kind}, score double")
+    pairs = pairs.groupBy("q", "node").agg(F.min("first").alias("first"), F.min("score").alias("score"))
+    # No answer needs more nodes than k + 1, by distance and their smallest ids: only these meet their other ids.
+    few = F.row_number().over(Window.partitionBy("q").orderBy("score", "first"))
+    pairs = pairs.withColumn("r", few).where(F.col("r") <= k + 1).drop("r", "first")
     found = pairs.join(posted.select("node", F.explode("ids").alias("id")), "node")
     order = [F.col("score"), F.col("id")]
     best = found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(*order))).where(F.col("r") <= k + 1)
@@ -256,3 +295,40 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     pairs = queries.join(best, "q").withColumn("own", (F.col("id") == F.col("query_id")) & (F.col("score") == 0) & (own == 1)).where("not own")
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "q").orderBy(*order))).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
+
+
+def best_in_lists(
+    points: np.ndarray, lists: np.ndarray, node: np.ndarray, asked: np.ndarray, wanted: pa.ListArray, k: int
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """(rows of ``points``, exact distances) of each query's ``k`` nearest nodes in its lists, and all that tie with the last."""
+    order = np.argsort(lists, kind="stable")
+    names, begin = np.unique(lists[order], return_index=True)
+    members = dict(zip(names.tolist(), np.split(order, begin[1:])))
+    flat, offsets = wanted.values.to_numpy(), wanted.offsets.to_numpy()
+    offsets = offsets - offsets[0]
+    query = np.repeat(np.arange(len(asked)), np.diff(offsets))
+    flat = flat[: len(query)] if wanted.offset == 0 else wanted.flatten().to_numpy()
+    by_list = np.argsort(flat, kind="stable")
+    held, start = np.unique(flat[by_list], return_index=True)
+    found: list[list[np.ndarray]] = [[] for _ in asked]
+    for name, who in zip(held.tolist(), np.split(query[by_list], start[1:])):
+        rows = members.get(name)
+        if rows is None:
+            continue
+        d = distances(asked[who], points[rows])
+        last = np.partition(d, min(k, len(rows)) - 1, axis=1)[:, min(k, len(rows)) - 1]
+        # Products round: what may tie with the last, or be nearer, is measured exactly below.
+        slack = 1e-12 * ((asked[who] ** 2).sum(1) + (points[rows] ** 2).sum(1).max())
+        for q, near in zip(who.tolist(), d <= (last + slack)[:, None]):
+            found[q].append(rows[near])
+    at, far = [], []
+    for q, parts in enumerate(found):
+        rows = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        rows = rows[np.unique(node[rows], return_index=True)[1]]
+        score = np.sqrt(((points[rows] - asked[q]) ** 2).sum(1))
+        if len(rows) > k:
+            near = score <= np.partition(score, k - 1)[k - 1]
+            rows, score = rows[near], score[near]
+        at.append(rows)
+        far.append(score)
+    return at, far
