@@ -21,6 +21,22 @@ def test_first_per_key_keeps_null_rows(spark):
     assert rows(lowest, "id", "v") == [(1, 1), (2, 1), (3, 1), (None, 1)]
 
 
+def test_first_per_key_keeps_one_row_per_task_before_the_shuffle(spark, tmp_path):
+    spark.range(100).select((F.col("id") % 3).alias("k"), "id").write.parquet(f"{tmp_path}/t")
+    out = aggregates.first_per_key(spark.read.parquet(f"{tmp_path}/t"), ["k"], [F.col("id")])
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
+    assert rows(out) == [(0, 99), (1, 97), (2, 98)]
+
+
+def test_measures_of_one_rollup_are_joined_once(spark):
+    dim = spark.createDataFrame([(1,), (2,)], "k int")
+    rollup = spark.createDataFrame([(1, 5, 0.5)], "f int, n int, v double")
+    out = joins.with_activity(dim, "k", {"n": (rollup, "f"), "v": (rollup, "f")})
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    assert rows(out) == [(1, 5, 0.5), (2, 0, 0.0)]
+
+
 def test_first_per_key_puts_null_order_last(spark):
     src = spark.createDataFrame([(1, None), (1, 5), (1, 3)], "id int, v int")
     assert rows(aggregates.first_per_key(src, ["id"], [F.col("v")])) == [(1, 5)]
@@ -312,6 +328,11 @@ def test_day_parts(spark):
         ("aa bb cc", r"(.)\1", {"start": 2, "occurrence": 2}, 7),
         ("a(b a(b", "(b", {"flags": "q", "occurrence": 2}, 6),
         ("abab cdcd", r"((.)(.))\1", {"occurrence": 2}, 6),
+        ("aa bb cc", r"(?<x>.)\k<x>", {"occurrence": 2}, 4),
+        ("aa bb cc", r"(?<x>.)\k<x>", {"start": 2, "occurrence": 2}, 7),
+        ("abab cdcd", r"(?<p>(?<q>.)(.))\k<p>", {"occurrence": 2}, 6),
+        ("xyyx abba", r"(.)(?<in>.)\k<in>\1", {"occurrence": 2}, 6),
+        ("k<x> k<x>", r"k<x>", {"occurrence": 2}, 6),
         (None, "a", {}, None),
         (None, "a", {"occurrence": 2}, None),
     ],

@@ -1,11 +1,16 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tidemark.operators.aggregates import first_per_key
 from tidemark.session import scratch_path
+from tidemark.sources.warehouse import Warehouse
 from tidemark.streaming import jobs
 
 SCHEMA = "user_id long, event_id long, ts timestamp_ntz, v int"
@@ -31,6 +36,46 @@ def test_upsert_is_free_of_order_and_replay(spark, house):
         assert rows(house.fresh(table), "user_id", "v") == [(1, 3), (2, 2)]
 
 
+def test_a_batch_of_the_log_writes_its_own_keys(spark, house):
+    """Each batch adds as many rows as it has keys; folds, replays and lost checkpoints end in the same rows."""
+    landing, session = scratch_path(spark, "landing"), jobs.stream_session(spark, 2)
+    keys, order = ["user_id"], ["ts", "event_id"]
+    parts = [make(spark, *[(u, i, f"2024-01-0{1 + i % 4} 0{i}:00:00", 10 * i + u) for u in range(5 if i else 100)]) for i in range(8)]
+    sizes = []
+
+    def run(checkpoint):
+        stream = jobs.file_stream(session, landing, parts[0].schema, 1)
+        jobs.upsert_log(stream, house.database, house.location, "log", keys, order, checkpoint, fan=3)
+
+    checkpoint = scratch_path(spark, "cp")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(landing)
+        run(checkpoint)
+        sizes.append(house.fresh("log").where("delivery LIKE '0-%'").groupBy("delivery").count().agg(F.max("count")).first()[0])
+    assert [s for s in sizes[1:] if s] and all(s in (None, 5, 100) for s in sizes) and sizes[-1] in (None, 5)
+    assert house.partitions("log", "delivery").count() <= 6
+    whole = reduce(DataFrame.unionByName, parts)
+    want = rows(first_per_key(whole, keys, [F.col(c) for c in order]))
+    assert rows(jobs.latest(house, "log", keys, order).select(*whole.columns)) == want
+    run(checkpoint)
+    run(scratch_path(spark, "another"))
+    assert rows(jobs.latest(house, "log", keys, order).select(*whole.columns)) == want
+
+
+def test_a_fold_that_breaks_off_loses_nothing(spark, house, monkeypatch):
+    log = spark.createDataFrame([(k, t, f"0-x-{t}") for k in range(3) for t in range(5)], "k int, t int, delivery string")
+    house.replace("log", log, ["delivery"])
+    drop = Warehouse.drop_partitions
+    monkeypatch.setattr(Warehouse, "drop_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        jobs.fold_log(house, "log", ["k"], ["t"], 2)
+    assert rows(jobs.latest(house, "log", ["k"], ["t"])) == [(0, 4), (1, 4), (2, 4)]
+    monkeypatch.setattr(Warehouse, "drop_partitions", drop)
+    jobs.fold_log(house, "log", ["k"], ["t"], 2)
+    assert rows(jobs.latest(house, "log", ["k"], ["t"])) == [(0, 4), (1, 4), (2, 4)]
+    assert house.read("log").count() <= 6
+
+
 def test_day_rebuild_survives_a_lost_checkpoint(spark, house):
     """A new checkpoint, and other batches, read all files again: nothing is counted twice."""
     landing = scratch_path(spark, "landing")

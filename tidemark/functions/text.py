@@ -55,8 +55,8 @@ def regexp_instr(value: Column | str, pattern: str, start: int = 1, occurrence:
     For a later start or occurrence one pattern runs over the whole text, so that
     anchors and look-behind see what lies before ``start``: the earlier matches
     are atomic steps, and the length of what lies before the wanted match is
-    the answer. No list of matches is built. Numbered back-references are moved
-    by the groups set around the pattern.
+    the answer. No list of matches is built. Back-references are moved by the
+    groups set around the pattern, and named groups become numbered ones.
     """
     if start < 1 or occurrence < 1:
         raise ValueError("start and occurrence count from 1")
@@ -83,16 +83,32 @@ def regexp_instr(value: Column | str, pattern: str, start: int = 1, occurrence:
 
 
 # An escape, a character class, or the opening of a group.
-PATTERN_PARTS = re.compile(r"\\Q.*?(?:\\E|$)|\\[1-9]|\\.|\[\^?\]?(?:\\.|[^\]\\])*\]|\(\?<(?![=!])|\((?!\?)", re.DOTALL)
+PATTERN_PARTS = re.compile(
+    r"\\Q.*?(?:\\E|$)|\\k<(?P<named>[A-Za-z][A-Za-z0-9]*)>|\\(?P<number>[1-9])|\\.|\[\^?\]?(?:\\.|[^\]\\])*\]"
+    r"|\(\?<(?P<name>[A-Za-z][A-Za-z0-9]*)>|(?P<group>\((?!\?))",
+    re.DOTALL,
+)
 
 
 def group_count(pattern: str) -> int:
-    return sum(m[0][0] == "(" for m in PATTERN_PARTS.finditer(pattern))
+    return sum(bool(m["name"] or m["group"]) for m in PATTERN_PARTS.finditer(pattern))
 
 
 def moved_references(pattern: str, by: int) -> str:
-    """``pattern`` with its back-references pointing ``by`` groups further."""
-    return PATTERN_PARTS.sub(lambda m: f"(?:\\{int(m[0][1]) + by})" if re.fullmatch(r"\\[1-9]", m[0]) else m[0], pattern)
+    """``pattern`` with its back-references pointing ``by`` groups further.
+
+    Named groups become numbered ones, so that the pattern can stand in another twice.
+    """
+    openings = [m["name"] for m in PATTERN_PARTS.finditer(pattern) if m["name"] or m["group"]]
+
+    def moved(m: re.Match) -> str:
+        if m["name"]:
+            return "("
+        if m["named"] and m["named"] in openings:
+            return f"(?:\\{openings.index(m['named']) + 1 + by})"
+        return f"(?:\\{int(m['number']) + by})" if m["number"] else m[0]
+
+    return PATTERN_PARTS.sub(moved, pattern)
 
 
 def json_field(value: Column | str, path: str, kind: str = "string") -> Column:

@@ -13,18 +13,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], d
     """One whole row per key, the one with the largest (or smallest) order values.
 
     Rows with NULLs are kept, NULL keys form a group like any other, and a
-    NULL order value comes last. It is an aggregate and not a ranking: each
-    task keeps one row per key before the shuffle, so a hot key costs nothing
+    NULL order value comes last. The limit on the row number is applied in
+    every task before the shuffle, one row per key, so a hot key costs nothing
     extra. The order should be total.
     """
-    rest = [c for c in df.columns if c not in keys]
-    filled = []
-    for c in order:
-        filled += [c.isNotNull() if descending else c.isNull(), c]
-    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(filled)])
-    pick = F.max_by if descending else F.min_by
-    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), rank).alias("__row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+    last = [c.desc_nulls_last() if descending else c.asc_nulls_last() for c in order]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*last))
+    return df.withColumn("__place", place).where(F.col("__place") == 1).drop("__place")
 
 
 def ordered_list(df: DataFrame, keys: Sequence[str], value: str, delimiter: str, name: str) -> DataFrame:

@@ -48,14 +48,18 @@ def with_activity(dimension: DataFrame, key: str, measures: Mapping[str, tuple[D
 
     ``measures`` maps an output name to an aggregated DataFrame and its key;
     the measure column has the output name. Facts are aggregated before the
-    join, so at most one row per key meets the dimension.
+    join, so at most one row per key meets the dimension; a rollup that several
+    measures come from is joined, and so computed, once.
     """
-    out = dimension
+    rollups: dict[tuple[int, str], tuple[DataFrame, list[str]]] = {}
     for name, (rollup, rollup_key) in measures.items():
-        slim = rollup.select(F.col(rollup_key).alias("__key"), F.col(name))
+        rollups.setdefault((id(rollup), rollup_key), (rollup, []))[1].append(name)
+    out = dimension
+    for (_, rollup_key), (rollup, names) in rollups.items():
+        slim = rollup.select(F.col(rollup_key).alias("__key"), *names)
         out = out.join(slim, out[key] == slim["__key"], "left").drop("__key")
-        out = out.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast(rollup.schema[name].dataType)))
-    return out
+    zero = {name: F.lit(0).cast(rollup.schema[name].dataType) for name, (rollup, _) in measures.items()}
+    return out.select(*dimension.columns, *[F.coalesce(F.col(name), zero[name]).alias(name) for name in measures])
 
 
 def side_by_side(**totals: DataFrame) -> DataFrame:

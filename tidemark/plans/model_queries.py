@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows
@@ -72,11 +72,13 @@ def pandas_statistics(inputs: Inputs) -> DataFrame:
     schema = "user_id bigint, n bigint, total double, apart double, top double"
     parts = pandas_model(inputs("events").select("user_id", "value"), partials, schema)
     # What lies apart inside the partials, and the partials' means from the user's mean: nothing large cancels.
-    means = parts.groupBy("user_id").agg((F.sum("total") / F.sum("n")).alias("mean"))
+    # The window and the grouping share one shuffle, and the Python stage runs once.
+    user = Window.partitionBy("user_id")
+    parts = parts.withColumn("mean", F.sum("total").over(user) / F.sum("n").over(user))
     between = F.sum(F.col("n") * F.pow(F.col("total") / F.col("n") - F.col("mean"), 2))
     n = F.sum("n")
     variance = F.try_divide(F.sum("apart") + between, n - 1)
-    return parts.join(means, "user_id").groupBy("user_id").agg(
+    return parts.groupBy("user_id").agg(
         n.alias("n_events"),
         F.max("top").alias("top_value"),
         F.round(F.first("mean").cast("decimal(38,10)"), 4).cast("double").alias("avg_value"),

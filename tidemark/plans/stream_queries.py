@@ -47,12 +47,10 @@ def streaming_upsert(inputs: Inputs) -> DataFrame:
 
     def run(stream: DataFrame, checkpoint: str) -> None:
         rows = stream.select("user_id", "event_id", "ts", "event_type", "value")
-        jobs.upsert_latest(
-            rows, house.database, house.location, "latest", ["user_id"], ["ts", "event_id"], 8, checkpoint
-        )
+        jobs.upsert_log(rows, house.database, house.location, "latest", ["user_id"], ["ts", "event_id"], checkpoint, fan=2)
 
     deliver(inputs, run)
-    return house.fresh("latest").drop("key_bucket")
+    return jobs.latest(house, "latest", ["user_id"], ["ts", "event_id"])
 
 
 @query(

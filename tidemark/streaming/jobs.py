@@ -8,6 +8,7 @@ runs twice leaves the same table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,6 +77,50 @@ def upsert_latest(
     run_batches(stream, checkpoint, step)
 
 
+def upsert_log(
+    stream: DataFrame, database: str, location: str, table: str, keys: Sequence[str], order: Sequence[str], checkpoint: str, fan: int = 16
+) -> None:
+    """Keep the latest row per key as a log: a batch writes its own keys and reads nothing.
+
+    Every batch is folded to one row per key and becomes one partition, named by the
+    query and the batch. :func:`latest` reads the log as one row per key. More than
+    ``fan`` partitions of a level are folded into one of the next, so that a row is
+    written again once per level, a logarithm of the batches, and readers meet few
+    partitions. A batch that runs twice replaces its partition or repeats rows that are
+    there already; neither changes which row is the latest, nor does a checkpoint that
+    is lost, or a fold that breaks off between writing and dropping.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        house = Warehouse(batch.sparkSession, database, location)
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        newest = first_per_key(batch, keys, [F.col(c) for c in order]).withColumn("delivery", F.lit(f"0-{run}-{batch_id}"))
+        house.ensure(table, newest.schema, ["delivery"])
+        house.overwrite_partitions(table, newest, ["delivery"])
+        fold_log(house, table, keys, order, fan)
+
+    run_batches(stream, checkpoint, step)
+
+
+def fold_log(house: Warehouse, table: str, keys: Sequence[str], order: Sequence[str], fan: int) -> None:
+    """Fold each level of a log that has more than ``fan`` partitions into one partition of the next level."""
+    level = 0
+    while True:
+        held = [r["delivery"] for r in house.partitions(table, "delivery").where(F.col("delivery").startswith(f"{level}-")).collect()]
+        if len(held) <= fan:
+            return
+        level += 1
+        rows = house.read(table).where(F.col("delivery").isin(held)).drop("delivery")
+        folded = first_per_key(rows, keys, [F.col(c) for c in order]).withColumn("delivery", F.lit(f"{level}-{uuid.uuid4().hex}"))
+        house.overwrite_partitions(table, folded, ["delivery"])
+        house.drop_partitions(table, "delivery", held)
+
+
+def latest(house: Warehouse, table: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """A log of :func:`upsert_log` as a table with one row per key."""
+    return first_per_key(house.fresh(table).drop("delivery"), keys, [F.col(c) for c in order])
+
+
 def rebuild_days(
     stream: DataFrame,
     database: str,
