@@ -184,6 +184,24 @@ def test_nbest_of_a_text_is_exact(vocabulary, text):
     assert [round(s, 6) for s, _ in got] == [round(-s, 6) for s in want]
 
 
+def test_a_very_long_word(vocabulary):
+    """Time and memory grow with the word."""
+    import random
+    import time
+    import tracemalloc
+
+    draw = random.Random(1)
+    word = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
+    began = time.perf_counter()
+    ways = vocabulary.best("▁" + word[:20_000], 2)
+    first = time.perf_counter() - began
+    assert len(ways) == 2 and ways[0][0] >= ways[1][0] and first < 60
+    tracemalloc.start()
+    text = vocabulary.nbest(word[:20_000], 3)
+    assert len(text) == 3 and tracemalloc.get_traced_memory()[1] < 10**9
+    tracemalloc.stop()
+
+
 @pytest.mark.parametrize("text", ["plain words", "  two  spaces ", "tab\tand\nline", "漢字 and é😀", "a b", "\x00\x07", "x" * 5000])
 def test_round_trip(vocabulary, text):
     whole = vocabulary.model.normalize(text).replace(pieces.SPACE, " ").removeprefix(" ")

@@ -99,6 +99,57 @@ def test_main_text(html):
     assert htmltext.main_text(html) == ARTICLE
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div class='wrapper has-sidebar'><article>{}</article></div>",
+        "<div class='layout no-sidebar'><div class=text>{}</div></div>",
+        "<div class='container nav-open'>{}</div>",
+        "<body><form action=x><div><input>{}</div></form></body>",
+        "<section class='related-work'>{}</section>",
+        "<div class='content sidebar-left'><div>{}</div></div>",
+    ],
+)
+def test_layout_words_do_not_hide_the_article(html):
+    assert htmltext.main_text(html.format(BODY)) == ARTICLE
+
+
+@pytest.mark.parametrize(
+    "name",
+    "post-comments article-comments main-menu post-share entry-related content-ads story-related comment_list relatedPosts cookieBanner footer-content".split(),
+)
+def test_blocks_beside_the_article_go_whatever_their_first_word(name):
+    extra = f"<div class='{name}'><p>Other words, and more of them, as long as a paragraph, or so.</p></div>"
+    assert htmltext.main_text(f"<div class=post>{BODY * 2}{extra}</div>") == "\n".join([ARTICLE] * 2)
+    assert htmltext.main_text(f"<main><div>{BODY * 2}</div>{extra}</main>") == "\n".join([ARTICLE] * 2)
+
+
+@pytest.mark.parametrize("name", ["post-comments", "comments", "entry-related"])
+def test_long_comments_are_no_article(name):
+    extra = f"<div class='{name}'>" + "<p>A comment, with words, and commas, and length, as they come.</p>" * 9 + "</div>"
+    assert htmltext.main_text(f"<div class=post>{BODY * 2}</div>{extra}") == "\n".join([ARTICLE] * 2)
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>" * 100_000 + "</x>" * 100_000,
+        "<a " * 300_000,
+        "<b>" * 100_000 + "<p>" * 100_000,
+        "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000,
+        "<div><span>" * 60_000 + "</div>" * 60_000,
+        "<li>" * 200_000,
+        "<td><p>" * 100_000,
+    ],
+)
+def test_time_on_long_broken_pages(html):
+    import time
+
+    began = time.perf_counter()
+    htmltext.main_text(html)
+    assert time.perf_counter() - began < 15
+
+
 def test_blocks_and_white_space():
     html = "<article><h1> A \n title </h1><p>one<br>two <b>bold</b>, end</p><div>loose text<p>inner</p>tail</div><ul><li>x<li>y</ul></article>"
     assert htmltext.main_text(html) == "A title\none two bold, end\nloose text\ninner\ntail\nx\ny"

@@ -51,15 +51,42 @@ BOUNDARY = {
 }
 STOPS = frozenset("article aside section div table td th body button main blockquote form figure li".split())
 
-# Words of a class, id or role that mark a block as something else than the article.
-OTHER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|navi?|navbar|navigation|menu\w*|breadcrumbs?|"
-    r"footer|header|masthead|sidebar\w*|side|rail|widget\w*|comments?|comment-?list|disqus|respond|replies|cookies?|"
-    r"consent|gdpr|notices?|notification\w*|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|"
-    r"social|related|recommend\w*|pagination|pager|toolbar|skip|hidden|contentinfo|complementary|search)(?:$|[\s_-])",
-    re.IGNORECASE,
+# Words of a class, id or role that say what a block is. A block of the first kind is never the
+# article, however long; one of the second kind may be a layout's name for what holds the article.
+NEVER = frozenset(
+    """ad ads advert adverts advertisement advertising advertorial adsense sponsor sponsors sponsored promo promos promotion
+    breadcrumb breadcrumbs footer masthead comment comments disqus respond reply replies cookie cookies consent gdpr newsletter
+    subscribe subscription signup login related recommend recommended recommendation recommendations pagination pager
+    contentinfo complementary""".split()
 )
+LAYOUT = frozenset(
+    """nav navi navbar navigation menu menubar header sidebar sidebars side rail widget widgets notice notices notification
+    notifications alert alerts popup modal overlay banner share sharing social toolbar skip hidden search""".split()
+)
+# Words that say nothing themselves: the word before them does, as in "comment-list" or "related-posts".
+HOLDERS = frozenset(
+    """list lists box boxes block blocks area section sections wrapper wrap container inner outer form bar link links item items
+    title content body holder panel panels group row column col buttons button icons posts articles stories news products
+    left right top bottom primary secondary main 1 2 3""".split()
+)
+# What such a word begins with is a state of something else, as in "has-sidebar".
+STATES = frozenset("has no not with without is show hide js".split())
 ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|main|content|story)(?:$|[\s_-])", re.IGNORECASE)
+HALF = 0.5  # share of a page's text that makes a layout element or a form the page itself
+
+
+def role(marks: str) -> int:
+    """What the words of a class, id or role say: 2 never part of an article, 1 a layout element, 0 nothing."""
+    found = 0
+    for token in marks.split():
+        words = re.sub(r"([a-z0-9])([A-Z])", r"\1-\2", token).lower().replace("_", "-").strip("-").split("-")
+        if words[0] in STATES:
+            continue
+        while len(words) > 1 and words[-1] in HOLDERS:
+            words.pop()
+        found = max(found, 2 if words[-1] in NEVER else 1 if words[-1] in LAYOUT else 0)
+    return found
+
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
@@ -78,12 +105,15 @@ class Page:
         self.parse(html)
 
     def parse(self, html: str) -> None:
-        stack, at, end = [0], 0, len(html)
-        tags, parts = self.tag, self.parts
+        at, end = 0, len(html)
+        # Where each open tag lies in the stack, so that a stray tag costs nothing however deep the page is.
+        self.stack, self.places, self.stops = [0], {}, []
+        stack, tags, parts = self.stack, self.tag, self.parts
         while at < end:
-            m = TOKEN.search(html, at)
+            m = TOKEN.search(html, at) if html.find(">", at) >= 0 else None
             if m is None:
-                parts[stack[-1]].append(html[at:])
+                # No tag can end any more; a comment may be open.
+                parts[stack[-1]].append(html[at:].split("<!--", 1)[0])
                 break
             if m.start() > at:
                 parts[stack[-1]].append(html[at : m.start()])
@@ -92,14 +122,9 @@ class Page:
                 continue
             name = name.lower()
             if m[1]:
-                self.close(stack, name)
+                self.close(name)
                 continue
-            for i in range(len(stack) - 1, 0, -1) if name in ENDS else ():
-                open_tag = tags[stack[i]]
-                if open_tag in ENDS[name]:
-                    del stack[i:]
-                elif open_tag in BOUNDARY.get(name, STOPS):
-                    break
+            self.end_open(name)
             node = len(tags)
             tags.append(name)
             self.parent.append(stack[-1])
@@ -107,15 +132,40 @@ class Page:
             parts[stack[-1]].append(node)
             marks = self.read_marks(m[3]) if len(m[3]) > 2 else ""
             self.marks.append(marks)
-            self.dropped.append(name in DROPPED or marks == "!" or (name == "header" and not self.in_article(stack)))
+            self.dropped.append(name in DROPPED or marks == "!" or (name == "header" and not self.in_article()))
             if name in RAW and not m[3].endswith("/>"):
                 close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(html, at)
                 at = close.end() if close else end
             elif name not in VOID and not (m[3].endswith("/>") and name not in INLINE | PARAGRAPH | STOPS):
+                self.places.setdefault(name, []).append(len(stack))
+                if name in STOPS:
+                    self.stops.append(len(stack))
                 stack.append(node)
 
-    def in_article(self, stack: list[int]) -> bool:
-        return any(self.tag[i] in ("article", "main") for i in stack)
+    def cut(self, place: int) -> None:
+        """Close the open element at this place of the stack, and all inside it."""
+        for node in self.stack[place:]:
+            name = self.tag[node]
+            self.places[name].pop()
+            if name in STOPS:
+                self.stops.pop()
+        del self.stack[place:]
+
+    def last(self, names) -> int:
+        """The highest place in the stack of an open element with one of these names; 0 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def end_open(self, name: str) -> None:
+        """End the open elements that a start tag ends, up to a boundary."""
+        while name in ENDS and (place := self.last(ENDS[name])):
+            bound = self.last(BOUNDARY[name]) if name in BOUNDARY else self.stops[-1] if self.stops else 0
+            # A boundary may itself be among what ends here, as a cell is.
+            if bound > place:
+                return
+            self.cut(place)
+
+    def in_article(self) -> bool:
+        return bool(self.last(("article", "main")))
 
     @staticmethod
     def read_marks(attributes: str) -> str:
@@ -132,14 +182,10 @@ class Page:
                 found.append(value)
         return " ".join(found)
 
-    def close(self, stack: list[int], name: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            open_tag = self.tag[stack[i]]
-            if open_tag == name:
-                del stack[i:]
-                return
-            if name in INLINE and open_tag in STOPS:
-                return
+    def close(self, name: str) -> None:
+        place = self.last((name,))
+        if place and not (name in INLINE and self.stops and self.stops[-1] > place):
+            self.cut(place)
 
     def text(self) -> str:
         self.measure()
@@ -149,20 +195,30 @@ class Page:
             self.collect(node, blocks)
         return "\n".join(blocks)
 
-    def skip(self, node: int) -> bool:
+    def role(self, node: int) -> int:
         if self.dropped[node]:
-            return True
+            return 1 if self.tag[node] in ("form", "fieldset") and self.marks[node] != "!" else 2
         marks = self.marks[node]
         if marks and self.tag[node] not in INLINE and self.tag[node] not in ("html", "body", "article", "main"):
-            return bool(OTHER.search(marks)) and not ARTICLE.search(marks)
-        return False
+            return role(marks)
+        return 0
 
     def measure(self) -> None:
         """Text length, link length and commas of every element, leaves first."""
         n = len(self.tag)
+        roles = [0, *map(self.role, range(1, n))]
+        # How much text outside of links is in each element, and outside of what is never part of an article.
+        mass, gone = [0] * n, [False] * n
+        for i in range(1, n):
+            gone[i] = gone[self.parent[i]] or roles[i] == 2
+        for i in range(n - 1, -1, -1):
+            if not gone[i] and self.tag[i] != "a":
+                mass[i] += sum(len(part.strip()) for part in self.parts[i] if isinstance(part, str))
+                if i:
+                    mass[self.parent[i]] += mass[i]
         self.out = out = [False] * n
         for i in range(1, n):
-            out[i] = out[self.parent[i]] or self.skip(i)
+            out[i] = out[self.parent[i]] or roles[i] == 2 or (roles[i] == 1 and mass[i] <= HALF * mass[0])
         self.size, self.links, self.commas, self.points = [0] * n, [0] * n, [0] * n, [0.0] * n
         own = [0] * n  # text outside of blocks inside the element
         for i in range(n - 1, -1, -1):

@@ -85,22 +85,22 @@ class Pieces:
         return into, best
 
     def best(self, word: str, n: int) -> list[tuple[float, bytes]]:
-        """The ``n`` best segmentations of a word: (score, packed ids), best first, ties by ids."""
+        """The ``n`` best segmentations of a word: (score, packed ids), best first; equal ones in a fixed order."""
         into, ahead = self.lattice(word)
         found: list[tuple[float, bytes]] = []
-        # (total if completed best, ids so far, place, score so far)
-        heap: list[tuple[float, tuple[int, ...], int, float]] = [(-ahead[-1], (), len(word), 0.0)]
+        # (total if completed best, place, pieces so far, score so far): of equal ones, the one nearest to its end goes first
+        heap: list[tuple[float, int, Way | None, float]] = [(-ahead[-1], len(word), None, 0.0)]
         push, pop = heapq.heappush, heapq.heappop
         while heap:
-            _, ids, place, score = pop(heap)
+            _, place, way, score = pop(heap)
             if not place:
-                found.append((score, array("i", ids).tobytes()))
+                found.append((score, array("i", way.ids() if way else ()).tobytes()))
                 if len(found) == n:
                     break
                 continue
             for start, piece, gain in into[place]:
                 total = score + gain
-                push(heap, (-(ahead[start] + total), piece + ids, start, total))
+                push(heap, (-(ahead[start] + total), start, Way(piece, way), total))
         return found
 
     def known_word(self, word: str) -> tuple[float, bytes, float]:
@@ -138,6 +138,33 @@ class Pieces:
         return self.model.decode(array("i", packed).tolist())
 
 
+class Way:
+    """The pieces from a place to the end of a word: the first, and the way that goes on from it.
+
+    Ways share their ends, so a push costs the same however long the word is. Ways of
+    equal total and place are ordered by ids; only then are they walked.
+    """
+
+    __slots__ = ("piece", "rest")
+
+    def __init__(self, piece: tuple[int, ...], rest: Way | None) -> None:
+        self.piece, self.rest = piece, rest
+
+    def ids(self) -> Iterator[int]:
+        way: Way | None = self
+        while way is not None:
+            yield from way.piece
+            way = way.rest
+
+    def __lt__(self, other: Way) -> bool:
+        mine, theirs = self.ids(), other.ids()
+        for a in mine:
+            b = next(theirs, None)
+            if b is None or a != b:
+                return b is not None and a < b
+        return next(theirs, None) is not None
+
+
 @lru_cache(maxsize=1)
 def loaded(path: str) -> Pieces:
     """One vocabulary per worker process, so that its later tasks remember words too."""
