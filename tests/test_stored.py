@@ -105,6 +105,16 @@ def test_lookback_reads_the_newest_partition_only(spark, house):
     assert rows(stored.lookback(house, "t", late, "ts", 6, "day"), "id") == [(5,)]
 
 
+def test_change_counts_equal_the_alignment(spark, house):
+    draw = random.Random(7)
+    make = lambda n, spread: {draw.randrange(spread): (draw.choice(["a", "b", None]), f"d{draw.randrange(3)}") for _ in range(n)}
+    old, new = (table(spark, *[(k, *v) for k, v in make(n, 60).items()]) for n in (40, 30))
+    house.replace("t", old, ["day"])
+    got = stored.change_counts(house, "t", new, ["id"], "day")
+    assert rows(got) == rows(incremental.change_counts(old, new, ["id"]))
+    assert rows(stored.change_counts(house, "t", new.limit(0), ["id"], "day")) == [("keep", old.count())]
+
+
 # --- columns -----------------------------------------------------------------------
 
 

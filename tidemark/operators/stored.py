@@ -21,6 +21,7 @@ from tidemark.functions.dates import truncate
 from tidemark.operators import incremental
 from tidemark.operators.contracts import Contract
 from tidemark.operators.incremental import SCHEMA_POLICIES, SchemaChange, batches, require_unique_keys
+from tidemark.operators.joins import differs
 from tidemark.operators.staging import rows_in
 from tidemark.sources.tables import in_window
 from tidemark.sources.warehouse import Warehouse, one_of
@@ -192,13 +193,35 @@ class Increment:
             return {}
         return dict(self.matches(target, rows, bounds).groupBy(self.partition_by).count().collect())
 
-    def matches(self, target: DataFrame, rows: DataFrame, bounds: Mapping[str, tuple]) -> DataFrame:
-        """Keys and partition of the open target rows that a batch meets."""
+    def matches(self, target: DataFrame, rows: DataFrame, bounds: Mapping[str, tuple], more: Sequence[str] = ()) -> DataFrame:
+        """Keys and partition (and ``more``) of the open target rows that a batch meets."""
         open_rows = target if self.predicate is None else target.where(self.predicate)
         for k, (lo, hi) in bounds.items():
             kind = target.schema[k].dataType
             open_rows = open_rows.where(F.col(k).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind)))
-        return rows_in(open_rows.select(*dict.fromkeys([*self.keys, self.partition_by])), rows, list(self.keys))
+        return rows_in(open_rows.select(*dict.fromkeys([*self.keys, self.partition_by, *more])), rows, list(self.keys))
+
+
+def change_counts(house: Warehouse, table: str, batch: DataFrame, keys: Sequence[str], partition_by: str) -> DataFrame:
+    """How many rows a merge of the batch would insert, update and keep: (action, n_rows), actions without rows left out.
+
+    Only the table's rows with keys of the batch meet it, found as a merge finds them; all
+    others are counted and not read. NULLs are values: a change to or from NULL is an update.
+    """
+    step = Increment(partition_by, keys, "merge")
+    with house.staged(batch) as rows:
+        require_unique_keys(rows, keys)
+        target = house.read(table)
+        columns = [c for c in target.columns if c not in keys and c in rows.columns]
+        held = step.matches(target, rows, step._extent(rows)[1], columns)
+        old = held.select(*keys, *[F.col(c).alias(f"old_{c}") for c in columns], F.lit(True).alias("__held"))
+        new = rows.select(*keys, *[F.col(c).alias(f"new_{c}") for c in columns])
+        pair = new.join(old, list(keys), "left")
+        known = F.col("__held").isNotNull()
+        found = pair.agg(F.count_if(~known).alias("insert"), F.count_if(known & differs(columns)).alias("update")).first()
+        counts = {"insert": found["insert"], "update": found["update"], "keep": target.count() - found["update"]}
+    data = [(action, n) for action, n in counts.items() if n]
+    return house.spark.createDataFrame(data, "action string, n_rows long")
 
 
 def store_merge(
