@@ -69,6 +69,6 @@ def test_packing_holds_every_document(stages):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n.split("_")[0][2:]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n.split("_")[0] for n in entry.oracle_sql() if n.startswith("op")] == ["op2"]
