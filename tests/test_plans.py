@@ -40,6 +40,24 @@ def test_no_pairing_of_all_rows_and_no_python(spark, name):
         assert bad not in text, text
 
 
+def test_no_task_of_the_order_free_sums_grows_with_the_table(spark, tmp_path):
+    rows = "id as l_orderkey, cast(id % 7 as int) as l_linenumber, id * 0.5d as l_quantity, 1d as l_extendedprice, 0.1d as l_discount, 0.2d as l_tax, 'A' as l_returnflag"
+    spark.range(800).repartition(8).selectExpr(*rows.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    old = spark.conf.get("spark.sql.files.openCostInBytes"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100k")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        found = entry.queries()["agg_11_order_free_sums"](spark, str(tmp_path))
+        text = plan(found)
+        assert found.first()["same_when_shuffled"]
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old[0])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[1])
+    # Two of eight splits at a time; as many partitions as the session has, not a fixed number.
+    assert re.findall(r"Coalesce (\d+)", text) == ["4"]
+    assert "REPARTITION_BY_NUM" not in text and "REPARTITION_BY_COL" in text
+
+
 @pytest.mark.parametrize("name", ["win_7_ignore_nulls", "win_9_row_number", "win_4_top_per_group", "agg_9_percentiles"])
 def test_windows_over_detail_rows_are_partitioned(spark, name):
     assert "Exchange SinglePartition" not in plan(entry.queries()[name](spark, SMALL))
