@@ -313,3 +313,25 @@ def test_gradient_steps_raise_the_likelihood():
     model = ordinal.fit(documents, np.repeat([0, 1, 2], 50), 3)
     tails = model.tails(np.array([model.weights[[g]].sum() for g in (0, 1, 2)]))
     assert (np.diff(tails.sum(1)) > 0.3).all()
+
+
+def test_neighbours_beyond_the_gap_are_not_ranked():
+    terms = [np.array([1, 2, 3]), np.array([1, 2, 3]), np.array([1, 2]), np.array([1]), np.array([4])]
+    sizes = np.array([700, 500, 400, 300, 200])
+    shard, asked = packing.build(sizes, terms, [np.ones(len(t)) for t in terms], sizes, np.ones(1 << 16), 500.0)
+    shard.length[0] = 0
+    assert packing.neighbours(shard, asked[0], np.arange(5), 324) == [1, 3]  # of 1 and 2 only the better one
+    assert packing.neighbours(shard, asked[0], np.arange(5)) == [1, 2, 3]
+
+
+def test_rarest_tokens_of_rows():
+    rng = np.random.default_rng(2)
+    idf = np.round(rng.random(1 << 16), 2)
+    rows = [np.unique(rng.integers(0, 1 << 16, n)) for n in [0, 1, 5, 0, 3, 200, 2, 1, 0]]
+    rarest = np.argsort(-idf, kind="stable")
+    rank = np.argsort(rarest, kind="stable")
+    for part in (slice(0, 9), slice(1, 6), slice(0, 1), slice(0, 0)):
+        lists = packing.lists(rows).slice(part.start, part.stop - part.start)
+        wanted = [(ids[np.lexsort((ids, -idf[ids]))[:2]].tolist() + [-1, -1])[:2] for ids in rows[part]]
+        assert [list(x) for x in zip(*map(np.ndarray.tolist, packing.rarest_two(lists, rank, rarest)))] == wanted
+        assert packing.last_of(lists, np.full(len(wanted), -7)).tolist() == [int(r[-1]) if len(r) else -7 for r in rows[part]]

@@ -21,10 +21,10 @@ documents of their own. Other columns are not read.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +47,9 @@ def encoder(path: str, pattern: str, added: dict[str, int] | None = None) -> Cal
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
-    encode, plain = partial(encoding.encode, allowed_special="all"), encoding.encode_ordinary
-    return lambda text: np.array((encode if any(mark in text for mark in added or ()) else plain)(text), dtype=np.uint16)
+    marks = re.compile("|".join(map(re.escape, added))) if added else None
+    every, none = set(added or ()), set()
+    return lambda text: encoding.encode_to_numpy(text, allowed_special=every if marks and marks.search(text) else none, disallowed_special=()).astype(np.uint16)
 
 
 # --- checksums ---------------------------------------------------------------------
@@ -117,6 +118,36 @@ def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: s
     return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, {TOKENIZED}")
 
 
+# --- step 3: keys of a batch --------------------------------------------------------
+
+
+def rarest_two(terms: pa.ListArray, rank: np.ndarray, rarest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first two ids of each row in the order ``rarest``, -1 where there are none; ``rank`` is an id's place there."""
+    offsets = terms.offsets.to_numpy()
+    sizes = np.diff(offsets)
+    places = rank[terms.values.to_numpy()[offsets[0] : offsets[-1]]]
+    filled = np.flatnonzero(sizes)
+    first, second = np.full((2, len(sizes)), -1, np.int64)
+    if len(filled):
+        starts = offsets[:-1][filled] - offsets[0]
+        least = np.minimum.reduceat(places, starts)
+        first[filled] = rarest[least]
+        places[places == np.repeat(least, sizes[filled])] = len(rarest)
+        least = np.minimum.reduceat(places, starts)
+        two = least < len(rarest)
+        second[filled[two]] = rarest[least[two]]
+    return first, second
+
+
+def last_of(lists: pa.ListArray, otherwise: np.ndarray) -> np.ndarray:
+    """The last number of each list, or another where it has none."""
+    offsets = lists.offsets.to_numpy()
+    filled = np.flatnonzero(np.diff(offsets))
+    out = otherwise.copy()
+    out[filled] = lists.values.to_numpy()[offsets[1:][filled] - 1]
+    return out
+
+
 # --- step 4: one shard -------------------------------------------------------------
 
 
@@ -174,7 +205,7 @@ def fill(shard: Shard, queries: list[np.ndarray]) -> list[list[tuple[int, int, i
                 if gap < STEP:
                     break
                 skipped = -1
-                for other in ranked(shard, queries[seed], line[loose:]):
+                for other in ranked(shard, queries[seed], line[loose:], gap):
                     size = int(length[other])
                     if size <= gap:
                         window.append((other, int(start[other]), size))
@@ -199,17 +230,24 @@ def fill(shard: Shard, queries: list[np.ndarray]) -> list[list[tuple[int, int, i
     return windows
 
 
-def neighbours(shard: Shard, query: np.ndarray, line: np.ndarray) -> list[int]:
-    """Unused documents that share a query term, best first, ties by place."""
-    first, sizes = shard.edges[query], shard.edges[query + 1] - shard.edges[query]
-    at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-    scores = np.bincount(shard.doc[at], shard.weight[at], minlength=len(shard.length))
-    scores[shard.length == 0] = 0
-    found = np.flatnonzero(scores)
-    return found[np.argsort(-scores[found], kind="stable")].tolist()
-
-
-def leftovers(shard: Shard, query: np.ndarray, line: np.ndarray) -> Iterator[int]:
+def neighbours(shard: Shard, query: np.ndarray, line: np.ndarray, gap: int = WINDOW) -> list[int]:
+    """Unused documents that share a query term, best first, ties by place; of those beyond the gap only the best."""
+    spans = list(zip(shard.edges[query].tolist(), shard.edges[query + 1].tolist()))
+    if not spans:
+        return []
+    doc, weight, length = shard.doc, shard.weight, shard.length
+    scores = np.bincount(np.concatenate([doc[a:b] for a, b in spans]), np.concatenate([weight[a:b] for a, b in spans]), minlength=len(length))
+    scores[length == 0] = 0
+    beyond = np.where(length > gap, scores, 0.0)
+    # A gap only shrinks: what is beyond it never fits, and the best of those is the one that may be cut.
+    first = int(beyond.argmax())
+    fitting = scores - beyond
+    fitting[first] = scores[first]
+    found = np.flatnonzero(fitting)
+    return found[np.argsort(-fitting[found], kind="stable")].tolist()
+
+
+def leftovers(shard: Shard, query: np.ndarray, line: np.ndarray, gap: int = WINDOW) -> Iterator[int]:
     """All unused documents, longest first."""
     return (int(d) for d in line if shard.length[d])
 
@@ -241,16 +279,14 @@ def packed(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rarest tokens of each document, as the key that brings related ones together."""
-        idf = shared.value
+        rarest = np.argsort(-shared.value, kind="stable")
+        rank = np.empty(len(rarest), np.int64)
+        rank[rarest] = np.arange(len(rarest))
         for batch in batches:
-            near = []
-            for terms in batch.column("terms"):
-                ids = terms.values.to_numpy()
-                best = ids[np.lexsort((ids, -idf[ids]))[:2]].tolist()
-                near.append((best + [-1, -1])[:2])
-            columns = [pa.array([k[i] for k in near], pa.int32()) for i in (0, 1)]
+            keys = rarest_two(batch.column("terms"), rank, rarest)
+            columns = [pa.array(k, pa.int32()) for k in keys]
             # The last checksum of a row's ids: it tells rows that share an id and a length.
-            last = [c.as_py()[-1] if len(c) else (f.as_py() or [0])[-1] for c, f in zip(batch.column("crcs"), batch.column("full"))]
+            last = last_of(batch.column("crcs"), last_of(batch.column("full"), np.zeros(batch.num_rows, np.int64)))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns, pa.array(last, pa.int64())], [*batch.schema.names, "k1", "k2", "near"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
