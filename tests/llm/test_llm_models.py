@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import zlib
 
@@ -315,6 +316,22 @@ def test_gradient_steps_raise_the_likelihood():
     assert (np.diff(tails.sum(1)) > 0.3).all()
 
 
+@pytest.mark.parametrize("word", ["▁", "▁blein.\nWas", "▁anenor.\nOf", "▁Ñrrbo&&&", "aaaaaaa", "▁aaa aaa", "日本\0x", "▁un\U0001f600der,"])
+def test_words_are_put_together_from_stretches(vocabulary, word):
+    score, ids, second = vocabulary.known_word(word)
+    ways = vocabulary.best(word, 2)
+    assert (score, ids) == ways[0]
+    assert second == (ways[0][0] - ways[1][0] if len(ways) > 1 else math.inf)
+
+
+def test_a_stretch_is_segmented_once(monkeypatch):
+    vocabulary, asked = pieces.Pieces(PIECES), []
+    first = vocabulary.first
+    monkeypatch.setattr(vocabulary, "first", lambda stretch: asked.append(stretch) or first(stretch))
+    vocabulary.nbest("anenor. anenor, anenor.\nAnenor", 1)
+    assert len(asked) == len(set(asked)) and sum("anenor" in a for a in asked) == 1
+
+
 def test_neighbours_beyond_the_gap_are_not_ranked():
     terms = [np.array([1, 2, 3]), np.array([1, 2, 3]), np.array([1, 2]), np.array([1]), np.array([4])]
     sizes = np.array([700, 500, 400, 300, 200])
