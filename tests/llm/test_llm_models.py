@@ -352,3 +352,9 @@ def test_rarest_tokens_of_rows():
         wanted = [(ids[np.lexsort((ids, -idf[ids]))[:2]].tolist() + [-1, -1])[:2] for ids in rows[part]]
         assert [list(x) for x in zip(*map(np.ndarray.tolist, packing.rarest_two(lists, rank, rarest)))] == wanted
         assert packing.last_of(lists, np.full(len(wanted), -7)).tolist() == [int(r[-1]) if len(r) else -7 for r in rows[part]]
+
+
+def test_one_encoder_per_worker():
+    assert packing.loaded(*BYTE_BPE, ()) is packing.loaded(*BYTE_BPE, ())
+    lists = packing.lists([np.array([9, 1]), np.zeros(0, int), np.array([2])]).slice(1, 2)
+    assert [r.tolist() for r in packing.rows_of(lists)] == [[], [2]]

@@ -25,6 +25,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,12 @@ def encoder(path: str, pattern: str, added: dict[str, int] | None = None) -> Cal
     return lambda text: encoding.encode_to_numpy(text, allowed_special=every if marks and marks.search(text) else none, disallowed_special=()).astype(np.uint16)
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str, pattern: str, added: tuple[tuple[str, int], ...]) -> Callable[[str], np.ndarray]:
+    """One encoder per worker process, which its later tasks use too."""
+    return encoder(path, pattern, dict(added))
+
+
 # --- checksums ---------------------------------------------------------------------
 
 
@@ -100,7 +107,7 @@ def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: s
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern, added)
+        encode = loaded(path, pattern, tuple((added or {}).items()))
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
@@ -139,6 +146,12 @@ def rarest_two(terms: pa.ListArray, rank: np.ndarray, rarest: np.ndarray) -> tup
     return first, second
 
 
+def rows_of(lists: pa.ListArray) -> list[np.ndarray]:
+    """The numbers of each list, as views of one array."""
+    values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
+    return [values[a:b] for a, b in zip(offsets, offsets[1:])]
+
+
 def last_of(lists: pa.ListArray, otherwise: np.ndarray) -> np.ndarray:
     """The last number of each list, or another where it has none."""
     offsets = lists.offsets.to_numpy()
@@ -170,9 +183,9 @@ class Shard:
         self.edges = np.searchsorted(self.term, np.arange((1 << 16) + 1))
 
     def shrink(self) -> None:
-        """Leaves out the postings of used documents, once they are half of all."""
-        left = self.length[self.doc] > 0
-        if 2 * left.sum() < len(left):
+        """Leaves out the postings of used documents, once they are an eighth of all."""
+        left = (self.length > 0)[self.doc]
+        if 8 * left.sum() < 7 * len(left):
             self.doc, self.term, self.weight = self.doc[left], self.term[left], self.weight[left]
             self.index()
 
@@ -225,7 +238,7 @@ def fill(shard: Shard, queries: list[np.ndarray]) -> list[list[tuple[int, int, i
             while loose < len(line) and not length[line[loose]]:
                 loose += 1
             windows.append(window)
-            if not len(windows) % 64:
+            if not len(windows) % 32:
                 shard.shrink()
     return windows
 
@@ -300,7 +313,7 @@ def packed(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         ids = table.column("id").combine_chunks()
         full, crcs = table.column("full").to_pylist(), table.column("crcs").to_pylist()
         sizes = table.column("n").to_numpy()
-        listed = lambda c: [x.values.to_numpy() for x in table.column(c)]
+        listed = lambda c: rows_of(table.column(c).combine_chunks())
         shard, queries = build(sizes % WINDOW, listed("terms"), listed("tfs"), sizes, idf, mean)
         rows, sequence = [], number << 36
         for d, checks in enumerate(full):
