@@ -19,6 +19,7 @@ on its own; words are remembered by a worker up to a bound. A null text is empty
 
 from __future__ import annotations
 
+import gc
 import heapq
 import math
 import re
@@ -35,7 +36,7 @@ SPACE = "▁"
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
 END = "\0"  # in no piece
 NOTHING = (None, (), {})
-MEMORY = 500_000  # words a worker remembers
+MEMORY = 750_000  # words a worker remembers
 
 
 class Pieces:
@@ -162,7 +163,7 @@ class Pieces:
         for begin, end in zip([0, *cuts], [*cuts, len(word)]):
             stretch = word[begin:end]
             found = get(stretch)
-            if not found:
+            if found is None:
                 if len(self.stretches) >= MEMORY:
                     self.stretches.clear()
                 found = self.stretches[stretch] = self.first(stretch)
@@ -239,8 +240,13 @@ class Way:
 
 @lru_cache(maxsize=1)
 def loaded(path: str) -> Pieces:
-    """One vocabulary per worker process, so that its later tasks remember words too."""
-    return Pieces(path)
+    """One vocabulary per worker process, so that its later tasks remember words too.
+
+    It stays until the process ends: the collector need not walk it again and again.
+    """
+    pieces = Pieces(path)
+    gc.freeze()
+    return pieces
 
 
 def encoded(docs: DataFrame, path: str, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
