@@ -1,6 +1,7 @@
 """Lexical retrieval packing: documents that share words fill one window together.
 
-1. Tokens. Each document becomes token ids and an end id. Windows it fills alone
+1. Tokens. Each document becomes token ids and an end id; texts are cut where a
+   piece always ends, and each distinct word of some rows is encoded once. Windows it fills alone
    are cut off first; what remains (less than a window) is to be packed. Ids are
    not kept: checksums of the remainder's prefixes, every ``STEP`` ids, give the
    checksum of any later piece, because CRC-32 is linear.
@@ -23,12 +24,14 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,22 +42,154 @@ STEP = 16  # remainders are cut at multiples of this
 END = 0
 SHARD = 4000  # documents of a shard
 K1, B = 1.2, 0.75
+COMMON, LEAST = 4, 64  # a term is common if a quarter of a shard's documents hold it, and so many
 
 
-def encoder(path: str, pattern: str, added: dict[str, int] | None = None) -> Callable[[str], np.ndarray]:
+CHUNK = 1 << 24  # bytes of text whose words are looked up at once
+GPT2 = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LETTER, DIGIT, SIGN, APOSTROPHE, SPACE, END_OF, OTHER = range(1, 8)
+
+
+def _cuts() -> tuple[bytes, bytes]:
+    """A kind for each byte, and for two kinds (16 a + b) whether ``GPT2`` always ends a piece between them.
+
+    No piece depends on what is before it. Of letters beyond ASCII it is only said that
+    a space behind one ends its piece. Whitespace keeps what follows, an apostrophe the letters.
+    """
+    kinds = np.full(256, OTHER, np.uint8)  # control characters, first bytes, and last bytes that whitespace may have
+    kinds[0x21:0x7F] = SIGN
+    kinds[ord("'")] = APOSTROPHE
+    kinds[0x30:0x3A] = DIGIT
+    kinds[0x41:0x5B] = kinds[0x61:0x7B] = LETTER
+    kinds[list(b" \t\n\v\f\r")] = SPACE
+    wide = {c.encode()[-1] for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"} | set(range(0x80, 0x8B))
+    kinds[[b for b in range(0x80, 0xC0) if b not in wide]] = END_OF
+    cut = np.zeros(256, np.uint8)
+    cut[[16 * a + SPACE for a in (LETTER, DIGIT, SIGN, APOSTROPHE, END_OF)]] = 1
+    cut[[16 * LETTER + b for b in (DIGIT, SIGN, APOSTROPHE)]] = 1
+    cut[[16 * DIGIT + b for b in (LETTER, SIGN, APOSTROPHE)]] = 1
+    cut[[16 * SIGN + b for b in (LETTER, DIGIT)]] = 1
+    return kinds.tobytes(), cut.tobytes()
+
+
+KINDS, CUT = _cuts()
+
+
+def mapped(values: np.ndarray, table: bytes) -> np.ndarray:
+    """Each byte's entry in a table."""
+    return np.frombuffer(values.tobytes().translate(table), np.uint8)
+
+
+def kinds_of(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte of UTF-8 text."""
+    kinds = mapped(data, KINDS)
+    # Characters of two bytes from U+00C0 on are no whitespace.
+    two = np.flatnonzero((data >= 0xC3) & (data < 0xE0))
+    if len(two):
+        kinds = kinds.copy()
+        kinds[np.minimum(two + 1, len(kinds) - 1)] = END_OF
+    return kinds
+
+
+def offsets_of(values: pa.Array) -> np.ndarray:
+    """Where each value of a binary array begins, and the last one ends."""
+    return np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+
+
+def together(alone: np.ndarray, lists: list[np.ndarray], ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in their order, all ids and how many each has: those alone from ``lists``, the others from ``ids`` by their ``counts``."""
+    if not lists:
+        return ids, counts
+    sizes = np.zeros(len(alone), np.int32)
+    sizes[alone], sizes[~alone] = [len(x) for x in lists], counts
+    out, from_lists = np.empty(int(sizes.sum()), np.uint16), np.repeat(alone, sizes)
+    out[from_lists], out[~from_lists] = np.concatenate(lists), ids
+    return out, sizes
+
+
+class Encoder:
     """Byte-level BPE from a file of ranks; ids as 16-bit numbers. ``added`` has the marks that are one token each; others are ordinary text."""
-    import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
-    marks = re.compile("|".join(map(re.escape, added))) if added else None
-    every, none = set(added or ()), set()
-    return lambda text: encoding.encode_to_numpy(text, allowed_special=every if marks and marks.search(text) else none, disallowed_special=()).astype(np.uint16)
+    def __init__(self, path: str, pattern: str, added: dict[str, int] | None = None) -> None:
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
+        self.added = set(added or ())
+        self.marks = re.compile("|".join(map(re.escape, added))) if added else None
+        self.cuttable = pattern == GPT2
+        self.width = np.zeros(1 << 16, np.int64)  # bytes of each token
+        self.width[list(ranks.values())] = [len(token) for token in ranks]
+
+    def __call__(self, text: str) -> np.ndarray:
+        """The ids of one text."""
+        allowed = self.added if self.marks and self.marks.search(text) else set()
+        return self.plain(text, allowed)
+
+    def plain(self, text: str, allowed: set[str] = frozenset()) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, allowed_special=allowed, disallowed_special=()).astype(np.uint16)
+
+    def rows(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of many texts (null: none): for some rows at a time, in their order, all ids and how many each row has.
+
+        Each distinct word of these rows is encoded once. Long texts and those with marks are encoded alone.
+        """
+        texts = pc.fill_null(texts.cast(pa.binary()), b"")
+        offsets = offsets_of(texts).astype(np.int64)
+        alone = np.diff(offsets) > (CHUNK if self.cuttable else -1)
+        for mark in self.added:
+            alone |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < len(texts):
+            to = int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1
+            to = max(at + 1, min(to, at + (1 << 16)))
+            part, apart = texts[at:to], alone[at:to]
+            lists = [self(part[i].as_py().decode()) for i in np.flatnonzero(apart).tolist()]
+            plain = part.filter(pa.array(~apart)) if len(lists) else part
+            ends = offsets_of(plain)
+            data = np.frombuffer(plain.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+            yield together(apart, lists, *self.words(data, ends - ends[0]))
+            at = to
+
+    def words(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that lie one after the other in ``data``, from one of ``ends`` to the next, and how many each has."""
+        if not len(data):
+            return np.zeros(0, np.uint16), np.zeros(len(ends) - 1, np.int32)
+        kinds = kinds_of(data)
+        first = np.ones(len(data) + 1, np.uint8)
+        first[1:-1] = mapped(kinds[:-1] << 4 | kinds[1:], CUT)
+        first[ends] = 1
+        cuts = np.flatnonzero(first).astype(np.int32)
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)]).dictionary_encode()
+        flat, sizes = self.pieces(words.dictionary)
+        codes = words.indices.to_numpy()
+        counts = sizes[codes]
+        through = np.zeros(len(codes) + 1, np.int32)
+        np.cumsum(counts, out=through[1:])
+        places = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[codes] - through[:-1], counts)
+        places += np.arange(len(places), dtype=np.int32)
+        return flat[places], np.diff(through[np.searchsorted(cuts, ends)])
+
+    def pieces(self, words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after the other, and how many each has."""
+        edges, data = offsets_of(words), np.frombuffer(words.buffers()[2], np.uint8)
+        kinds = kinds_of(data)
+        # Words that begin with a space and end before one are encoded as one text, the others alone.
+        alone = (kinds[edges[:-1]] != SPACE) | (mapped(kinds[edges[1:] - 1] << 4 | SPACE, CUT) == 0)
+        lists = [self.plain(words[i].as_py().decode()) for i in np.flatnonzero(alone).tolist()]
+        lengths = np.diff(edges)
+        ids = self.plain(data[: edges[-1]][np.repeat(~alone, lengths)].tobytes().decode())
+        ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(lengths[~alone])) + 1
+        return together(alone, lists, ids, np.diff(ends, prepend=0).astype(np.int32))
+
+
+def encoder(path: str, pattern: str, added: dict[str, int] | None = None) -> Encoder:
+    return Encoder(path, pattern, added)
 
 
 @lru_cache(maxsize=1)
-def loaded(path: str, pattern: str, added: tuple[tuple[str, int], ...]) -> Callable[[str], np.ndarray]:
+def loaded(path: str, pattern: str, added: tuple[tuple[str, int], ...]) -> Encoder:
     """One encoder per worker process, which its later tasks use too."""
     return encoder(path, pattern, dict(added))
 
@@ -102,25 +237,39 @@ def lists(arrays: Sequence[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *arrays]).astype(np.int32))
 
 
+def term_counts(ids: np.ndarray, counts: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
+    """The distinct ids of each row, ascending, and how often it has them; ``counts`` has the ids of each of at most 65,536 rows."""
+    keys = np.repeat(np.arange(len(counts), dtype=np.uint32) << 16, counts) | ids
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    at = np.flatnonzero(new)
+    keys, times = keys[at], np.diff(at, append=len(keys))
+    offsets = np.searchsorted(keys, np.arange(len(counts) + 1, dtype=np.int64) << 16).astype(np.int32)
+    return tuple(pa.ListArray.from_arrays(offsets, x.astype(np.int32)) for x in (keys & 0xFFFF, times))
+
+
 def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, added: dict[str, int] | None = None) -> DataFrame:
     """Per document: checksums of full windows and of the remainder's prefixes, length, token counts."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = loaded(path, pattern, tuple((added or {}).items()))
+        longs = pa.list_(pa.int64())
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                ids = np.append(encode(text or ""), np.uint16(END))
-                cut = len(ids) // WINDOW * WINDOW
-                data = ids[:cut].astype("<u4").tobytes()
-                full = [zlib.crc32(data[i : i + 4 * WINDOW]) for i in range(0, len(data), 4 * WINDOW)]
-                terms, counts = np.unique(ids[:-1], return_counts=True)
-                rows.append((full, prefix_crcs(ids[cut:]), len(ids), terms, counts))
-            columns = list(zip(*rows)) or [[]] * 5
-            longs = pa.list_(pa.int64())
-            arrays = [pa.array(c, k) for c, k in zip(columns[:3], [longs, longs, pa.int64()])] + [lists(c) for c in columns[3:]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["id", "full", "crcs", "n", "terms", "tfs"])
+            at = 0
+            for ids, counts in encode.rows(batch.column(1)):
+                ends = np.cumsum(counts, dtype=np.int64)
+                whole, to = np.insert(ids, ends, np.uint16(END)), (ends + np.arange(1, len(ends) + 1)).tolist()
+                full, crcs = [], []
+                for start, end in zip([0, *to], to):
+                    cut = start + (end - start) // WINDOW * WINDOW
+                    data = whole[start:cut].astype("<u4").tobytes()
+                    full.append([zlib.crc32(data[i : i + 4 * WINDOW]) for i in range(0, len(data), 4 * WINDOW)])
+                    crcs.append(prefix_crcs(whole[cut:end]))
+                arrays = [pa.array(full, longs), pa.array(crcs, longs), pa.array(counts.astype(np.int64) + 1), *term_counts(ids, counts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(counts)), *arrays], ["id", "full", "crcs", "n", "terms", "tfs"])
+                at += len(counts)
 
     return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, {TOKENIZED}")
 
@@ -174,20 +323,42 @@ class Shard:
     term: np.ndarray
     weight: np.ndarray
     edges: np.ndarray = field(init=False)  # where the postings of each term begin
+    common: list[np.ndarray] = field(init=False)  # weights in all documents, of terms that many hold; they have no postings
+    place: np.ndarray = field(init=False)  # of each term among the common ones, or -1
 
     def __post_init__(self) -> None:
         self.start = np.zeros(len(self.length), np.int64)
-        self.index()
-
-    def index(self) -> None:
+        held = np.bincount(self.term, minlength=1 << 16)
+        often = np.flatnonzero(held >= max(len(self.length) // COMMON, LEAST))
+        self.place = np.full(1 << 16, -1, np.int64)
+        self.place[often] = np.arange(len(often))
+        row = self.place[self.term]
+        table = np.zeros((len(often), len(self.length)))
+        table[row[row >= 0], self.doc[row >= 0]] = self.weight[row >= 0]
+        self.common = list(table)
+        self.keep(row < 0)
+
+    def keep(self, chosen: np.ndarray) -> None:
+        self.doc, self.term, self.weight = self.doc[chosen], self.term[chosen], self.weight[chosen]
         self.edges = np.searchsorted(self.term, np.arange((1 << 16) + 1))
 
+    def scores(self, query: np.ndarray) -> np.ndarray:
+        """What the terms of a query weigh in each document, used ones too as long as they are there."""
+        places = self.place[query]
+        rest = query[places < 0]
+        spans = list(zip(self.edges[rest].tolist(), self.edges[rest + 1].tolist()))
+        out = np.zeros(len(self.length))
+        if spans:
+            out = np.bincount(np.concatenate([self.doc[a:b] for a, b in spans]), np.concatenate([self.weight[a:b] for a, b in spans]), minlength=len(out))
+        for i in places[places >= 0].tolist():
+            out += self.common[i]
+        return out
+
     def shrink(self) -> None:
         """Leaves out the postings of used documents, once they are an eighth of all."""
         left = (self.length > 0)[self.doc]
         if 8 * left.sum() < 7 * len(left):
-            self.doc, self.term, self.weight = self.doc[left], self.term[left], self.weight[left]
-            self.index()
+            self.keep(left)
 
 
 def build(lengths: np.ndarray, terms: list[np.ndarray], tfs: list[np.ndarray], sizes: np.ndarray, idf: np.ndarray, mean: float) -> tuple[Shard, list[np.ndarray]]:
@@ -245,11 +416,9 @@ def fill(shard: Shard, queries: list[np.ndarray]) -> list[list[tuple[int, int, i
 
 def neighbours(shard: Shard, query: np.ndarray, line: np.ndarray, gap: int = WINDOW) -> list[int]:
     """Unused documents that share a query term, best first, ties by place; of those beyond the gap only the best."""
-    spans = list(zip(shard.edges[query].tolist(), shard.edges[query + 1].tolist()))
-    if not spans:
+    if not len(query):
         return []
-    doc, weight, length = shard.doc, shard.weight, shard.length
-    scores = np.bincount(np.concatenate([doc[a:b] for a, b in spans]), np.concatenate([weight[a:b] for a, b in spans]), minlength=len(length))
+    length, scores = shard.length, shard.scores(query)
     scores[length == 0] = 0
     beyond = np.where(length > gap, scores, 0.0)
     # A gap only shrinks: what is beyond it never fits, and the best of those is the one that may be cut.
