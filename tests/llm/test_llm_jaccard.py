@@ -165,3 +165,48 @@ def test_shared_passages_are_found_once_per_text(spark):
     docs = spark.createDataFrame([*rows, (None, None), (90, "")], "doc_id long, text string")
     assert len(jaccard.common_shingles(docs, 5, "text")) == 3
     assert len(jaccard.common_shingles(docs.limit(0), 5, "text")) == 0
+
+
+def test_a_long_passage_makes_no_family_of_unlike_texts(spark, monkeypatch):
+    """A third of every text is one passage that no sampled text tells of: families stay those of the copies."""
+    monkeypatch.setattr(jaccard, "SAMPLE", 1)
+    passage = " ".join(f"licence{j}" for j in range(60))
+    words = lambda i, j: f"w{i}x{j}"
+    rows = [(i, " ".join([*(words(i // 2, j) for j in range(100)), *(["and"] * (i % 2)), passage])) for i in range(120)]
+    seen, join = [], jaccard.links_in_families
+
+    def noted(members, *rest):
+        seen.extend(members.groupBy("family").count().collect())
+        return join(members, *rest)
+
+    monkeypatch.setattr(jaccard, "links_in_families", noted)
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i in range(120)}
+    assert max(r["count"] for r in seen) < 20
+
+
+def test_keys_are_given_up_in_one_order(spark):
+    """Of the keys that two sets share, those given up leave at least one, however often others have them."""
+    rng = np.random.default_rng(4)
+    base = [np.unique(rng.integers(0, 2**64, n, np.uint64)) for n in (1, 3, 9, 40, 160)]
+    passage = rng.integers(0, 2**64, 200, np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(b, -(-len(b) * 9 // 10), replace=False), rng.choice(passage, len(b) // 2, replace=False)])) for b in base for _ in range(12)]
+    for hidden in (jaccard.NONE, np.sort(passage)[:60]):
+        found = [jaccard.keys(s, 80, hidden) for s in sets]
+        keyed = spark.createDataFrame([(i, int(k)) for i, f in enumerate(found) for k in f.view(np.int64)], "node long, key long")
+        left = spark.createDataFrame([(i, *jaccard.surplus(f, len(s), 80)) for i, (f, s) in enumerate(zip(found, sets))], "node long, left0 int, left1 int")
+        links = [tuple(r) for r in jaccard.key_links(keyed.unionByName(keyed), left).collect()]
+        label = parts(len(sets), links)
+        own = [set(s.tolist()) for s in sets]
+        near = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(own[i] & own[j]) >= 80 * len(own[i] | own[j])]
+        assert near and all(label[i] == label[j] for i, j in near)
+
+
+def test_rows_that_are_likely_among_others(spark):
+    spots = [0, -1, 5, 32767, 32768, 1 << 24, -(1 << 40) + 7, 2**63 - 1, 123456789, 40]
+    rows = spark.createDataFrame([(s, "t") for s in [*spots, 41, 6, 99]], "spot long, text string")
+    members = spark.createDataFrame([(s,) for s in spots * 2], "spot long")
+    got = jaccard.likely_among(rows, members)
+    assert got.columns == ["spot", "text", "likely"]
+    assert {r.spot: r.likely for r in got.collect()} == {s: s in spots for s in [*spots, 41, 6, 99]}
+    assert not any(r.likely for r in jaccard.likely_among(rows, members.limit(0)).collect())
