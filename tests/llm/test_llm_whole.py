@@ -144,6 +144,35 @@ def test_the_ratio_alone_chooses_lists():
     assert max(map(len, graph.within(queries, 1.4, np.full(400, 100), 11))) > 300
 
 
+def test_centroids_are_measured_where_a_beam_is_too_narrow(monkeypatch):
+    """No beam grows with the number of lists within the ratio, and none of those lists is missed."""
+    rng = np.random.default_rng(6)
+    points, queries = rng.normal(size=(600, 32)), rng.normal(size=(12, 32))
+    graph, beams, search = neighbours.Graph.over(points), [], neighbours.Graph.search
+    monkeypatch.setattr(neighbours.Graph, "search", lambda self, q, beam=neighbours.BEAM: (beams.append(beam), search(self, q, beam))[1])
+    for q, chosen in zip(queries, graph.within(queries, 1.4, np.full(600, 100), 11)):
+        d = np.sqrt(((points - q) ** 2).sum(1))
+        assert sorted(chosen.tolist()) == np.flatnonzero(d <= 1.4 * d.min()).tolist() and len(chosen) > neighbours.BEAM
+    assert max(beams) <= neighbours.BEAM
+
+
+def test_bundles_hold_every_entry_once(monkeypatch):
+    """A vector is sent once to a bundle, with its lists there; a query asks all parts of a long list."""
+    monkeypatch.setattr(neighbours, "BUNDLE", 10)
+    entries = np.array([4, 4, 35, 0, 9, 1, 10, 3])
+    bundles = neighbours.Bundles.of(entries)
+    chosen = [[0, 1, 2], [2], [], [7, 4, 0], [5, 3]]
+    lists, node = pa.array(chosen, pa.list_(pa.int32())), np.array([5, -3, 2, 2**62, 0])
+    row, bundle, there = bundles.split(lists, node)
+    assert len(set(zip(row.tolist(), bundle.tolist()))) == len(row)
+    assert sorted((r, l) for r, own in zip(row.tolist(), there.to_pylist()) for l in own) == sorted((r, l) for r, own in enumerate(chosen) for l in own)
+    asked, places, names = bundles.split(lists)
+    held = {(b, l) for b, own in zip(places.tolist(), names.to_pylist()) for l in own}
+    assert {(b, l) for b, own in zip(bundle.tolist(), there.to_pylist()) for l in own} <= held
+    assert sum(l == 2 for _, l in held) == 4 and len({b for b, l in held if l == 2}) == 4
+    assert places.max() < len(bundles) and [len(x) for x in bundles.split(pa.array([], pa.list_(pa.int32())))] == [0, 0, 0]
+
+
 def test_clustered_vectors_are_pruned():
     """50,000 vectors: boundary vectors are in several lists, few lists are read, and recall is at least 0.9."""
     x = clustered(50_000, 5)

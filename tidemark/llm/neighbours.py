@@ -8,13 +8,14 @@
    others are at most ``CLOSE`` times as far, also into theirs, up to ``REPLICAS``.
    Centroids are searched over a neighbour graph held in memory.
 4. A query takes the lists whose centroid is at most a ratio times as far as the nearest,
-   however many: the search over the graph widens until it is beyond the ratio. The ratio
-   is fitted: sampled vectors whose neighbours in the sample are known must find
+   however many: where the search over the graph does not get beyond the ratio, all
+   centroids are measured. The ratio is fitted: sampled vectors whose neighbours in the sample are known must find
    ``TARGET`` of them. Where data have no clusters it becomes large, and most lists are
    read; it never gives recall away. More lists are read while these hold too few vectors.
-5. Lists go to tasks in bundles of bounded size. A task compares its queries with the
-   lists they chose, by matrix products, and gives out the best of each query; exact
-   distances in double precision decide, ties go to the smaller id.
+5. Lists go to tasks in bundles of bounded size, lists of near centroids together; a vector
+   goes once to a bundle, however many of its lists are there, and so does a query. A task
+   compares its queries with the lists they chose, by matrix products, and gives out the best
+   of each query; exact distances in double precision decide, ties go to the smaller id.
 
 Vectors that are null, zero, or hold a null or a non-finite component take no part;
 nor do rows without an id, or of another length than the most frequent one.
@@ -32,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.graph import stored
+from tidemark.llm.graph import discard, stored
+from tidemark.session import scratch_path
 
 LIST = 100  # vectors that a list should hold
 MAX_CENTROIDS = 8192
@@ -47,7 +49,8 @@ BEAM = 24  # of a query at first
 POST_BEAM = 8  # of a vector to be posted
 AHEAD = 4  # centroids of a beam that a step looks behind at once
 BUNDLE = 20_000  # entries of lists that a task holds
-QUERIES = 2_000  # queries that a task compares with them
+QUERIES = 2_000  # queries that are compared with them at once,
+ROUND = 20_000  # and queries that a task holds
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -144,24 +147,69 @@ class Graph:
     def within(self, queries: np.ndarray, ratio: float, held: np.ndarray, least: int) -> list[np.ndarray]:
         """The lists of each query: those within the ratio, and more while they hold too few vectors.
 
-        The beam is widened for the queries whose search has not gone beyond the ratio.
+        All centroids are measured for the queries whose search has not gone beyond the ratio:
+        a beam that holds a share of them costs more, by its square.
         """
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
-        todo, beam = np.arange(len(queries)), BEAM
-        while len(todo):
-            ids, d = self.search(queries[todo], beam)
-            everything = ids.shape[1] >= len(self.points)
+        todo = np.arange(len(queries))
+        for everything in (False, True):
             left = []
-            for q, row, far in zip(todo.tolist(), ids, d):
-                row, far = row[row >= 0], far[: (row >= 0).sum()]
-                n = max(int(np.searchsorted(far, ratio * far[0], "right")), int(np.searchsorted(np.cumsum(held[row]), least)) + 1)
-                if n < len(row) or everything:
-                    out[q] = row[:n] if held[row[:n]].sum() >= least else np.flatnonzero(held)
-                else:
-                    left.append(q)
-            todo, beam = np.array(left, np.int64), 4 * beam
+            for part in np.array_split(todo, -(-len(todo) // 256)) if len(todo) else []:
+                for q, row, far in zip(part.tolist(), *(self.measured(queries[part]) if everything else self.search(queries[part]))):
+                    row, far = row[row >= 0], far[: (row >= 0).sum()]
+                    n = max(int(np.searchsorted(far, ratio * far[0], "right")), int(np.searchsorted(np.cumsum(held[row]), least)) + 1)
+                    if n < len(row) or everything:
+                        out[q] = row[:n] if held[row[:n]].sum() >= least else np.flatnonzero(held)
+                    else:
+                        left.append(q)
+            todo = np.array(left, np.int64)
         return out
 
+    def measured(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(centroids, distances) of each query, all of them, nearest first."""
+        d = distances(queries, self.points)
+        ids = np.argsort(d, axis=1, kind="stable")
+        return ids, np.sqrt(np.take_along_axis(d, ids, 1))
+
+
+@dataclass
+class Bundles:
+    """Where lists are compared: each in the bundle of its neighbours, a long one in several of its own."""
+
+    first: np.ndarray
+    parts: np.ndarray
+
+    @staticmethod
+    def of(entries: np.ndarray) -> Bundles:
+        """For the number of entries of each list; a bundle has about ``BUNDLE``, twice as many at most."""
+        parts = np.maximum(-(-entries // BUNDLE), 1)
+        short = parts == 1
+        place = (np.cumsum(np.where(short, entries, 0)) - np.where(short, entries, 0)) // BUNDLE
+        after = np.cumsum(np.where(short, 0, parts)) - np.where(short, 0, parts)
+        return Bundles(np.where(short, place, (int(place[short].max()) + 1 if short.any() else 0) + after), parts)
+
+    def __len__(self) -> int:
+        return int((self.first + self.parts).max())
+
+    def split(self, lists: pa.ListArray, node: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+        """(row, bundle, lists there) of what has these lists: a vector, by its hash, or a query, which asks all parts of a list."""
+        flat = lists.flatten().to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+        if node is None:
+            times = self.parts[flat]
+            part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            flat, row = np.repeat(flat, times), np.repeat(row, times)
+        else:
+            part = np.mod(node[row], self.parts[flat])
+        bundle = self.first[flat] + part
+        order = np.lexsort((flat, bundle, row))
+        flat, row, bundle = flat[order], row[order], bundle[order]
+        fresh = np.ones(len(flat), bool)
+        fresh[1:] = (row[1:] != row[:-1]) | (bundle[1:] != bundle[:-1])
+        begin = np.flatnonzero(fresh)
+        offsets = np.append(begin, len(flat)).astype(np.int32)
+        return row[begin], bundle[begin], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+
 
 def lists_of(ids: np.ndarray, d: np.ndarray) -> list[np.ndarray]:
     """The lists of each vector: the nearest, and near ones where it lies at a boundary."""
@@ -193,10 +241,11 @@ def fitted_ratio(graph: Graph, sample: np.ndarray, k: int) -> float:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v) of the rows that take part; v holds doubles."""
+    """(id, v) of the rows that take part; v holds floats if the vectors do, else doubles."""
     v = F.col("v")
+    floats = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>" if floats else "array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0))
     sizes = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     return rows.where(F.size("v") == (sizes["size"] if sizes else 0))
@@ -204,7 +253,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def _rows(batch: pa.RecordBatch, column: str) -> np.ndarray:
     lists = batch.column(column)
-    return lists.flatten().to_numpy().reshape(len(lists), -1)
+    return lists.flatten().to_numpy().reshape(len(lists), -1).astype(np.float64)
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -212,10 +261,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     spark = vectors.sparkSession
     id_kind = vectors.schema[id_col].dataType.simpleString()
     rows = usable(vectors, id_col, vector_col)
+    v_kind = rows.schema["v"].dataType.simpleString()
+    hashed = F.xxhash64(F.col("v").cast("array<double>"))
     # The k + 1 smallest ids of each vector: no answer needs more. The limit is also applied before the shuffle.
     few = rows.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
-    nodes = few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("node", F.xxhash64("v"))
-    nodes = stored(nodes, "vectors")
+    nodes = few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("node", hashed)
+    folder, schema = scratch_path(spark, "vectors"), nodes.schema
+    nodes.write.parquet(folder)
+    nodes = spark.read.schema(schema).parquet(folder)
     n = nodes.count()
     empty = spark.createDataFrame([], f"query_id {id_kind}, rank int, `{id_col}` {id_kind}, score double")
     if not n:
@@ -240,12 +293,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
                 lists = pa.array(lists_of(*graph.search(_rows(part, "v"), POST_BEAM)), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "lists"])
 
-    posted = stored(nodes.mapInArrow(post, f"v array<double>, ids array<{id_kind}>, node long, lists array<int>"), "postings")
-    # One count per centroid.
-    firsts = dict(posted.groupBy(F.get("lists", F.lit(0)).alias("list")).count().collect())
-    held = np.zeros(len(graph.points), np.int64)
-    held[list(firsts)] = list(firsts.values())
-    bundles = max(1, -(-int(posted.agg(F.sum(F.size("lists"))).first()[0]) // BUNDLE))
+    posted = stored(nodes.mapInArrow(post, f"v {v_kind}, ids array<{id_kind}>, node long, lists array<int>"), "postings")
+    discard(spark, folder)  # the postings have all of it
+    # Two counts per centroid.
+    held, total = np.zeros(len(graph.points), np.int64), np.zeros(len(graph.points), np.int64)
+    for found, chosen in ((held, F.array(F.get("lists", F.lit(0)))), (total, F.col("lists"))):
+        counts = dict(posted.select(F.explode(chosen).alias("list")).groupBy("list").count().collect())
+        found[list(counts)] = list(counts.values())
+    bundles = Bundles.of(total)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = shared.value
@@ -254,32 +309,56 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
                 lists = pa.array(graph.within(_rows(part, "v"), ratio, held, k + 1), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "lists"])
 
-    # Entries of one list may lie in several bundles: a long list is spread by its entries.
-    long = F.array(*[F.lit(int(x)) for x in np.flatnonzero(held > BUNDLE // 4)]).cast("array<int>")
-    own = F.when(F.array_contains(long, F.col("list")), F.xxhash64("node")).otherwise(F.xxhash64("list"))
-    entries = posted.select("node", "v", F.col("ids")[0].alias("first"), F.explode("lists").alias("list"))
-    entries = entries.withColumn("bundle", F.pmod(own, F.lit(bundles)).cast("int"))
-    wanted = asked.groupBy("v").agg(F.count(F.lit(1)).alias("n")).select(F.xxhash64("v").alias("q"), "v")
-    wanted = stored(wanted.mapInArrow(ask, "q long, v array<double>, lists array<int>"), "asked")
-    # A query goes once to every bundle that has a list of it.
-    spread = F.exists("lists", lambda x: F.array_contains(long, x))
-    at = F.when(spread, F.sequence(F.lit(0), F.lit(bundles - 1))).otherwise(F.array_distinct(F.transform("lists", lambda x: F.pmod(F.xxhash64(x), F.lit(bundles)).cast("int"))))
-    sent = wanted.select("q", "v", "lists", F.explode(at).alias("bundle"))
-    blocks = sent.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("blocks"))
-    sent = sent.join(blocks, "bundle").withColumn("block", F.pmod(F.xxhash64("q"), "blocks").cast("int")).drop("blocks")
-    entries = entries.join(blocks, "bundle").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    wanted = asked.groupBy("v").agg(F.count(F.lit(1)).alias("n")).select(hashed.alias("q"), "v")
+    wanted = stored(wanted.mapInArrow(ask, f"q long, v {v_kind}, lists array<int>"), "asked")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(bundles), np.int64)
+        for batch in batches:
+            n += np.bincount(bundles.split(batch.column("lists"))[1], minlength=len(n))
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], ["bundle", "n"])
+
+    asking = np.zeros(len(bundles), np.int64)
+    for r in wanted.select("lists").mapInArrow(count, "bundle long, n long").groupBy("bundle").agg(F.sum("n").alias("n")).collect():
+        asking[r["bundle"]] = r["n"]
+    blocks = -(-asking // ROUND)  # none where nobody asks
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 4096) for i in range(0, batch.num_rows, 4096)):
+                row, bundle, lists = bundles.split(part.column("lists"), part.column("node").to_numpy())
+                at = np.repeat(np.arange(len(row)), blocks[bundle])
+                block = np.arange(len(at)) - np.searchsorted(at, at)
+                row = pa.array(row[at])
+                columns = [pa.array(bundle[at]), pa.array(block), *(part.column(c).take(row) for c in ("node", "first", "v")), lists.take(pa.array(at))]
+                yield pa.RecordBatch.from_arrays(columns, ["bundle", "block", "node", "first", "v", "lists"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                row, bundle, lists = bundles.split(part.column("lists"))
+                key = part.column("q").to_numpy()[row]
+                columns = [pa.array(x) for x in (bundle, np.mod(key, blocks[bundle]), key)]
+                yield pa.RecordBatch.from_arrays([*columns, part.column("v").take(pa.array(row)), lists], ["bundle", "block", "q", "v", "lists"])
+
+    entries = posted.select("node", F.col("ids")[0].alias("first"), "v", "lists").mapInArrow(spread, f"bundle long, block long, node long, first {id_kind}, v {v_kind}, lists array<int>")
+    sent = wanted.mapInArrow(send, f"bundle long, block long, q long, v {v_kind}, lists array<int>")
 
     def compare(posts: pa.Table, queries: pa.Table) -> pa.Table:
         names = ["q", "node", "first", "score"]
         first = posts.column("first").combine_chunks()
         if not posts.num_rows or not queries.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), first[:0], pa.array([], pa.float64())], names)
-        points, asked = _rows(posts.combine_chunks().to_batches()[0], "v"), _rows(queries.combine_chunks().to_batches()[0], "v")
-        node, key = posts.column("node").to_numpy(), queries.column("q").to_numpy()
-        at, far = best_in_lists(points, posts.column("list").to_numpy(), node, asked, queries.column("lists").combine_chunks(), k + 1)
-        rows = np.concatenate([a for a in at]) if at else np.zeros(0, np.int64)
-        q = np.repeat(key, [len(a) for a in at])
-        return pa.table([pa.array(q), pa.array(node[rows]), first.take(pa.array(rows)), pa.array(np.concatenate(far) if far else np.zeros(0))], names)
+        posts, queries = posts.combine_chunks().to_batches()[0], queries.combine_chunks().to_batches()[0]
+        points, node, own = _rows(posts, "v"), posts.column("node").to_numpy(), posts.column("lists")
+        row = np.repeat(np.arange(len(points)), own.value_lengths().to_numpy())
+        lists, out = own.flatten().to_numpy(), []
+        for part in (queries.slice(i, QUERIES) for i in range(0, queries.num_rows, QUERIES)):
+            at, far = best_in_lists(points, lists, node, _rows(part, "v"), part.column("lists"), k + 1, row)
+            rows = np.concatenate(at)
+            q = np.repeat(part.column("q").to_numpy(), [len(a) for a in at])
+            out.append(pa.table([pa.array(q), pa.array(node[rows]), first.take(pa.array(rows)), pa.array(np.concatenate(far))], names))
+        return pa.concat_tables(out)
 
     pairs = entries.groupBy("bundle", "block").cogroup(sent.groupBy("bundle", "block")).applyInArrow(compare, f"q long, node long, first {id_kind}, score double")
     pairs = pairs.groupBy("q", "node").agg(F.min("first").alias("first"), F.min("score").alias("score"))
@@ -289,7 +368,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     found = pairs.join(posted.select("node", F.explode("ids").alias("id")), "node")
     order = [F.col("score"), F.col("id")]
     best = found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(*order))).where(F.col("r") <= k + 1)
-    queries = asked.select(F.col("id").alias("query_id"), F.xxhash64("v").alias("q"))
+    queries = asked.select(F.col("id").alias("query_id"), hashed.alias("q"))
     # One row with the query's own id and vector is the query itself.
     own = F.row_number().over(Window.partitionBy("query_id", "q", "id").orderBy("score"))
     pairs = queries.join(best, "q").withColumn("own", (F.col("id") == F.col("query_id")) & (F.col("score") == 0) & (own == 1)).where("not own")
@@ -298,37 +377,50 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
 
 
 def best_in_lists(
-    points: np.ndarray, lists: np.ndarray, node: np.ndarray, asked: np.ndarray, wanted: pa.ListArray, k: int
+    points: np.ndarray, lists: np.ndarray, node: np.ndarray, asked: np.ndarray, wanted: pa.ListArray, k: int, row: np.ndarray | None = None
 ) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """(rows of ``points``, exact distances) of each query's ``k`` nearest nodes in its lists, and all that tie with the last."""
+    """(rows of ``points``, exact distances) of each query's ``k`` nearest nodes in its lists, and all that tie with the last.
+
+    ``lists`` has the list of each point, or of the points that ``row`` names.
+    """
     order = np.argsort(lists, kind="stable")
     names, begin = np.unique(lists[order], return_index=True)
-    members = dict(zip(names.tolist(), np.split(order, begin[1:])))
-    flat, offsets = wanted.values.to_numpy(), wanted.offsets.to_numpy()
-    offsets = offsets - offsets[0]
-    query = np.repeat(np.arange(len(asked)), np.diff(offsets))
-    flat = flat[: len(query)] if wanted.offset == 0 else wanted.flatten().to_numpy()
+    members = dict(zip(names.tolist(), np.split(order if row is None else row[order], begin[1:])))
+    flat = wanted.flatten().to_numpy()
+    query = np.repeat(np.arange(len(asked)), wanted.value_lengths().fill_null(0).to_numpy())
     by_list = np.argsort(flat, kind="stable")
     held, start = np.unique(flat[by_list], return_index=True)
-    found: list[list[np.ndarray]] = [[] for _ in asked]
+    # Products round: what may tie with the last, or be nearer, is measured exactly below.
+    slack = 1e-12 * ((asked**2).sum(1) + (points**2).sum(1).max(initial=0))
+    last = np.full(len(asked), np.inf)  # no more than this is the k-th of a list already seen
+    qs, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for name, who in zip(held.tolist(), np.split(query[by_list], start[1:])):
-        rows = members.get(name)
-        if rows is None:
+        here = members.get(name)
+        if here is None:
             continue
-        d = distances(asked[who], points[rows])
-        last = np.partition(d, min(k, len(rows)) - 1, axis=1)[:, min(k, len(rows)) - 1]
-        # Products round: what may tie with the last, or be nearer, is measured exactly below.
-        slack = 1e-12 * ((asked[who] ** 2).sum(1) + (points[rows] ** 2).sum(1).max())
-        for q, near in zip(who.tolist(), d <= (last + slack)[:, None]):
-            found[q].append(rows[near])
-    at, far = [], []
-    for q, parts in enumerate(found):
-        rows = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        rows = rows[np.unique(node[rows], return_index=True)[1]]
-        score = np.sqrt(((points[rows] - asked[q]) ** 2).sum(1))
-        if len(rows) > k:
-            near = score <= np.partition(score, k - 1)[k - 1]
-            rows, score = rows[near], score[near]
-        at.append(rows)
-        far.append(score)
-    return at, far
+        d = distances(asked[who], points[here])
+        near = d <= (last[who] + slack[who])[:, None]
+        many = np.flatnonzero(near.sum(axis=1) > k)
+        if len(many):
+            last[who[many]] = np.minimum(last[who[many]], np.partition(d[many], k - 1, axis=1)[:, k - 1])
+            near[many] = d[many] <= (last[who[many]] + slack[who[many]])[:, None]
+        q, at = np.nonzero(near)
+        qs.append(who[q])
+        rows.append(here[at])
+    q, at = np.concatenate(qs), np.concatenate(rows)
+    order = np.lexsort((at, node[at], q))
+    q, at = q[order], at[order]
+    fresh = np.ones(len(q), bool)
+    fresh[1:] = (q[1:] != q[:-1]) | (node[at[1:]] != node[at[:-1]])
+    q, at = q[fresh], at[fresh]
+    score = np.empty(len(q))
+    for i in range(0, len(q), 1 << 16):
+        score[i : i + (1 << 16)] = np.sqrt(((points[at[i : i + (1 << 16)]] - asked[q[i : i + (1 << 16)]]) ** 2).sum(1))
+    ends = np.searchsorted(q, np.arange(len(asked) + 1))
+    # The k-th score of each query, or its last.
+    ranked = score[np.lexsort((score, q))]
+    kth = np.minimum(ends[:-1] + k, ends[1:]) - 1
+    limit = ranked[kth] if len(ranked) else np.zeros(len(asked))
+    keep = score <= limit[q]
+    cuts = np.searchsorted(q[keep], np.arange(1, len(asked)))
+    return np.split(at[keep], cuts), np.split(score[keep], cuts)
